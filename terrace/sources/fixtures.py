@@ -42,8 +42,9 @@ SEGMENT_CHANGE = 10
 PRICE_CHANGE = 7
 
 
-def _pad(col: Column, width: int = 6) -> Column:
-    return F.lpad(col.cast(StringType()), width, "0")
+def _pad(col: Column) -> Column:
+    """Zero-pad a key to at least six digits (longer keys are kept whole, never cut)."""
+    return F.format_string("%06d", col)
 
 
 def _landing_file(entity: str, day: Column | str) -> Column:
