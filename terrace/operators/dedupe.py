@@ -22,6 +22,7 @@ def latest_per_key(
     key: str | Sequence[str],
     order_by: Sequence[str | Column] | None = None,
     keep_null_keys: bool = True,
+    null_identity: str | None = None,
 ) -> DataFrame:
     """Keep the newest row per business key.
 
@@ -32,13 +33,22 @@ def latest_per_key(
 
     String ``order_by`` entries sort descending (newest first). Rows whose key is
     NULL are not collapsed into one "NULL group" (that would silently lose
-    evidence); with ``keep_null_keys`` they all pass through for validation to
-    reject.
+    evidence): with ``keep_null_keys`` they are partitioned by their record
+    identity (``null_identity``, default ``_bronze_record_id`` or
+    ``_record_hash``), so each distinct record passes through for validation to
+    reject — still in the same single window pass. Without an identity column
+    they are all kept through a second, NULL-filtered scan.
     """
     keys = [key] if isinstance(key, str) else list(key)
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
+    if null_identity is None:
+        null_identity = next((c for c in ("_bronze_record_id", "_record_hash") if c in df.columns), None)
+    if keep_null_keys and null_identity is not None:
+        partition = [*keys, F.when(~has_key, F.col(null_identity))]
+        window = Window.partitionBy(*partition).orderBy(*_order(order_by))
+        return df.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")
     window = Window.partitionBy(*keys).orderBy(*_order(order_by))
     keyed = df.filter(has_key) if keep_null_keys else df
     latest = keyed.withColumn("_rn", F.row_number().over(window)).filter(F.col("_rn") == 1).drop("_rn")

@@ -71,6 +71,9 @@ def with_lineage(
         _as_column(batch_id, "string").alias("_batch_id"),
         ingested.alias("_ingested_at"),
     )
-    return stamped.withColumn("_ingestion_date", F.to_date("_ingested_at")).withColumn(
-        "_record_hash", record_hash(list(source_columns))
-    ).withColumn("_bronze_record_id", record_id("_source_file", "_record_hash"))
+    hashed = stamped.select(
+        "*",
+        F.to_date("_ingested_at").alias("_ingestion_date"),
+        record_hash(list(source_columns)).alias("_record_hash"),
+    )
+    return hashed.select("*", record_id("_source_file", "_record_hash").alias("_bronze_record_id"))

@@ -203,8 +203,8 @@ def products_ctes(sfx: str, bronze: str) -> list[str]:
 def orders_ctes(sfx: str, bronze: str, hist: str = "hist1", prod: str = "prod1") -> list[str]:
     return [
         f"""olat{sfx} AS (
-  SELECT * FROM {bronze} WHERE order_id IS NOT NULL QUALIFY {LATEST.format(k='order_id')} = 1
-  UNION ALL SELECT * FROM {bronze} WHERE order_id IS NULL)""",
+  SELECT * FROM {bronze}
+  QUALIFY {LATEST.format(k="order_id, CASE WHEN order_id IS NULL THEN _bronze_record_id END")} = 1)""",
         f"""ofin{sfx} AS (
   SELECT *, CAST(ordered_at AS DATE) AS order_date,
     {money('quantity * unit_price')} AS gross_amount,

@@ -43,14 +43,16 @@ def dim_product(products: DataFrame) -> DataFrame:
 
 def fact_sales(sales: DataFrame, dim_cust: DataFrame, dim_prod: DataFrame) -> DataFrame:
     """Sales ⋈ customer keys ⋈ product keys and cost; cost and margin per line."""
-    return (
-        sales.join(dim_cust.select("customer_id", "customer_key"), "customer_id")
-        .join(dim_prod.select("product_id", "product_key", "unit_cost"), "product_id")
-        .withColumn("sales_key", surrogate_key("order_id"))
-        .withColumn("cost_amount", money.amount(F.col("quantity") * F.col("unit_cost")))
-        .withColumn("margin_amount", money.amount(F.col("net_amount") - F.col("cost_amount")))
-        .select(*FACT_COLUMNS)
+    joined = sales.join(dim_cust.select("customer_id", "customer_key"), "customer_id").join(
+        dim_prod.select("product_id", "product_key", "unit_cost"), "product_id"
     )
+    cost = money.amount(F.col("quantity") * F.col("unit_cost"))
+    derived = {
+        "sales_key": surrogate_key("order_id"),
+        "cost_amount": cost,
+        "margin_amount": money.amount(F.col("net_amount") - cost),
+    }
+    return joined.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in FACT_COLUMNS])
 
 
 def _orders(distinct_orders: bool):
@@ -86,10 +88,10 @@ def customer_360(
         money.rounded_average("net_amount").alias("average_order_value"),
         F.count_distinct("product_key").alias("distinct_products"),
     )
-    return (
-        per_customer.join(dim_cust, "customer_key")
-        .withColumn("days_since_last_order", F.datediff(F.lit(as_of), F.to_date("last_order_at")))
-        .withColumn("value_band", money.value_band("lifetime_value"))
+    return per_customer.join(dim_cust, "customer_key").select(
+        "*",
+        F.datediff(F.lit(as_of), F.to_date("last_order_at")).alias("days_since_last_order"),
+        money.value_band("lifetime_value").alias("value_band"),
     )
 
 

@@ -42,67 +42,100 @@ def money_as_double(df: DataFrame) -> DataFrame:
     )
 
 
+def _memo(method):
+    """Build each sub-result once per World: one plan object per table, so the
+    Python-side plan construction is not repeated and Spark can reuse exchanges."""
+
+    def wrapper(self, *args):
+        key = (method.__name__, *[id(a) if isinstance(a, DataFrame) else a for a in args])
+        if key not in self._memo:
+            self._memo[key] = method(self, *args)
+        return self._memo[key]
+
+    wrapper.__name__ = method.__name__
+    return wrapper
+
+
 class World:
     """The whole pipeline over the fixture deliveries, built lazily per query."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf = spark, sf_dir
+        self._memo: dict = {}
 
     # bronze
+    @_memo
     def bronze_customers(self, day=1):
         return X.bronze_customers(self.spark, self.sf, day)
 
+    @_memo
     def bronze_products(self, day=1):
         return X.bronze_products(self.spark, self.sf, day)
 
+    @_memo
     def bronze_orders(self):
         return X.bronze_orders(self.spark, self.sf)
 
     # silver
+    @_memo
     def customers_classified(self, day=1):
         return S.customers_classified(self.bronze_customers(day))
 
+    @_memo
     def customers_incoming(self, day=1):
         return S.customers_incoming(self.customers_classified(day))
 
+    @_memo
     def customers_history(self):
         return S.customers_history(None, self.customers_incoming(1), X.DAY1)
 
+    @_memo
     def products_classified(self, bronze=None):
         return S.products_classified(bronze if bronze is not None else self.bronze_products(1))
 
+    @_memo
     def products(self):
         return S.products_valid(self.products_classified())
 
+    @_memo
     def orders_checked(self, bronze=None):
         b = bronze if bronze is not None else self.bronze_orders()
         return S.orders_checked(b, self.customers_history(), self.products())
 
+    @_memo
     def orders_classified(self, bronze=None):
         return S.orders_classified(self.orders_checked(bronze))
 
+    @_memo
     def sales(self, bronze=None):
         return S.sales_rows(self.orders_classified(bronze))
 
     # gold
+    @_memo
     def dim_customer(self):
         return G.dim_customer(self.customers_history())
 
+    @_memo
     def dim_product(self):
         return G.dim_product(self.products())
 
+    @_memo
     def fact(self):
         return G.fact_sales(self.sales(), self.dim_customer(), self.dim_product())
 
+    @_memo
     def daily(self):
         return G.daily_sales(self.fact())
 
+    @_memo
     def c360(self):
         return G.customer_360(self.fact(), self.dim_customer(), AS_OF_DATE)
 
+    @_memo
     def perf(self):
         return G.product_performance(self.fact(), self.dim_product())
 
+    @_memo
     def quarantine_all(self):
         return (
             S.customers_quarantine(self.customers_classified(), AS_OF_DATE)

@@ -6,9 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
+_LOADED: dict[tuple[str, str], DataFrame] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table (``<sf_dir>/<name>.parquet``); pruning and pushdown stay with the scan."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table (``<sf_dir>/<name>.parquet``); pruning and pushdown stay with the scan.
+
+    The driver's tables are read-only, so the resolved relation (file listing and
+    footer schema) is kept per session instead of being re-listed by every query.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _LOADED:
+        _LOADED[key] = spark.read.parquet(path)
+    return _LOADED[key]
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:

@@ -76,3 +76,10 @@ def test_upsert_small_source_does_not_shuffle_target(spark):
     out = upsert(tgt, src, "k")
     out.collect()
     assert "BroadcastHashJoin" in plan_text(out)
+
+
+def test_null_key_rows_of_one_record_are_one_row(spark):
+    rows = [(None, "x", T1, "1"), (None, "x", T1, "1"), (None, "y", T1, "2")]
+    assert latest_per_key(spark.createDataFrame(rows, SCHEMA), "k").count() == 2
+    plain = spark.createDataFrame([(None, "x"), (None, "x")], "k string, v string")
+    assert latest_per_key(plain, "k", order_by=["v"]).count() == 2  # no identity column: all kept
