@@ -166,7 +166,7 @@ def run_silver(
     evidence = Q.report(results, "silver", as_of)
     evidence["quarantine_rate"] = rate
     if enforce:
-        Q.gate(spark, evidence, lake.path("quality", f"silver-{batch_id}"))
+        Q.gate(spark, evidence, lake.path("quality", f"silver-{batch_id}.json"))
     return {"evidence": evidence, "quarantined_customers": c_bad, "quarantined_orders": o_bad,
             "customers": c_path, "products": p_path, "sales": s_path}
 
@@ -201,7 +201,7 @@ def run_gold(spark: SparkSession, lake: Lakehouse, as_of: _dt.datetime, enforce:
     )
     evidence = Q.report(results, "gold", as_of)
     if enforce:
-        Q.gate(spark, evidence, lake.path("quality", f"gold-{as_of:%Y%m%dT%H%M%SZ}"))
+        Q.gate(spark, evidence, lake.path("quality", f"gold-{as_of:%Y%m%dT%H%M%SZ}.json"))
     counts = {}
     for name, df in tables.items():
         laid_out, parts = with_layout(df, name)

@@ -20,8 +20,11 @@ def test_gate_raises_after_writing_evidence(spark, tmp_path):
     ev = Q.report(Q.run_checks(df, [Q.unique("k"), Q.not_null("k")]), "silver")
     assert not ev["passed"]
     with pytest.raises(Q.QualityGateError, match="k_unique"):
-        Q.gate(spark, ev, str(tmp_path / "evidence"))
-    assert list((tmp_path / "evidence").glob("part-*"))
+        Q.gate(spark, ev, str(tmp_path / "silver_quality.json"))
+    import json
+
+    written = json.loads((tmp_path / "silver_quality.json").read_text())
+    assert written["passed"] is False and written["stage"] == "silver"
 
 
 def test_quarantine_rate(spark):
