@@ -54,12 +54,21 @@ def test_query_matches_oracle(spark, duck, name):
     assert _rows(df.columns, df.collect()) == _rows(d_cols, rel.fetchall())
 
 
-def test_no_python_udfs_in_any_plan(spark):
-    for name, q in entry.queries().items():
-        if name.startswith("scan_"):
-            continue  # these stage files first; their plans are plain scans
-        text = q(spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()  # noqa: SLF001
-        assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text, name
+def test_no_python_udfs_or_rdds_in_library():
+    import pathlib
+    import re
+
+    root = pathlib.Path(__file__).resolve().parents[1] / "terrace"
+    banned = re.compile(r"\b(udf|pandas_udf|mapInPandas|applyInPandas|mapPartitions|localCheckpoint)\b|\.rdd\b")
+    hits = [f"{p}:{i}" for p in root.rglob("*.py") for i, line in enumerate(p.read_text().splitlines(), 1)
+            if banned.search(line) and not line.lstrip().startswith("#")]
+    assert hits == []
+
+
+@pytest.mark.parametrize("name", ["orders_quarantine", "scd2_apply", "product_performance"])
+def test_no_python_eval_in_plans(spark, name):
+    text = entry.queries()[name](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()  # noqa: SLF001
+    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text
 
 
 def test_scan_prunes_columns_and_pushes_filters(spark):
