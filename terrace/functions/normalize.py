@@ -55,6 +55,24 @@ def parse_timestamp(df: DataFrame, column: str) -> Column:
     return F.try_to_timestamp(F.col(column).cast(StringType())).cast(TimestampNTZType())
 
 
+def ntz_literal(value) -> Column:
+    """A TIMESTAMP_NTZ literal built from text, so no time zone is involved.
+
+    ``F.lit(datetime)`` makes a zone-aware TIMESTAMP in the Python process's
+    local zone; casting that to NTZ then applies the session zone, which shifts
+    the value whenever the two zones differ.
+    """
+    import datetime as _dt
+
+    if isinstance(value, Column):
+        return value.cast(TimestampNTZType())
+    if isinstance(value, _dt.datetime):
+        return F.lit(value.replace(tzinfo=None).isoformat(sep=" ")).cast(TimestampNTZType())
+    if isinstance(value, _dt.date):
+        return F.lit(value.isoformat()).cast(TimestampNTZType())
+    return F.lit(value).cast(TimestampNTZType())
+
+
 def email_ok(column: str | Column) -> Column:
     """Pattern test; NULL in, NULL out (three-valued, made total by the rules)."""
     return _c(column).rlike(EMAIL_PATTERN)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType
 
 from terrace.functions.identity import record_hash, record_id
+from terrace.functions.normalize import ntz_literal
 
 LINEAGE_COLUMNS = [
     "_source_system",
@@ -62,7 +63,7 @@ def with_lineage(
     if ingested_at is None:
         ingested = F.current_timestamp().cast(TimestampNTZType())
     else:
-        ingested = _as_column(ingested_at).cast(TimestampNTZType())
+        ingested = ntz_literal(ingested_at)
     base = df.drop(*[c for c in LINEAGE_COLUMNS if c in df.columns and c != "_source_file"])
     stamped = base.select(
         *[F.col(c) for c in base.columns if c != "_source_file"],

@@ -14,11 +14,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, TimestampNTZType
 
+from terrace.functions.normalize import ntz_literal
+
 SCD2_COLUMNS = ["valid_from", "valid_to", "is_current"]
 
 
 def _ts(as_of: _dt.datetime | Column) -> Column:
-    return (as_of if isinstance(as_of, Column) else F.lit(as_of)).cast(TimestampNTZType())
+    return ntz_literal(as_of)
 
 
 def first_load(incoming: DataFrame, as_of: _dt.datetime | Column) -> DataFrame:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType
 
 from terrace.functions.money import PRICE, RATE
+from terrace.functions.normalize import ntz_literal
 from terrace.operators.lineage import with_lineage
 from terrace.sources.contracts import SOURCE_SYSTEMS
 from terrace.sources.tables import load
@@ -245,6 +246,6 @@ def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def split_at_cutoff(bronze: DataFrame, cutoff: _dt.datetime = ORDERS_CUTOFF) -> tuple[DataFrame, DataFrame]:
     """Bronze rows ingested before / from the cut-off: run 1 and the run-2 increment."""
-    before = bronze.filter(F.col("_ingested_at") < F.lit(cutoff))
-    after = bronze.filter(F.col("_ingested_at") >= F.lit(cutoff))
+    before = bronze.filter(F.col("_ingested_at") < ntz_literal(cutoff))
+    after = bronze.filter(F.col("_ingested_at") >= ntz_literal(cutoff))
     return before, after
