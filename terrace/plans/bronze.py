@@ -33,11 +33,17 @@ def new_records(target: DataFrame, delivery: DataFrame) -> DataFrame:
     """Delivery rows whose record identity is not in Bronze yet.
 
     Bronze is partitioned by the delivery ``batch_date``, which the record id
-    (built from the file path) determines, so joining on it as well lets dynamic
-    partition pruning read only the target partitions of the replayed deliveries.
+    (built from the file path) determines. The target is therefore restricted to
+    the delivery dates present in this run — a few partition values, read from
+    the landing partition listing — so the merge reads only those Bronze
+    partitions instead of every record id ever ingested (Spark's dynamic
+    partition pruning does not prune the build side of an anti join).
     """
-    scope = [PARTITION_COLUMN] if PARTITION_COLUMN in delivery.columns and PARTITION_COLUMN in target.columns else []
-    return insert_only(target, delivery, "_bronze_record_id", scope=scope)
+    if PARTITION_COLUMN in delivery.columns and PARTITION_COLUMN in target.columns:
+        dates = [r[0] for r in delivery.select(PARTITION_COLUMN).distinct().collect()]
+        pruned = target.filter(F.col(PARTITION_COLUMN).isin(dates))
+        return insert_only(pruned, delivery, "_bronze_record_id", scope=[PARTITION_COLUMN])
+    return insert_only(target, delivery, "_bronze_record_id")
 
 
 def ingest_counts(entity: str, delivery: DataFrame, inserted: DataFrame) -> DataFrame:

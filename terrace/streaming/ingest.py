@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from terrace.operators.lineage import with_lineage
-from terrace.operators.merge import insert_only
+from terrace.plans.bronze import new_records
 from terrace.sinks import publish
 from terrace.sources.contracts import CONTRACTS, FORMATS, PARTITION_COLUMN, SOURCE_SYSTEMS, with_partition
 from terrace.sources.landing import entity_path
@@ -47,7 +47,7 @@ def bronze_batch_writer(bronze_path: str, entity: str, batch_prefix: str, as_of:
         spark = batch.sparkSession
         stamped = with_lineage(batch, SOURCE_SYSTEMS[entity], f"{batch_prefix}-{epoch_id}", ingested_at=as_of)
         if publish.exists(spark, bronze_path):
-            new = insert_only(spark.read.parquet(bronze_path), stamped, "_bronze_record_id", scope=[PARTITION_COLUMN])
+            new = new_records(spark.read.parquet(bronze_path), stamped)
         else:
             new = stamped
         publish.append(new, bronze_path, [PARTITION_COLUMN])
@@ -68,9 +68,8 @@ def start_bronze_ingest(
 ) -> StreamingQuery:
     """Start the incremental ingest of ``entity`` into ``bronze_path``.
 
-    Bronze is partitioned by the delivery ``batch_date``; the merge joins on it as
-    well, so only the Bronze partitions of the deliveries in the micro-batch are
-    read (dynamic partition pruning).
+    Bronze is partitioned by the delivery ``batch_date``; the merge reads only the
+    Bronze partitions of the deliveries in the micro-batch.
     """
     stream = read_stream(spark, landing_root, entity, max_files_per_trigger)
     writer = (

@@ -50,3 +50,29 @@ def test_delivery_round_trip_is_lossless(spark, tmp_path):
     landing.write_delivery(df, str(tmp_path), "customers")
     back = landing.scan(spark, str(tmp_path), "customers", with_source_file=False)
     assert [tuple(r) for r in back.collect()] == [tuple(r) for r in df.collect()]
+
+
+def test_bronze_from_landing_prunes_target_partitions(spark, tmp_path):
+    import datetime as dt
+
+    from terrace.plans import bronze as B
+    from terrace.plans import lakehouse as L
+
+    root = tmp_path / "landing"
+    for day, ids in (("2024-01-01", ["O1", "O2"]), ("2024-01-02", ["O3"])):
+        lines = "".join(f"{i},C1,P1,{day} 10:00:00,1,2.00,0.0,WEB,COMPLETED,USD\n" for i in ids)
+        _write(root / f"orders/batch_date={day}/part.csv",
+               "order_id,customer_id,product_id,ordered_at,quantity,unit_price,discount_pct,channel,status,currency\n"
+               + lines)
+    lake = L.Lakehouse(str(tmp_path / "lake"))
+    at = dt.datetime(2024, 1, 3)
+    first = L.run_bronze(spark, lake, {"orders": B.stamped_delivery(spark, str(root), "orders", "b1", at)},
+                         {"orders": ["batch_date"]})
+    assert first[0]["rows_inserted"] == 3
+    # replay only the second delivery: the merge reads only that Bronze partition
+    replay = B.stamped_delivery(spark, str(root), "orders", "b2", at, since="2024-01-02")
+    target = spark.read.parquet(lake.path("bronze", "orders"))
+    new = B.new_records(target, replay)
+    assert new.count() == 0
+    plan = new._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    assert "PartitionFilters: [isnotnull(batch_date" in plan and "2024-01-02" in plan
