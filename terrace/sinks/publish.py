@@ -48,6 +48,23 @@ def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> Non
     _writer(df, "overwrite", partition_by).parquet(path)
 
 
+def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
+    """Replace only the partitions present in ``df`` (dynamic partition overwrite).
+
+    ``df`` must not read ``path`` (stage it first). Untouched partitions keep their
+    files, so the cost is proportional to what changed, not to the table.
+    """
+    _writer(df, "overwrite", partition_by).option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def delete_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> None:
+    """Remove partition directories ``column=value`` (partitions emptied by a merge)."""
+    for value in values:
+        fs, p = _fs(spark, f"{path.rstrip('/')}/{column}={value}")
+        if fs.exists(p):
+            fs.delete(p, True)
+
+
 def snapshot_path(table_root: str, batch_id: str) -> str:
     return f"{table_root.rstrip('/')}/{SNAPSHOT_PREFIX}{batch_id}"
 
