@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from terrace.operators import quality as Q
 from terrace.operators import rules as R
 from terrace.operators.merge import insert_only, upsert
+from terrace.operators.scd2 import detect_changes
 from terrace.plans import bronze as B
 from terrace.plans import gold as G
 from terrace.plans import questions
@@ -54,6 +55,17 @@ def without_layout(df: DataFrame | None) -> DataFrame | None:
     return df.drop(*[c for c in LAYOUT_COLUMNS if c in df.columns])
 
 
+@dataclass(frozen=True)
+class SilverChecks:
+    """Switches of the Silver gate. The rate ceiling is off by default (declared but
+    not enforced in the source configuration); set it to gate on it."""
+
+    require_unique_order_id: bool = True
+    require_positive_quantity: bool = True
+    require_non_negative_price: bool = True
+    max_order_quarantine_rate: float | None = None
+
+
 @dataclass(frozen=True)
 class Lakehouse:
     root: str
@@ -147,16 +159,28 @@ def _append_quarantine(spark: SparkSession, lake: Lakehouse, rows: DataFrame) ->
 
 
 def run_silver(
-    spark: SparkSession, lake: Lakehouse, batch_id: str, as_of: _dt.datetime, enforce: bool = True
+    spark: SparkSession,
+    lake: Lakehouse,
+    batch_id: str,
+    as_of: _dt.datetime,
+    enforce: bool = True,
+    checks: SilverChecks = SilverChecks(),
 ) -> dict:
     qdate = as_of.date()
     # customers: normalise → validate → quarantine → latest → SCD2
     bc = spark.read.parquet(lake.path("bronze", "customers"))
     c_cls = stage(spark, S.customers_classified(bc), "customers-classified")
     c_bad = _append_quarantine(spark, lake, S.customers_quarantine(c_cls, qdate))
-    history = publish.read_current(spark, lake.path("silver", "customers"))
-    new_history = S.customers_history(history, S.customers_incoming(c_cls), as_of)
-    c_path = publish.publish_snapshot(new_history, lake.path("silver", "customers"), batch_id)
+    c_root = lake.path("silver", "customers")
+    history = publish.read_current(spark, c_root)
+    incoming_customers = S.customers_incoming(c_cls)
+    if history is not None and detect_changes(
+        incoming_customers, history.filter(F.col("is_current")), "customer_id"
+    ).isEmpty():
+        c_path = publish.current_snapshot(spark, c_root)  # nothing changed: keep the current history
+    else:
+        new_history = S.customers_history(history, incoming_customers, as_of)
+        c_path = publish.publish_snapshot(new_history, c_root, batch_id)
 
     # products: validate → quarantine → latest → upsert
     bp = spark.read.parquet(lake.path("bronze", "products"))
@@ -173,21 +197,31 @@ def run_silver(
     bo = spark.read.parquet(lake.path("bronze", "orders"))
     o_cls = stage(spark, S.orders_classified(S.orders_checked(bo, customers, products)), "orders-classified")
     o_bad = _append_quarantine(spark, lake, S.orders_quarantine(o_cls, qdate))
-    rate = Q.quarantine_rate(o_cls).first().asDict()
+    rate = Q.quarantine_rate(o_cls, checks.max_order_quarantine_rate or 0.05).first().asDict()
     s_path = lake.path("silver", "sales")
     upsert_partitions(spark, s_path, S.sales_rows(o_cls), "order_id", "sales")
     sales = without_layout(spark.read.parquet(s_path))
     current = spark.read.parquet(c_path).filter(F.col("is_current"))
+    sales_checks = [Q.not_null("order_id")]
+    sales_checks += [Q.unique("order_id")] if checks.require_unique_order_id else []
+    sales_checks += [Q.positive("quantity")] if checks.require_positive_quantity else []
+    sales_checks += [Q.non_negative("unit_price")] if checks.require_non_negative_price else []
     results = Q.suite(
         [
-            (sales, [Q.not_null("order_id"), Q.unique("order_id"), Q.positive("quantity"),
-                     Q.non_negative("unit_price")]),
+            (sales, sales_checks),
             (current, [Q.not_null("customer_id"), Q.unique("customer_id")]),
             (products, [Q.unique("product_id")]),
         ]
     )
     evidence = Q.report(results, "silver", as_of)
     evidence["quarantine_rate"] = rate
+    if checks.max_order_quarantine_rate is not None:
+        within = rate["rate"] is None or rate["rate"] <= checks.max_order_quarantine_rate
+        evidence["checks"].append(
+            {"name": "order_quarantine_rate", "passed": within, "actual": rate["quarantined"],
+             "expectation": f"rate <= {checks.max_order_quarantine_rate}"}
+        )
+        evidence["passed"] = evidence["passed"] and within
     if enforce:
         Q.gate(spark, evidence, lake.path("quality", f"silver-{batch_id}.json"))
     return {"evidence": evidence, "quarantined_customers": c_bad, "quarantined_orders": o_bad,

@@ -101,3 +101,20 @@ def test_partition_scoped_upsert_moves_keys_between_partitions(spark):
     L.upsert_partitions(spark, path, spark.createDataFrame(rows2, schema), "order_id", "sales")
     got = sorted((r.order_id, r.v) for r in spark.read.parquet(path).collect())
     assert got == [("k1", "a2"), ("k2", "b")]
+
+
+def test_unchanged_customers_keep_the_current_snapshot(spark, lake):
+    from terrace.sinks import publish
+
+    lk = lake["lake"]
+    # the second Silver run saw the same customers: no new history snapshot was written
+    assert lake["silver_again"]["customers"] == lake["silver"]["customers"]
+    assert publish.current_snapshot(spark, lk.path("silver", "customers")) == lake["silver"]["customers"]
+
+
+def test_quarantine_rate_ceiling_is_a_switch(spark, lake):
+    from terrace.operators.quality import QualityGateError
+
+    with pytest.raises(QualityGateError, match="order_quarantine_rate"):
+        L.run_silver(spark, lake["lake"], "19990101T000009Z", X.DAY1,
+                     checks=L.SilverChecks(max_order_quarantine_rate=0.0001))
