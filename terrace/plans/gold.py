@@ -95,13 +95,26 @@ def customer_360(
     )
 
 
-def product_performance(fact: DataFrame, dim_prod: DataFrame, distinct_orders: bool = False) -> DataFrame:
-    """Per product: orders, units, net revenue, margin, and dense revenue rank in category."""
+def product_totals(fact: DataFrame, dim_prod: DataFrame, distinct_orders: bool = False) -> DataFrame:
+    """Per product: orders, units, net revenue, margin, with the product dimension."""
     per_product = fact.groupBy("product_key").agg(
         _orders(distinct_orders).alias("orders"),
         F.sum("quantity").alias("units_sold"),
         money.round_sum("net_amount").alias("net_revenue"),
         money.round_sum("margin_amount").alias("gross_margin"),
     )
-    joined = per_product.join(dim_prod, "product_key")
-    return dense_rank_within(joined, "category", "net_revenue", "revenue_rank_in_category")
+    return per_product.join(dim_prod, "product_key")
+
+
+def rank_in_category(totals: DataFrame) -> DataFrame:
+    """Dense revenue rank inside each category (distributed; see ``operators.rank``).
+
+    The rank reads ``totals`` more than once; pass a staged table (one row per
+    product) so the fact is not aggregated again for each read.
+    """
+    return dense_rank_within(totals, "category", "net_revenue", "revenue_rank_in_category")
+
+
+def product_performance(fact: DataFrame, dim_prod: DataFrame, distinct_orders: bool = False) -> DataFrame:
+    """Per product: orders, units, net revenue, margin, and dense revenue rank in category."""
+    return rank_in_category(product_totals(fact, dim_prod, distinct_orders))

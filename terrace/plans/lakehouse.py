@@ -264,7 +264,8 @@ def build_gold(spark: SparkSession, lake: Lakehouse, as_of: _dt.datetime) -> dic
         "fact_sales": fact,
         "daily_sales": G.daily_sales(fact),
         "customer_360": G.customer_360(fact, dim_c, as_of.date()),
-        "product_performance": G.product_performance(fact, dim_p),
+        # one row per product, read several times by the distributed rank → staged
+        "product_performance": G.rank_in_category(stage(spark, G.product_totals(fact, dim_p), "product-totals")),
     }
 
 
