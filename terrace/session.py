@@ -47,16 +47,21 @@ def scratch_dir(spark: SparkSession) -> str:
     setting is absent (unit tests on a laptop) is a private folder created and
     registered, so a cluster job never falls back to machine-local disk.
     """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Spark Connect session)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="terrace-ckpt-")
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+    if sc is None:
+        return configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir() or configured
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -16,7 +16,11 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     footer schema) is kept per session instead of being re-listed by every query.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    try:
+        owner = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext (e.g. a Spark Connect session)
+        owner = str(id(spark))
+    key = (owner, path)
     if key not in _LOADED:
         _LOADED[key] = spark.read.parquet(path)
     return _LOADED[key]
