@@ -9,7 +9,9 @@ second engine. Engine differences are bridged explicitly:
 * ``initcap`` (absent in DuckDB) is rebuilt from split/upper/lower;
 * money is rounded as DECIMAL and compared as DOUBLE; sums of integers are cast
   to BIGINT (DuckDB widens them to HUGEINT);
-* averages are rounded half away from zero from exact integer cents.
+* averages are rounded half away from zero from exact integer cents;
+* order counts use ``COUNT(DISTINCT order_id)`` as the marts are defined, which
+  also checks the Spark side's plain count (valid because ``order_id`` is unique).
 """
 
 from __future__ import annotations
@@ -276,7 +278,7 @@ GOLD = [
     s.channel, s.status, s.currency
   FROM sales s JOIN dimc c ON s.customer_id = c.customer_id JOIN dimp p ON s.product_id = p.product_id)""",
     f"""daily AS (
-  SELECT order_date, channel, COUNT(order_id) AS orders, CAST(SUM(quantity) AS BIGINT) AS units,
+  SELECT order_date, channel, COUNT(DISTINCT order_id) AS orders, CAST(SUM(quantity) AS BIGINT) AS units,
     CAST(ROUND(SUM(gross_amount), 2) AS DOUBLE) AS gross_revenue,
     CAST(ROUND(SUM(discount_amount), 2) AS DOUBLE) AS discounts,
     CAST(ROUND(SUM(net_amount), 2) AS DOUBLE) AS net_revenue,
@@ -288,7 +290,7 @@ GOLD = [
     a.distinct_products, c.full_name, c.email, c.city, c.country, c.segment, c.signup_date, c.valid_from,
     CAST(date_diff('day', CAST(a.last_order_at AS DATE), {D1}) AS INTEGER) AS days_since_last_order,
     CASE WHEN a.lifetime_value >= 1000 THEN 'HIGH' WHEN a.lifetime_value >= 300 THEN 'MEDIUM' ELSE 'LOW' END AS value_band
-  FROM (SELECT customer_id, COUNT(order_id) AS lifetime_orders,
+  FROM (SELECT customer_id, COUNT(DISTINCT order_id) AS lifetime_orders,
           CAST(ROUND(SUM(net_amount), 2) AS DOUBLE) AS lifetime_value, MAX(ordered_at) AS last_order_at,
           {rounded_avg('net_amount')} AS average_order_value, COUNT(DISTINCT product_id) AS distinct_products
         FROM fact GROUP BY customer_id) a JOIN dimc c ON a.customer_id = c.customer_id)""",
@@ -297,7 +299,7 @@ GOLD = [
     CAST(p.unit_cost AS DOUBLE) AS unit_cost, CAST(p.list_price AS DOUBLE) AS list_price, p.active,
     CAST(DENSE_RANK() OVER (PARTITION BY p.category ORDER BY a.net_revenue DESC NULLS LAST) AS INTEGER)
       AS revenue_rank_in_category
-  FROM (SELECT product_id, COUNT(order_id) AS orders, CAST(SUM(quantity) AS BIGINT) AS units_sold,
+  FROM (SELECT product_id, COUNT(DISTINCT order_id) AS orders, CAST(SUM(quantity) AS BIGINT) AS units_sold,
           CAST(ROUND(SUM(net_amount), 2) AS DOUBLE) AS net_revenue,
           CAST(ROUND(SUM(margin_amount), 2) AS DOUBLE) AS gross_margin
         FROM fact GROUP BY product_id) a JOIN dimp p ON a.product_id = p.product_id)""",
@@ -530,7 +532,7 @@ ORACLE: dict[str, str] = {
     "bq_channel_mix": _q(
         ALL,
         "SELECT channel, CAST(SUM(orders) AS BIGINT) AS orders, CAST(SUM(net_revenue) AS DOUBLE) AS revenue "
-        "FROM (SELECT channel, COUNT(order_id) AS orders, ROUND(SUM(net_amount), 2) AS net_revenue "
+        "FROM (SELECT channel, COUNT(DISTINCT order_id) AS orders, ROUND(SUM(net_amount), 2) AS net_revenue "
         "FROM fact GROUP BY order_date, channel) GROUP BY channel ORDER BY revenue DESC",
     ),
 }

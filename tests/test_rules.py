@@ -70,3 +70,12 @@ def test_quarantine_id_is_deterministic(spark):
     a = R.quarantine(df, "order", None).first()._quarantine_id
     b = R.quarantine(df, "order", None).first()._quarantine_id
     assert a == b
+
+
+def test_valid_invalid_split_adds_no_exchange(spark):
+    df = spark.range(1000).select(F.col("id").cast("string").alias("order_id"), F.lit(1).alias("quantity"),
+                                  F.lit(1).cast("decimal(12,2)").alias("unit_price"),
+                                  F.lit(True).alias("_customer_exists"), F.lit(True).alias("_product_exists"))
+    classified = R.classify(df, S.order_rules())
+    for side in (R.valid_rows(classified), R.invalid_rows(classified)):
+        assert "Exchange" not in side._jdf.queryExecution().sparkPlan().toString()  # noqa: SLF001
