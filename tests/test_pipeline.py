@@ -118,3 +118,27 @@ def test_quarantine_rate_ceiling_is_a_switch(spark, lake):
     with pytest.raises(QualityGateError, match="order_quarantine_rate"):
         L.run_silver(spark, lake["lake"], "19990101T000009Z", X.DAY1,
                      checks=L.SilverChecks(max_order_quarantine_rate=0.0001))
+
+
+def test_incremental_silver_run_upserts_only_new_deliveries(spark):
+    import datetime as dt
+
+    lake = L.Lakehouse(fresh_path(spark, "test-lake-incr"))
+    bronze = X.bronze_orders(spark, SF_SMALL)
+    first, second = X.split_at_cutoff(bronze)
+    dims = {"customers": X.bronze_customers(spark, SF_SMALL, 1), "products": X.bronze_products(spark, SF_SMALL, 1)}
+    L.run_bronze(spark, lake, {**dims, "orders": first})
+    L.run_silver(spark, lake, "b1", X.DAY1)
+    L.run_bronze(spark, lake, {"orders": second})
+    L.run_silver(spark, lake, "b2", X.DAY1, since=X.ORDERS_CUTOFF.date())
+    incremental = L.without_layout(spark.read.parquet(lake.path("silver", "sales")))
+    from terrace.operators.merge import upsert
+
+    w = World(spark, SF_SMALL)
+    # two full-rescan runs: run 1 over the first deliveries, run 2 over all of Bronze (an
+    # invalid newer version leaves the older trusted row in place in both modes); the
+    # fixture has no late dimensions, so the increment gives the same result
+    full = upsert(w.sales(first), w.sales(bronze), "order_id")
+    cols = sorted(full.columns)
+    assert incremental.select(cols).exceptAll(full.select(cols)).count() == 0
+    assert full.select(cols).exceptAll(incremental.select(cols)).count() == 0
