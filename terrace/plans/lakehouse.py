@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from terrace.operators import quality as Q
 from terrace.operators import rules as R
 from terrace.operators.merge import insert_only, upsert
-from terrace.operators.scd2 import detect_changes
+from terrace.functions.normalize import ntz_literal
+from terrace.operators.scd2 import apply_scd2, detect_changes, first_load
 from terrace.plans import bronze as B
 from terrace.plans import gold as G
 from terrace.plans import questions
@@ -31,12 +32,17 @@ from terrace.sinks import publish
 # directories (one or more files each) whatever the data volume, while a month
 # of a large history is still split into many files by the rebalancing writer.
 LAYOUT = {
+    "customers": ["_version_state"],
     "sales": ["order_month"],
     "fact_sales": ["order_month"],
     "daily_sales": ["order_month"],
     "quarantine": ["_quarantine_date"],
 }
-LAYOUT_COLUMNS = {"order_month": lambda: F.trunc(F.col("order_date"), "month")}
+LAYOUT_COLUMNS = {
+    "order_month": lambda: F.trunc(F.col("order_date"), "month"),
+    # SCD2 history: closed versions never change, current ones are rewritten each run
+    "_version_state": lambda: F.when(F.col("is_current"), F.lit("current")).otherwise(F.lit("closed")),
+}
 
 
 def with_layout(df: DataFrame, table: str) -> tuple[DataFrame, list[str]]:
@@ -171,6 +177,46 @@ def _append_quarantine(spark: SparkSession, lake: Lakehouse, rows: DataFrame) ->
     return _write_observed(rows, "quarantine", path, LAYOUT["quarantine"])
 
 
+def read_current_versions(spark: SparkSession, path: str) -> DataFrame:
+    """Current SCD2 versions only (partition pruning on the version state)."""
+    return without_layout(spark.read.parquet(path).filter(F.col("_version_state") == "current"))
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    return without_layout(spark.read.parquet(path))
+
+
+def apply_history(spark: SparkSession, path: str, incoming: DataFrame, key: str, as_of: _dt.datetime) -> bool:
+    """SCD2 publish that rewrites only the current versions.
+
+    The history table is partitioned by version state. Closed versions never
+    change, so a run reads only the current partition, computes the new versions
+    with :func:`terrace.operators.scd2.apply_scd2`, appends the versions it closed
+    (insert-only on ``(key, valid_from)``, so a retried run cannot add them twice)
+    and replaces the current partition. Cost follows the number of keys, not the
+    length of the history. Returns False (and writes nothing) when the delivery
+    changes nothing.
+    """
+    if not publish.exists(spark, path):
+        first, parts = with_layout(first_load(incoming, as_of), "customers")
+        publish.overwrite(first, path, parts)
+        return True
+    current = read_current_versions(spark, path)
+    if detect_changes(incoming, current, key).isEmpty():
+        return False
+    versions = stage(spark, apply_scd2(current, incoming, key, as_of), "scd2-versions")
+    closed_now = versions.filter(~F.col("is_current"))
+    closed_before = read_history(spark, path).filter(~F.col("is_current")).filter(
+        F.col("valid_to") == ntz_literal(as_of)
+    )
+    new_closed = insert_only(closed_before, closed_now, [key, "valid_from"])
+    laid, parts = with_layout(new_closed, "customers")
+    publish.append(laid, path, parts)
+    laid_current, _ = with_layout(versions.filter(F.col("is_current")), "customers")
+    publish.overwrite_partitions(laid_current, path, parts)
+    return True
+
+
 def run_silver(
     spark: SparkSession,
     lake: Lakehouse,
@@ -195,16 +241,8 @@ def run_silver(
     # than writing a copy of it, so it is not staged.
     c_cls = S.customers_classified(bc)
     c_bad = _append_quarantine(spark, lake, S.customers_quarantine(c_cls, qdate))
-    c_root = lake.path("silver", "customers")
-    history = publish.read_current(spark, c_root)
-    incoming_customers = S.customers_incoming(c_cls)
-    if history is not None and detect_changes(
-        incoming_customers, history.filter(F.col("is_current")), "customer_id"
-    ).isEmpty():
-        c_path = publish.current_snapshot(spark, c_root)  # nothing changed: keep the current history
-    else:
-        new_history = S.customers_history(history, incoming_customers, as_of)
-        c_path = publish.publish_snapshot(new_history, c_root, batch_id)
+    c_path = lake.path("silver", "customers")
+    changed = apply_history(spark, c_path, S.customers_incoming(c_cls), "customer_id", as_of)
 
     # products: validate → quarantine → latest → upsert
     bp = spark.read.parquet(lake.path("bronze", "products"))
@@ -216,7 +254,7 @@ def run_silver(
     p_path = publish.publish_snapshot(merged_products, lake.path("silver", "products"), batch_id)
 
     # orders: latest → financials → reference flags → classify (one staged table, read twice)
-    customers = spark.read.parquet(c_path)
+    customers = read_current_versions(spark, c_path)
     products = spark.read.parquet(p_path)
     bo = spark.read.parquet(lake.path("bronze", "orders"))
     if since is not None:
@@ -234,7 +272,7 @@ def run_silver(
     s_path = lake.path("silver", "sales")
     upsert_partitions(spark, s_path, S.sales_rows(o_cls), "order_id", "sales")
     sales = without_layout(spark.read.parquet(s_path))
-    current = spark.read.parquet(c_path).filter(F.col("is_current"))
+    current = read_current_versions(spark, c_path)
     sales_checks = [Q.not_null("order_id")]
     sales_checks += [Q.unique("order_id")] if checks.require_unique_order_id else []
     sales_checks += [Q.positive("quantity")] if checks.require_positive_quantity else []
@@ -258,12 +296,12 @@ def run_silver(
     if enforce:
         Q.gate(spark, evidence, lake.path("quality", f"silver-{batch_id}.json"))
     return {"evidence": evidence, "quarantined_customers": c_bad, "quarantined_orders": o_bad,
-            "customers": c_path, "products": p_path, "sales": s_path}
+            "customers": c_path, "customers_changed": changed, "products": p_path, "sales": s_path}
 
 
 # ----------------------------------------------------------------------------- gold
 def build_gold(spark: SparkSession, lake: Lakehouse, as_of: _dt.datetime) -> dict[str, DataFrame]:
-    customers = publish.read_current(spark, lake.path("silver", "customers"))
+    customers = read_current_versions(spark, lake.path("silver", "customers"))
     products = publish.read_current(spark, lake.path("silver", "products"))
     sales = without_layout(spark.read.parquet(lake.path("silver", "sales")))
     dim_c = G.dim_customer(customers)

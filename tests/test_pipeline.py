@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
+from terrace.operators.scd2 import apply_scd2, first_load
 from terrace.plans import lakehouse as L
+from terrace.plans import silver as S
 from terrace.registry import World
 from terrace.session import fresh_path
 from terrace.sources import fixtures as X
@@ -31,9 +33,9 @@ def test_bronze_replay_inserts_nothing(lake):
 
 def test_silver_rerun_equals_single_run(spark, lake):
     a, b = lake["silver"], lake["silver_again"]
-    for t in ("customers", "products"):
-        x, y = spark.read.parquet(a[t]), spark.read.parquet(b[t])
-        assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+    x, y = spark.read.parquet(a["products"]), spark.read.parquet(b["products"])
+    assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
+    assert b["customers_changed"] is False  # same delivery again: history untouched
     x, y = a["sales_copy"], spark.read.parquet(b["sales"])
     assert x.exceptAll(y).count() == 0 and y.exceptAll(x).count() == 0
     q = spark.read.parquet(lake["lake"].path("silver", "quarantine"))
@@ -64,7 +66,7 @@ def test_daily_net_sums_to_fact_net(spark, lake):
 
 
 def test_one_current_row_per_customer(spark, lake):
-    hist = spark.read.parquet(lake["silver"]["customers"])
+    hist = L.read_history(spark, lake["silver"]["customers"])
     assert hist.filter("is_current").groupBy("customer_id").count().filter("count > 1").count() == 0
 
 
@@ -103,13 +105,19 @@ def test_partition_scoped_upsert_moves_keys_between_partitions(spark):
     assert got == [("k1", "a2"), ("k2", "b")]
 
 
-def test_unchanged_customers_keep_the_current_snapshot(spark, lake):
-    from terrace.sinks import publish
-
-    lk = lake["lake"]
-    # the second Silver run saw the same customers: no new history snapshot was written
-    assert lake["silver_again"]["customers"] == lake["silver"]["customers"]
-    assert publish.current_snapshot(spark, lk.path("silver", "customers")) == lake["silver"]["customers"]
+def test_scd2_history_rewrites_only_current_versions(spark):
+    lake = L.Lakehouse(fresh_path(spark, "test-lake-scd2"))
+    path = lake.path("silver", "customers")
+    day1 = S.customers_incoming(S.customers_classified(X.bronze_customers(spark, SF_SMALL, 1)))
+    day2 = S.customers_incoming(S.customers_classified(X.bronze_customers(spark, SF_SMALL, 2)))
+    assert L.apply_history(spark, path, day1, "customer_id", X.DAY1)
+    assert L.apply_history(spark, path, day2, "customer_id", X.DAY2)
+    assert L.apply_history(spark, path, day2, "customer_id", X.DAY2) is False  # replay: nothing changes
+    got = L.read_history(spark, path)
+    want = apply_scd2(first_load(day1, X.DAY1), day2, "customer_id", X.DAY2)
+    cols = sorted(want.columns)
+    assert got.select(cols).exceptAll(want.select(cols)).count() == 0
+    assert want.select(cols).exceptAll(got.select(cols)).count() == 0
 
 
 def test_quarantine_rate_ceiling_is_a_switch(spark, lake):
