@@ -62,6 +62,7 @@ def apply_scd2(
     key: str,
     as_of: _dt.datetime | Column,
     hash_col: str = "attribute_hash",
+    opened_flag: str | None = None,
 ) -> DataFrame:
     """History after applying one delivery.
 
@@ -74,6 +75,8 @@ def apply_scd2(
     The one-or-two output rows per joined row come from exploding a two-element
     array, so the join is evaluated once. ``incoming`` must hold one row per key
     (dedupe first, else history forks). Keys absent from the delivery stay open.
+    With ``opened_flag``, a boolean column of that name marks the versions this
+    delivery opened (to count changes without another pass).
     """
     data_cols = [c for c in incoming.columns if c not in SCD2_COLUMNS]
     closed = history.filter(~F.coalesce(F.col("is_current"), F.lit(False)))
@@ -88,12 +91,15 @@ def apply_scd2(
     expired = has_cur & changed
     open_ts = _ts(as_of)
 
+    flag = [F.lit(False).alias(opened_flag)] if opened_flag else []
+    new_flag = [F.lit(True).alias(opened_flag)] if opened_flag else []
     old_version = F.struct(
         has_cur.alias("_present"),
         *[F.col(f"_c_{c}").alias(c) for c in data_cols],
         F.col("_c_valid_from").alias("valid_from"),
         F.when(expired, open_ts).otherwise(F.col("_c_valid_to")).alias("valid_to"),
         F.when(expired, F.lit(False)).otherwise(F.col("_c_is_current")).cast(BooleanType()).alias("is_current"),
+        *flag,
     )
     new_version = F.struct(
         changed.alias("_present"),
@@ -101,10 +107,12 @@ def apply_scd2(
         open_ts.alias("valid_from"),
         F.lit(None).cast(TimestampNTZType()).alias("valid_to"),
         F.lit(True).alias("is_current"),
+        *new_flag,
     )
+    out_cols = data_cols + SCD2_COLUMNS + ([opened_flag] if opened_flag else [])
     versions = (
         j.select(F.explode(F.array(old_version, new_version)).alias("_v"))
         .filter(F.col("_v._present"))
-        .select(*[F.col(f"_v.{c}").alias(c) for c in data_cols + SCD2_COLUMNS])
+        .select(*[F.col(f"_v.{c}").alias(c) for c in out_cols])
     )
-    return closed.select(*data_cols, *SCD2_COLUMNS).unionByName(versions)
+    return closed.select(*data_cols, *SCD2_COLUMNS, *flag).unionByName(versions)

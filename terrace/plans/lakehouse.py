@@ -19,7 +19,7 @@ from terrace.operators import quality as Q
 from terrace.operators import rules as R
 from terrace.operators.merge import insert_only, upsert
 from terrace.functions.normalize import ntz_literal
-from terrace.operators.scd2 import apply_scd2, detect_changes, first_load
+from terrace.operators.scd2 import apply_scd2, first_load
 from terrace.plans import bronze as B
 from terrace.plans import gold as G
 from terrace.plans import questions
@@ -194,17 +194,23 @@ def apply_history(spark: SparkSession, path: str, incoming: DataFrame, key: str,
     with :func:`terrace.operators.scd2.apply_scd2`, appends the versions it closed
     (insert-only on ``(key, valid_from)``, so a retried run cannot add them twice)
     and replaces the current partition. Cost follows the number of keys, not the
-    length of the history. Returns False (and writes nothing) when the delivery
-    changes nothing.
+    length of the history. Returns False (and writes nothing to the table) when
+    the delivery changes nothing (the reference's skip-if-unchanged probe).
     """
     if not publish.exists(spark, path):
         first, parts = with_layout(first_load(incoming, as_of), "customers")
         publish.overwrite(first, path, parts)
         return True
     current = read_current_versions(spark, path)
-    if detect_changes(incoming, current, key).isEmpty():
+    # One evaluation of the change join: versions are staged while counting the
+    # versions this run opened; none opened means nothing changed.
+    versions, seen = stage(
+        spark, apply_scd2(current, incoming, key, as_of, opened_flag="_opened"), "scd2-versions",
+        F.count_if(F.col("_opened")).alias("opened"),
+    )
+    if not seen.get("opened"):
         return False
-    versions = stage(spark, apply_scd2(current, incoming, key, as_of), "scd2-versions")
+    versions = versions.drop("_opened")
     closed_now = versions.filter(~F.col("is_current"))
     closed_before = read_history(spark, path).filter(~F.col("is_current")).filter(
         F.col("valid_to") == ntz_literal(as_of)
