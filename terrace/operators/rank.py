@@ -13,6 +13,9 @@ sort instead:
    ``tasks + groups`` rows, a proven bound — prefix sums give each task's
    offset within its group;
 4. rank = offset + position in task + 1, joined back on ``(group, v)``.
+
+The numbered distinct values (at most one row per distinct value, not per input
+row) are checkpointed once so both uses see the same numbering.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.session import scratch_dir
+
 
 def dense_rank_within(
     df: DataFrame,
@@ -31,6 +36,7 @@ def dense_rank_within(
 ) -> DataFrame:
     """Add ``rank_col`` = dense rank of ``value`` inside ``group`` (NULL values rank last)."""
     spark = df.sparkSession
+    scratch_dir(spark)  # checkpoint() needs the shared folder
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_v = F.col(value).desc_nulls_last() if descending else F.col(value).asc_nulls_last()
     distinct_values = df.select(group, value).distinct()
@@ -39,12 +45,19 @@ def dense_rank_within(
         .sortWithinPartitions(F.col(group).asc_nulls_last(), order_v)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_row", F.monotonically_increasing_id())
+        # Read twice below (offsets and ranks), and the task/row numbering must be
+        # the same in both: materialise it once. ``checkpoint`` writes to the
+        # shared checkpoint folder, so a lost executor does not renumber rows.
+        .checkpoint(eager=True)
     )
     # Small table: one row per (group, task) — bounded by tasks + groups.
     spans = ordered.groupBy(group, "_pid").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = spans.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
-    ranked = ordered.join(F.broadcast(offsets.select(group, "_pid", "_first", "_offset")), [group, "_pid"]).select(
+    spans_b = offsets.select(F.col(group).alias("_g"), F.col("_pid").alias("_p"), "_first", "_offset")
+    # NULL is a group of its own (as in a window), so the join is NULL-safe.
+    on = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_pid") == F.col("_p"))
+    ranked = ordered.join(F.broadcast(spans_b), on).select(
         group,
         value,
         (F.col("_offset") + F.col("_row") - F.col("_first") + 1).cast("int").alias(rank_col),

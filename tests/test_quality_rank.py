@@ -39,6 +39,7 @@ def test_distributed_dense_rank_equals_window(spark):
     rng = random.Random(7)
     rows = [(f"c{rng.randint(0, 3)}", rng.choice([None, *range(30)]), i) for i in range(3000)]
     rows += [("hot", rng.randint(0, 500), 10_000 + i) for i in range(5000)]  # one group holds most rows
+    rows += [(None, rng.choice([None, 1, 2]), 20_000 + i) for i in range(50)]  # NULL group and values
     df = spark.createDataFrame(rows, "g string, v int, id int")
     a = dense_rank_within(df, "g", "v", "r", partitions=7).select("id", "r")
     b = dense_rank_window(df, "g", "v", "r").select("id", "r")
