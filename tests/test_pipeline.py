@@ -150,3 +150,25 @@ def test_incremental_silver_run_upserts_only_new_deliveries(spark):
     cols = sorted(full.columns)
     assert incremental.select(cols).exceptAll(full.select(cols)).count() == 0
     assert full.select(cols).exceptAll(incremental.select(cols)).count() == 0
+
+
+def test_gold_gate_failure_publishes_nothing(spark):
+    from decimal import Decimal
+
+    from terrace.operators.quality import QualityGateError
+    from terrace.sinks import publish
+
+    lake = L.Lakehouse(fresh_path(spark, "test-lake-gate"))
+    L.run_bronze(spark, lake, {"customers": X.bronze_customers(spark, SF_SMALL, 1),
+                               "products": X.bronze_products(spark, SF_SMALL, 1),
+                               "orders": X.bronze_orders(spark, SF_SMALL)})
+    L.run_silver(spark, lake, "b1", X.DAY1)
+    sales_path = lake.path("silver", "sales")
+    sales = L.without_layout(spark.read.parquet(sales_path))
+    bad = sales.limit(1).withColumn("order_id", F.lit("NEGATIVE-1")).withColumn(
+        "net_amount", F.lit(Decimal("-5.00")).cast("decimal(18,2)"))
+    L.upsert_partitions(spark, sales_path, L.stage(spark, bad, "bad-sale"), "order_id", "sales")
+    with pytest.raises(QualityGateError, match="net_amount_non_negative"):
+        L.run_gold(spark, lake, X.DAY1)
+    assert not publish.exists(spark, lake.path("gold", "fact_sales"))
+    assert not publish.exists(spark, lake.path("gold", "daily_sales"))
