@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import packing, secret_scan, simhash, tokens
+from terrace.llm import chat, decontaminate, fingerprint, language_id, packing, quality, secret_scan, simhash, substring_dedup, tokens
 from terrace.llm.common import table
 
 
@@ -25,18 +25,105 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next"
+    )
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.train(docs))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeats(table(spark, sf_dir, "documents")).drop("doc_key")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chat(chat.as_tool_use(table(spark, sf_dir, "conversations")), chat.SCHEMAS)
+
+
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("doc_key")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
-    "op1_secret_scans": op1_secret_scans,
-    "op2_best_fit_packing": op2_best_fit_packing,
-    "op6_token_counts": op6_token_counts,
-    "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    f.__name__: f
+    for f in (
+        op1_secret_scans, op2_best_fit_packing, op3_document_fingerprints, op4_language_id, op5_substring_dedup, op6_token_counts,
+        op7_chat_formatting, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_classifier,
+    )
+}
+
+_RUN, _LEAST = decontaminate.RUN, decontaminate.SIMILARITY
+
+
+def _seed_sql(table: str, key: str) -> str:
+    parts = [
+        f"SELECT {key}, i AS at_, {n} AS mask, concat_ws(' ', {', '.join(f'w[i + {k + 1}]' for k in mask)}) AS seed "
+        f"FROM (SELECT {key}, w, unnest(range(len(w) - {decontaminate.span(decontaminate.MASKS) - 1})) AS i FROM {table})"
+        for n, mask in enumerate(decontaminate.MASKS)
+    ]
+    return " UNION ALL ".join(parts)
+
+
+ORACLE = {
+    "op7_chat_formatting": f"""
+        WITH RECURSIVE calls AS (
+            SELECT conv_id, turn, coalesce(text, '') AS prompt, len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\r]+')) AS words,
+                   0 AS start_depth FROM conversations WHERE role = 'user'),
+        deep(conv_id, turn, depth) AS (
+            SELECT conv_id, turn, 0 FROM calls c WHERE NOT EXISTS (SELECT 1 FROM calls p WHERE p.conv_id = c.conv_id AND p.turn = c.turn - 2)
+            UNION ALL SELECT c.conv_id, c.turn, d.depth + 1 FROM deep d JOIN calls c ON c.conv_id = d.conv_id AND c.turn = d.turn + 2),
+        told AS (
+            SELECT m.conv_id, m.turn, m.role, m.text,
+                   CASE m.role WHEN 'user' THEN 'call_' || m.conv_id || '_' || m.turn WHEN 'assistant' THEN 'call_' || m.conv_id || '_' || (m.turn - 1) END AS call_id,
+                   CASE m.role WHEN 'user' THEN EXISTS (SELECT 1 FROM conversations r WHERE r.conv_id = m.conv_id AND r.turn = m.turn + 1 AND r.role = 'assistant')
+                               WHEN 'assistant' THEN EXISTS (SELECT 1 FROM calls c WHERE c.conv_id = m.conv_id AND c.turn = m.turn - 1) END AS linked,
+                   d.depth, c.prompt, c.words
+            FROM conversations m LEFT JOIN calls c ON m.role = 'user' AND c.conv_id = m.conv_id AND c.turn = m.turn
+            LEFT JOIN deep d ON m.role = 'user' AND d.conv_id = m.conv_id AND d.turn = m.turn),
+        judged AS (
+            SELECT *, CASE WHEN role = 'user' THEN concat_ws(',', CASE WHEN prompt = '' THEN 'prompt: too short' END, CASE WHEN turn < 0 THEN 'turn: too small' END,
+                                                             CASE WHEN words < 1 THEN 'words: too small' END,
+                                                             CASE WHEN words > {chat.SCHEMAS[chat.REPLY]["properties"]["words"]["maximum"]} THEN 'words: too large' END)
+                           WHEN role = 'assistant' AND NOT linked THEN 'call: none' ELSE '' END AS errors FROM told)
+        SELECT conv_id, turn, role, call_id, linked, depth::BIGINT AS depth, turn AS order_turn, 0 AS order_step, errors = '' AS valid, errors,
+               CASE role WHEN 'user' THEN '{{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"role":"user","tool_calls":[{{"arguments":{{"prompt":' || to_json(prompt)::VARCHAR
+                                          || ',"turn":' || turn || ',"words":' || words || '}},"id":"' || call_id || '","name":"{chat.REPLY}"}}]}}'
+                         WHEN 'assistant' THEN '{{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"role":"assistant","tool_call_id":"' || call_id || '"}}'
+                         ELSE '{{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"role":' || to_json(role)::VARCHAR || '}}' END AS json
+        FROM judged""",
+    "op8_benchmark_decontamination": f"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM documents WHERE text IS NOT NULL),
+        b AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM benchmark WHERE text IS NOT NULL),
+        ds AS ({_seed_sql("d", "doc_id")}),
+        bs AS ({_seed_sql("b", "item_id")}),
+        hits AS (SELECT DISTINCT ds.doc_id, bs.item_id, ds.at_ - bs.at_ AS diagonal FROM ds JOIN bs USING (mask, seed)),
+        spots AS (
+            SELECT hits.doc_id, hits.item_id, diagonal, least({_RUN}, len(b.w)) AS run, unnest(range(len(b.w))) AS j, d.w AS dw, b.w AS bw
+            FROM hits JOIN d USING (doc_id) JOIN b USING (item_id)),
+        equal AS (SELECT doc_id, item_id, diagonal, run, j, len(bw) AS n,
+                         (j + diagonal >= 0 AND j + diagonal < len(dw) AND bw[j + 1] = dw[j + diagonal + 1])::INT AS e FROM spots),
+        runs AS (SELECT *, sum(e) OVER (PARTITION BY doc_id, item_id, diagonal ORDER BY j ROWS BETWEEN CURRENT ROW AND {_RUN - 1} FOLLOWING) AS matched FROM equal),
+        best AS (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, j, j + diagonal) AS place_in,
+                        row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, j + diagonal, j) AS place FROM runs
+                 WHERE j <= n - run AND matched >= ceil({_LEAST} * run))
+        SELECT doc_id, item_id, (j + diagonal)::INT AS doc_start, j::INT AS item_start, run::INT AS run, matched::INT AS matched FROM best WHERE place = 1""",
 }

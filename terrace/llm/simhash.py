@@ -13,10 +13,10 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from terrace.llm.common import stage, texts_of
+from terrace.llm.common import stage, texts_of, unused_name
 from terrace.llm.components import connected_components
 
 SHINGLE_WORDS = 3
@@ -46,12 +46,15 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            fps = np.array([fingerprint(t.as_py(), words) for t in b.column(1)], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), _signed_fingerprints(b.column(1), words)], ["doc_id", "fp"])
 
     return texts_of(docs).mapInArrow(run, "doc_id long, fp long")
 
 
+def _signed_fingerprints(texts: pa.Array, words: int) -> pa.Array:
+    return pa.array(np.array([fingerprint(t.as_py(), words) for t in texts], np.uint64).view(np.int64))
+
+
 def covering_masks(radius: int, bits: int = 64) -> list[int]:
     """One mask per non-zero vector v of radius+1 bits: the positions whose vector has an odd product with v."""
     size = (1 << (radius + 1)) - 1
@@ -99,14 +102,40 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = M
 
     ``component_id`` is the smallest ``doc_id`` reachable over links of at most ``radius`` differing bits. Null or
     empty texts have fingerprint zero and link like any other; a null id is a member but never names a component
-    (a component of null ids only has a null ``component_id``); repeated rows stay; an empty table gives no rows.
-    Equal fingerprints are one node from the start, so copies never form pairs.
+    (a component of null ids only has a null ``component_id``); repeated rows stay; an empty table gives no rows;
+    other columns are ignored. Equal fingerprints are one node from the start, so copies never form pairs.
     """
     fps = stage(fingerprints(docs, words), "sim-fp")
-    classes = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "sim-class")
+    names = stage(_least_of_component(fps, F.col("doc_id"), radius), "sim-names")
+    return fps.join(names, "fp").select("doc_id", "fp", F.col("least").alias("component_id"))
+
+
+def representatives(docs: DataFrame, words: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs`` with one document of each component: that of the smallest ``doc_id`` (null ids last).
+
+    Among rows of one id the smallest hash of the text decides; of rows equal in id and text one is kept.
+    """
+
+    def run(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), _signed_fingerprints(b.column(2), words)], ["doc_id", "doc_key", "fp"])
+
+    key = unused_name(docs)
+    rows = docs.withColumn(key, F.struct(F.col("doc_id").cast("long").alias("id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("h")))
+    texts = rows.select(F.col(f"{key}.id").alias("doc_id"), F.col(f"{key}.h").alias("doc_key"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    fps = stage(texts.mapInArrow(run, "doc_id long, doc_key long, fp long"), "sim-fp")
+    least = _least_of_component(fps, F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "doc_key"), radius)
+    kept = stage(least.select(F.struct(F.col("least.doc_id").alias("id"), F.col("least.doc_key").alias("h")).alias(key)).distinct(), "sim-kept")
+    whole = F.coalesce(F.col(f"{key}.id"), F.lit(0)), F.col(f"{key}.id").isNull(), F.col(f"{key}.h")
+    names = [unused_name(docs) for _ in whole]
+    spread = lambda df: df.select("*", *[c.alias(n) for c, n in zip(whole, names)])
+    return spread(rows).join(spread(kept).drop(key), names, "left_semi").dropDuplicates(names).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _least_of_component(fps: DataFrame, order: Column, radius: int) -> DataFrame:
+    """``(fp, least)``: for every fingerprint the least ``order`` of its component."""
+    classes = stage(fps.groupBy("fp").agg(F.min(order).alias("least")), "sim-class")
     roots = connected_components(links(classes.select("fp"), radius))
-    placed = classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    placed = stage(placed, "sim-root")
-    least = stage(placed.groupBy("root").agg(F.min("least").alias("component_id")), "sim-least")
-    names = stage(placed.join(least, "root").select("fp", "component_id"), "sim-names")
-    return fps.join(names, "fp").select("doc_id", "fp", "component_id")
+    placed = stage(classes.join(roots, classes.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root")), "sim-root")
+    least = stage(placed.groupBy("root").agg(F.min("least").alias("least")), "sim-least")
+    return placed.drop("least").join(least, "root").select("fp", "least")
