@@ -84,7 +84,7 @@ def _seed_sql(table: str, key: str) -> str:
 
 
 ORACLE = {
-    "op7_chat_formatting": f"""
+    "op7_chat_formatting": rf"""
         WITH RECURSIVE calls AS (
             SELECT conv_id, turn, coalesce(text, '') AS prompt, len(regexp_extract_all(coalesce(text, ''), '[^ \t\n\r]+')) AS words,
                    0 AS start_depth FROM conversations WHERE role = 'user'),
@@ -110,7 +110,7 @@ ORACLE = {
                          WHEN 'assistant' THEN '{{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"role":"assistant","tool_call_id":"' || call_id || '"}}'
                          ELSE '{{"content":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"role":' || to_json(role)::VARCHAR || '}}' END AS json
         FROM judged""",
-    "op8_benchmark_decontamination": f"""
+    "op8_benchmark_decontamination": rf"""
         WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM documents WHERE text IS NOT NULL),
         b AS (SELECT item_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM benchmark WHERE text IS NOT NULL),
         ds AS ({_seed_sql("d", "doc_id")}),
