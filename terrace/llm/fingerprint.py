@@ -155,36 +155,42 @@ def with_next(docs: DataFrame) -> DataFrame:
     return rows.join(order.select("k", "h", "doc_id", "need"), ["k", "h"]).join(ahead, ["k", "h"])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, keep=lambda edited: edited) -> DataFrame:
     """``(doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next)``, one row per input row.
 
-    The edited text has its last third replaced by as much of the next document's start. A null text counts as empty;
-    null ids come last, rows of equal id stand in the order of a hash of their texts, and rows equal in both share one
-    place but each give a row; a single document is its own next. An empty table gives no rows.
+    The edited text has its last third replaced by as much of the next document's start; ``keep`` says what of it is
+    returned (all of it, or a column function of it). A null text counts as empty; null ids come last, rows of equal id
+    stand in the order of a hash of their texts, and rows equal in both share one place but each give a row; a single
+    document is its own next. An empty table gives no rows.
     """
     rows = with_next(docs)
     n = F.char_length("text")
     rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, char_length(text) - need)"), "head")).select(
-        "k", "h", "doc_id", n.cast("long").alias("n_chars"), "edited", digests(F.col("text")).alias("a"), digests(F.col("edited")).alias("e"), F.col("next_digests").alias("b")
-    )
+        "k", "h", "doc_id", n.cast("long").alias("n_chars"), keep(F.col("edited")).alias("edited"), digests(F.col("text")).alias("a"),
+        digests(F.col("edited")).alias("e"), F.col("next_digests").alias("b"),
+    )
+    prints = [text_of(F.col(f"s{c}"), F.size(c)).alias(name) for c, name in (("a", "fingerprint"), ("e", "edited_fingerprint"))]
     rows = rows.select("*", *[sketch(F.col(c)).alias(f"s{c}") for c in "aeb"])
     rows = rows.select("*", _peeled(F.col("sa"), F.col("se"), 0).alias("pe"), _peeled(F.col("sa"), F.col("sb"), 0).alias("pb"))
-    stuck = lambda c: F.when(~F.col(f"p{c}.ok"), F.col(c)).alias(f"stuck_{c}")
+    stuck = ~F.col("pe.ok") | ~F.col("pb.ok")
     rows = stage(rows.select(
-        "k", "h", "doc_id", "n_chars", "edited", text_of(F.col("sa"), F.size("a")).alias("fingerprint"), text_of(F.col("se"), F.size("e")).alias("edited_fingerprint"),
+        "k", "h", "doc_id", "n_chars", "edited", *[F.when(~stuck, p).alias(p_name) for p, p_name in zip(prints, ("fingerprint", "edited_fingerprint"))],
         *[F.size(c).cast("long").alias(f"n{c}") for c in "aeb"], *[F.when(F.col(f"p{c}.ok"), F.col(f"p{c}.only")).cast("long").alias(f"only_{c}") for c in "eb"],
-        F.when(~F.col("pe.ok") | ~F.col("pb.ok"), F.col("a")).alias("stuck_a"), stuck("e"), stuck("b"),
+        *[F.when(stuck, F.col(c)).alias(c) for c in "aeb"],
     ), "fp-rows")
+    open_ = rows.filter("a is not null")
     pairs = [
-        rows.filter(f"stuck_{c} is not null").select(F.struct("k", "h", F.lit(c).alias("c")).alias("pair"), F.col("stuck_a").alias("first"), F.col(f"stuck_{c}").alias("second"))
+        open_.filter(f"only_{c} is null").select(F.struct("k", "h", F.lit(c).alias("c")).alias("pair"), F.col("a").alias("first"), F.col(c).alias("second"))
         for c in "eb"
     ]
-    found = stage(differences(stage(pairs[0].union(pairs[1]).dropDuplicates(["pair"]), "fp-stuck")), "fp-found")
-    open_ = rows.filter("stuck_a is not null")
+    found = differences(stage(pairs[0].union(pairs[1]).dropDuplicates(["pair"]), "fp-stuck"))
+    found = found.groupBy(F.col("pair.k").alias("k"), F.col("pair.h").alias("h")).agg(*[F.max(F.when(F.col("pair.c") == c, F.col("only"))).alias(f"retried_{c}") for c in "eb"])
+    # Their digests are much shorter than their fingerprints, so those are only made behind the join.
+    open_ = open_.drop("fingerprint", "edited_fingerprint").join(stage(found, "fp-found"), ["k", "h"])
     for c in "eb":
-        solved = found.filter(F.col("pair.c") == c).select("pair.k", "pair.h", F.col("only").alias("retried"))
-        open_ = open_.join(solved, ["k", "h"], "left").withColumn(f"only_{c}", F.coalesce(f"only_{c}", "retried")).drop("retried")
-    return rows.filter("stuck_a is null").unionByName(open_).select(
-        "doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint",
-        likeness(F.col("na"), F.col("ne"), F.col("only_e")).alias("near_edited"), likeness(F.col("na"), F.col("nb"), F.col("only_b")).alias("near_next"),
-    )
+        open_ = open_.withColumn(f"only_{c}", F.coalesce(f"only_{c}", f"retried_{c}"))
+    open_ = open_.select("*", sketch(F.col("a")).alias("sa"), sketch(F.col("e")).alias("se")).select("*", *prints)
+    columns = ["doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "na", "ne", "nb", "only_e", "only_b"]
+    return rows.filter("a is null").select(columns).union(open_.select(columns)).select(
+        *columns[:5], likeness(F.col("na"), F.col("ne"), F.col("only_e")).alias("near_edited"), likeness(F.col("na"), F.col("nb"), F.col("only_b")).alias("near_next")
+    )

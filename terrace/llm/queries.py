@@ -26,10 +26,8 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = fingerprint.fingerprints(table(spark, sf_dir, "documents"))
-    return found.select(
-        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint", "near_edited", "near_next"
-    )
+    found = fingerprint.fingerprints(table(spark, sf_dir, "documents"), keep=lambda edited: F.sha2(edited, 256))
+    return found.withColumnRenamed("edited", "edited_sha256")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
