@@ -25,8 +25,8 @@ def _c(column: str | Column) -> Column:
 
 
 def amount(expr: Column) -> Column:
-    """Round to cents and store as ``AMOUNT``."""
-    return F.round(expr, 2).cast(AMOUNT)
+    """Round to cents and store as ``AMOUNT``; NULL where that has too few digits, so one row cannot stop a job."""
+    return F.round(expr, 2).try_cast(AMOUNT)
 
 
 def gross(quantity: str | Column, unit_price: str | Column) -> Column:

@@ -50,14 +50,14 @@ def dense_rank_within(
         # shared checkpoint folder, so a lost executor does not renumber rows.
         .checkpoint(eager=True)
     )
-    # Small table: one row per (group, task) — bounded by tasks + groups.
+    # One row per (group, task): tasks + groups; Spark broadcasts it if it is small.
     spans = ordered.groupBy(group, "_pid").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = spans.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     spans_b = offsets.select(F.col(group).alias("_g"), F.col("_pid").alias("_p"), "_first", "_offset")
     # NULL is a group of its own (as in a window), so the join is NULL-safe.
     on = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_pid") == F.col("_p"))
-    ranked = ordered.join(F.broadcast(spans_b), on).select(
+    ranked = ordered.join(spans_b, on).select(
         group,
         value,
         (F.col("_offset") + F.col("_row") - F.col("_first") + 1).cast("int").alias(rank_col),

@@ -536,3 +536,10 @@ ORACLE: dict[str, str] = {
         "FROM fact GROUP BY order_date, channel) GROUP BY channel ORDER BY revenue DESC",
     ),
 }
+
+# A key is good if it is as distinct as its natural key and never negative; the hash itself has no DuckDB form.
+ORACLE["surrogate_keys"] = " UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, count(*) AS key_rows, count(DISTINCT {natural}) AS natural_keys, count(DISTINCT {natural}) AS surrogate_keys, "
+    f"0::BIGINT AS negative_keys FROM ({ORACLE[table]}) AS t_{kind}"
+    for kind, table, natural in (("customer", "dim_customer", "customer_id"), ("product", "dim_product", "product_id"), ("sale", "fact_sales", "order_id"))
+)

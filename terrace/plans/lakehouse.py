@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from terrace.operators import quality as Q
 from terrace.operators import rules as R
 from terrace.operators.merge import insert_only, upsert
-from terrace.functions.normalize import ntz_literal
 from terrace.operators.scd2 import apply_scd2, first_load
 from terrace.plans import bronze as B
 from terrace.plans import gold as G
@@ -99,23 +98,11 @@ def _write_observed(df: DataFrame, name: str, path: str, partition_by: Sequence[
     return _observed_rows(obs)
 
 
-def stage(spark: SparkSession, df: DataFrame, name: str, *metrics) -> DataFrame | tuple[DataFrame, dict]:
-    """Write ``df`` once to the shared checkpoint folder and read it back (lineage cut).
-
-    With ``metrics`` (aggregate Columns), they are computed by ``observe`` during
-    the same write and returned as a dict — no extra job.
-    """
+def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and read it back (lineage cut)."""
     path = fresh_path(spark, f"stage-{name}")
-    if metrics:
-        obs = Observation(f"stage_{name}")
-        df.observe(obs, *metrics).write.mode("overwrite").parquet(path)
-        try:
-            values = obs.get
-        except Exception:  # noqa: BLE001 - AQE pruned an empty plan: the metrics node never ran
-            values = None
-        return spark.read.parquet(path), values or {}
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 # ----------------------------------------------------------------------------- bronze
@@ -161,11 +148,11 @@ def upsert_partitions(spark: SparkSession, path: str, incoming: DataFrame, key:
     holding = target.select(key, *parts).join(incoming.select(key), key, "left_semi").select(*parts)
     touched = [r[0] for r in incoming.select(*parts).union(holding).distinct().collect()]
     col = parts[0]
-    affected = target.filter(F.col(col).isin(touched))
-    merged, seen = stage(spark, upsert(affected, incoming, key), f"{table}-merge",
-                         F.collect_set(F.col(col)).alias("values"))
+    among = F.col(col).isin([v for v in touched if v is not None])
+    affected = target.filter(among | F.col(col).isNull() if None in touched else among)
+    merged = stage(spark, upsert(affected, incoming, key), f"{table}-merge")
+    written = {r[0] for r in merged.select(col).distinct().collect()}  # partition values (bounded), of the staged rows
     publish.overwrite_partitions(merged, path, parts)
-    written = set(seen.get("values") or [])  # partition values (bounded), observed during the staging write
     publish.delete_partitions(spark, path, col, [v for v in touched if v not in written])
 
 
@@ -190,11 +177,11 @@ def apply_history(spark: SparkSession, path: str, incoming: DataFrame, key: str,
     """SCD2 publish that rewrites only the current versions.
 
     The history table is partitioned by version state. Closed versions never
-    change, so a run reads only the current partition, computes the new versions
-    with :func:`terrace.operators.scd2.apply_scd2`, appends the versions it closed
-    (insert-only on ``(key, valid_from)``, so a retried run cannot add them twice)
-    and replaces the current partition. Cost follows the number of keys, not the
-    length of the history. Returns False (and writes nothing to the table) when
+    change: a run computes the new versions from the current ones with
+    :func:`terrace.operators.scd2.apply_scd2`, appends those it closed (insert-only
+    on ``(key, valid_from)`` against all closed ones) and replaces the current
+    partition. These are two commits; a run that crashes between them is mended by
+    the next one, whatever its ``as_of``: a version already closed is not closed again. Returns False (and writes nothing to the table) when
     the delivery changes nothing (the reference's skip-if-unchanged probe).
     """
     if not publish.exists(spark, path):
@@ -204,17 +191,12 @@ def apply_history(spark: SparkSession, path: str, incoming: DataFrame, key: str,
     current = read_current_versions(spark, path)
     # One evaluation of the change join: versions are staged while counting the
     # versions this run opened; none opened means nothing changed.
-    versions, seen = stage(
-        spark, apply_scd2(current, incoming, key, as_of, opened_flag="_opened"), "scd2-versions",
-        F.count_if(F.col("_opened")).alias("opened"),
-    )
-    if not seen.get("opened"):
+    versions = stage(spark, apply_scd2(current, incoming, key, as_of, opened_flag="_opened"), "scd2-versions")
+    if versions.filter("_opened").isEmpty():
         return False
     versions = versions.drop("_opened")
     closed_now = versions.filter(~F.col("is_current"))
-    closed_before = read_history(spark, path).filter(~F.col("is_current")).filter(
-        F.col("valid_to") == ntz_literal(as_of)
-    )
+    closed_before = without_layout(spark.read.parquet(path).filter(F.col("_version_state") != "current"))
     new_closed = insert_only(closed_before, closed_now, [key, "valid_from"])
     laid, parts = with_layout(new_closed, "customers")
     publish.append(laid, path, parts)
@@ -266,13 +248,11 @@ def run_silver(
     if since is not None:
         bo = bo.filter(F.col("_ingestion_date") >= F.lit(since))
     # Orders: window + joins, read three times (quarantine, sales, rate) → staged once;
-    # the quarantine rate is observed during that write.
-    o_cls, counted = stage(
-        spark, S.orders_classified(S.orders_checked(bo, customers, products)), "orders-classified",
-        F.count(F.lit(1)).alias("rows"), F.count_if(F.col(R.REASON).isNotNull()).alias("quarantined"),
-    )
+    # the quarantine rate is counted from it.
+    o_cls = stage(spark, S.orders_classified(S.orders_checked(bo, customers, products)), "orders-classified")
     o_bad = _append_quarantine(spark, lake, S.orders_quarantine(o_cls, qdate))
-    rows, bad = counted.get("rows") or 0, counted.get("quarantined") or 0
+    counted = o_cls.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(R.REASON).isNotNull()).alias("quarantined")).first()
+    rows, bad = counted.rows, counted.quarantined
     rate = {"rows": rows, "quarantined": bad, "rate": bad / rows if rows else None,
             "ceiling": checks.max_order_quarantine_rate}
     s_path = lake.path("silver", "sales")

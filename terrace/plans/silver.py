@@ -28,6 +28,7 @@ UNKNOWN_CUSTOMER = "UNKNOWN_CUSTOMER"
 UNKNOWN_PRODUCT = "UNKNOWN_PRODUCT"
 INVALID_ORDER_KEY = "INVALID_ORDER_KEY"
 MISSING_MEASURE = "MISSING_MEASURE"
+AMOUNT_OUT_OF_RANGE = "AMOUNT_OUT_OF_RANGE"
 
 CUSTOMER_ATTRIBUTES = ["full_name", "email", "city", "country", "segment"]
 CUSTOMER_COLUMNS = [
@@ -182,7 +183,9 @@ def orders_checked(bronze_orders: DataFrame, customers: DataFrame, products: Dat
 
 
 def orders_classified(checked: DataFrame) -> DataFrame:
-    return R.classify(checked, order_rules())
+    """The reference's rules, then amounts that have more digits than an amount can hold."""
+    too_large = F.col("gross_amount").isNull() | (F.col("net_amount").isNull() & F.col("discount_pct").isNotNull())
+    return R.classify(checked, [*order_rules(), R.Rule(AMOUNT_OUT_OF_RANGE, too_large)])
 
 
 def sales_rows(classified: DataFrame) -> DataFrame:

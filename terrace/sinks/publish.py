@@ -2,22 +2,23 @@
 
 * Bronze and quarantine are **append-only**: only rows that an insert-only merge
   found new are appended; existing files are never rewritten.
-* Silver tables are **snapshots**: the merged result of a run is written to
-  ``<table>/snapshot=<batch_id>/`` and becomes current once its ``_SUCCESS``
-  marker exists. Overwriting a Parquet path that the same plan reads would
-  delete the input before it is read; a fresh directory cannot. Re-running a
-  batch rewrites only its own snapshot, so runs are idempotent.
+* Silver products are **snapshots**: the merged result of a run is written to a
+  fresh folder (one per attempt, so never one that the plan reads) and becomes
+  current with the creation of one small file in ``_published``, numbered in the
+  order of publishing. A repeated batch id is simply a newer snapshot.
 * Gold tables are full rebuilds, audited before they are written (gates run on
   the computed frames), then overwritten — Gold never reads itself.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 SNAPSHOT_PREFIX = "snapshot="
+PUBLISHED = "_published"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -58,43 +59,37 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 
 
 def delete_partitions(spark: SparkSession, path: str, column: str, values: Sequence) -> None:
-    """Remove partition directories ``column=value`` (partitions emptied by a merge)."""
+    """Remove partition directories ``column=value`` (partitions emptied by a merge; None is Hive's default partition)."""
     for value in values:
-        fs, p = _fs(spark, f"{path.rstrip('/')}/{column}={value}")
+        folder = "__HIVE_DEFAULT_PARTITION__" if value is None else value
+        fs, p = _fs(spark, f"{path.rstrip('/')}/{column}={folder}")
         if fs.exists(p):
             fs.delete(p, True)
 
 
-def snapshot_path(table_root: str, batch_id: str) -> str:
-    return f"{table_root.rstrip('/')}/{SNAPSHOT_PREFIX}{batch_id}"
+def publish_snapshot(df: DataFrame, table_root: str, batch_id: str, partition_by: Sequence[str] = ()) -> str:
+    """Write a new snapshot of a Silver table and make it current; returns its path."""
+    spark, root = df.sparkSession, table_root.rstrip("/")
+    name = f"{SNAPSHOT_PREFIX}{batch_id}-{uuid.uuid4().hex}"
+    _writer(df, "errorifexists", partition_by).parquet(f"{root}/{name}")
+    number = 1 + max((n for n, _ in _published(spark, root)), default=0)
+    fs, entry = _fs(spark, f"{root}/{PUBLISHED}/{number:012d}.{name}")
+    fs.create(entry, False).close()  # fails if another run has published this number meanwhile
+    return f"{root}/{name}"
 
 
-def publish_snapshot(df: DataFrame, table_root: str, batch_id: str, partition_by: Sequence[str] = ()) -> str:
-    """Write a new snapshot of a Silver table; returns its path."""
-    path = snapshot_path(table_root, batch_id)
-    overwrite(df, path, partition_by)
-    return path
+def _published(spark: SparkSession, table_root: str) -> list[tuple[int, str]]:
+    fs, log = _fs(spark, f"{table_root.rstrip('/')}/{PUBLISHED}")
+    if not fs.exists(log):
+        return []
+    entries = (status.getPath().getName().split(".", 1) for status in fs.listStatus(log))
+    return [(int(number), name) for number, name in entries if number.isdigit()]
 
 
 def current_snapshot(spark: SparkSession, table_root: str) -> str | None:
-    """Newest complete snapshot (has ``_SUCCESS``), or None on first load.
-
-    Batch ids sort in time order (``YYYYMMDDTHHMMSSZ``), so the newest is the
-    lexicographic maximum. Only directory names are listed — no data is read.
-    """
-    fs, root = _fs(spark, table_root)
-    if not fs.exists(root):
-        return None
-    done = []
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(SNAPSHOT_PREFIX):
-            marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")  # noqa: SLF001
-            if fs.exists(marker):
-                done.append(name)
-    if not done:
-        return None
-    return f"{table_root.rstrip('/')}/{max(done)}"
+    """The snapshot published last, or None on first load; batch ids need not sort. Only names are listed."""
+    published = _published(spark, table_root)
+    return f"{table_root.rstrip('/')}/{max(published)[1]}" if published else None
 
 
 def read_current(spark: SparkSession, table_root: str) -> DataFrame | None:
@@ -103,5 +98,7 @@ def read_current(spark: SparkSession, table_root: str) -> DataFrame | None:
 
 
 def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a write to ``path`` was committed: an aborted first write leaves nothing but ``_temporary``."""
     fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+    names = [status.getPath().getName() for status in fs.listStatus(p)] if fs.exists(p) else []
+    return any(name[0] not in "_." or "=" in name for name in names)  # files, or folders of partitions

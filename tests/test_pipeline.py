@@ -1,5 +1,7 @@
 """End-to-end invariants on the driver's smallest tables."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from terrace.plans import lakehouse as L
 from terrace.plans import silver as S
 from terrace.registry import World
 from terrace.session import fresh_path
+from terrace.sinks import publish
 from terrace.sources import fixtures as X
 
 
@@ -21,7 +24,7 @@ def lake(spark):
     replay = L.run_bronze(spark, lake, day1)
     silver1 = L.run_silver(spark, lake, "19990101T000000Z", X.DAY1)
     silver1["sales_copy"] = L.stage(spark, spark.read.parquet(silver1["sales"]), "sales-after-first-run")
-    silver1b = L.run_silver(spark, lake, "19990101T000001Z", X.DAY1)
+    silver1b = L.run_silver(spark, lake, "19990101T000000Z", X.DAY1)  # the same batch again
     gold = L.run_gold(spark, lake, X.DAY1)
     return {"lake": lake, "first": first, "replay": replay, "silver": silver1, "silver_again": silver1b, "gold": gold}
 
@@ -172,3 +175,53 @@ def test_gold_gate_failure_publishes_nothing(spark):
         L.run_gold(spark, lake, X.DAY1)
     assert not publish.exists(spark, lake.path("gold", "fact_sales"))
     assert not publish.exists(spark, lake.path("gold", "daily_sales"))
+
+
+def test_same_batch_id_twice_publishes_a_new_snapshot(spark, tmp_path):
+    root = str(tmp_path / "products")
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "product_id int, name string")
+    publish.publish_snapshot(first, root, "b2")
+    again = publish.read_current(spark, root).filter("product_id = 1").union(spark.createDataFrame([(3, "c")], first.schema))
+    publish.publish_snapshot(again, root, "b2")
+    assert sorted(map(tuple, publish.read_current(spark, root).collect())) == [(1, "a"), (3, "c")]
+    publish.publish_snapshot(first, root, "b10")  # the last published counts, not the largest name
+    assert publish.read_current(spark, root).count() == 2
+
+
+def test_sales_upsert_keeps_rows_without_a_date(spark, tmp_path):
+    path = str(tmp_path / "sales")
+    rows = lambda *r: spark.createDataFrame(list(r), "order_id string, order_date date, quantity int")
+    day = dt.date(2024, 1, 5)
+    L.upsert_partitions(spark, path, rows(("a", None, 1), ("b", day, 1)), "order_id", "sales")
+    L.upsert_partitions(spark, path, rows(("c", None, 2)), "order_id", "sales")
+    L.upsert_partitions(spark, path, rows(("a", day, 5)), "order_id", "sales")
+    L.upsert_partitions(spark, path, rows(("c", day, 7)), "order_id", "sales")
+    got = spark.read.parquet(path).select("order_id", "order_date", "quantity").orderBy(F.col("order_id"))
+    assert [tuple(r) for r in got.collect()] == [("a", day, 5), ("b", day, 1), ("c", day, 7)]
+
+
+def test_retry_after_a_crash_closes_a_version_once(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "customers")
+    base = spark.createDataFrame([("A", "h1")], "customer_id string, attribute_hash string")
+    later = base.withColumn("attribute_hash", F.lit("h2"))
+    t = [dt.datetime(2024, 1, k) for k in (1, 2, 3)]
+    L.apply_history(spark, path, base, "customer_id", t[0])
+    with monkeypatch.context() as m:
+        m.setattr(publish, "overwrite_partitions", lambda *a: (_ for _ in ()).throw(RuntimeError("crash")))
+        with pytest.raises(RuntimeError):
+            L.apply_history(spark, path, later, "customer_id", t[1])
+    L.apply_history(spark, path, later, "customer_id", t[2])
+    got = L.read_history(spark, path).select("attribute_hash", "is_current").collect()
+    assert sorted(map(tuple, got)) == [("h1", False), ("h2", True)]
+
+
+def test_aborted_first_write_is_no_table(spark, tmp_path):
+    (tmp_path / "t" / "_temporary").mkdir(parents=True)
+    assert not publish.exists(spark, str(tmp_path / "t")) and not publish.exists(spark, str(tmp_path / "none"))
+
+
+def test_amount_that_does_not_fit_is_null(spark):
+    from terrace.functions import money
+
+    df = spark.createDataFrame([(2147483647, "9999999999.99"), (2, "1.50")], "quantity int, p string").selectExpr("quantity", "cast(p as decimal(12,2)) unit_price")
+    assert [r[0] and float(r[0]) for r in df.select(money.gross("quantity", "unit_price")).collect()] == [None, 3.0]
