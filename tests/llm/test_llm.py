@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import random
 import zlib
 
 import numpy as np
@@ -412,3 +413,24 @@ def test_pipeline_stages_on_odd_and_empty_rows(spark, odd, empty, tmp_path, k):
     spark.createDataFrame([(1, "one two three four five six seven")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
     f = corpus_pipeline.STAGES[k][1]
     assert f(spark, odd, str(tmp_path)).count() > 0 and f(spark, empty, str(tmp_path)).count() == 0
+
+
+def test_prefix_candidates_lose_no_similar_pair(spark):
+    """Groups of sets around a common base, sizes 1 to 60: every pair of Jaccard 0.8 or more with an open side is a candidate."""
+    r = random.Random(5)
+    rows = []
+    for g in range(12):
+        base = [r.getrandbits(40) for _ in range(r.randint(1, 60))]
+        for _ in range(25):
+            own = {v for v in base if r.random() > 0.06} | {r.getrandbits(40) for _ in range(r.randint(0, 2))}
+            rows.append((len(rows), sorted(own), r.random() < 0.5))
+    sets = spark.createDataFrame(rows, "u long, shingles array<long>, open boolean")
+    got = {(min(x.a, x.b), max(x.a, x.b)) for x in substring_dedup._sharing_prefixes(sets, 0.8).collect()}
+    want = set()
+    for a, x, ox in rows:
+        for b, y, oy in rows[:a]:
+            shared = len(set(x) & set(y))
+            if (ox or oy) and shared and shared >= 0.8 * (len(x) + len(y) - shared):
+                want.add((b, a))
+    assert len(want) > 100 and want <= got
+    assert substring_dedup._sharing_prefixes(sets.limit(0), 0.8).count() == 0
