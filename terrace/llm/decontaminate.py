@@ -21,6 +21,8 @@ RUN = 20
 SIMILARITY = 0.8
 #: Item seeds up to this number (16 bytes each and a row's overhead: about 50 MB) are broadcast, more are shuffled.
 BROADCAST_SEEDS = 500_000
+#: Documents up to this number (an 8-byte hash each and a row's overhead: about 50 MB) are broadcast, more are shuffled.
+BROADCAST_DOCS = 1_000_000
 
 
 def span(masks: tuple) -> int:
@@ -67,6 +69,13 @@ def _hits(texts: DataFrame, items: DataFrame, masks: tuple) -> DataFrame:
     return found.join(one, "seed").select("doc_key", "item_no", diagonal).distinct()
 
 
+def _hashes_of(keys: DataFrame, name: str) -> DataFrame:
+    """The distinct hashes, in column ``name``, of the ``doc_key`` of ``keys``: broadcast where their count allows it, so
+    that the texts they pick are not shuffled."""
+    hashes = stage(keys.select(F.xxhash64("doc_key").alias(name)).distinct(), "decon-keys")
+    return F.broadcast(hashes) if hashes.count() <= BROADCAST_DOCS else hashes
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, doc_key, item_id, doc_start, item_start, run, matched)``: the best overlap of each document and item.
 
@@ -83,8 +92,8 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if not short.isEmpty():
         hits = hits.union(_hits(texts, short, SHORT_MASKS))
     hits = stage(hits, "decon-hits")
-    marked = hits.select("doc_key").distinct()
-    suspects = texts.join(marked, "doc_key", "left_semi").select("doc_key", "doc_id", token_hashes(F.col("text")).alias("doc"))
+    marked = _hashes_of(hits, "key_hash")  # equal hashes of other keys pick a text too many, which no hit joins
+    suspects = texts.join(marked, F.xxhash64(texts["doc_key"]) == marked["key_hash"], "left_semi").select("doc_key", "doc_id", token_hashes(F.col("text")).alias("doc"))
     suspects = stage(suspects.dropDuplicates(["doc_key"]), "decon-docs")
     pairs = hits.join(items, "item_no").join(suspects, "doc_key")
 

@@ -369,6 +369,14 @@ def test_overlaps(spark, odd, empty):
     assert decontaminate.clean(odd, bench.limit(0)).count() == odd.count()
 
 
+def test_overlaps_beyond_the_broadcast_bounds(spark, docs, monkeypatch):
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    want = sorted(map(str, decontaminate.overlaps(docs, bench).collect()))
+    monkeypatch.setattr(decontaminate, "BROADCAST_DOCS", 0)
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
+    assert want and sorted(map(str, decontaminate.overlaps(docs, bench).collect())) == want
+
+
 @pytest.mark.parametrize("name", ["op3_document_fingerprints", "op8_benchmark_decontamination"])
 def test_native_operators_run_no_python(spark, name):
     plan = entry.queries()[name](spark, SMALL)._jdf.queryExecution().sparkPlan().toString()  # noqa: SLF001
