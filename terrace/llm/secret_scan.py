@@ -3,7 +3,9 @@
 Three base patterns always report. Besides, in a sensitive context (a word such as ``key`` or ``bearer`` shortly
 before) every long unbroken string is a candidate: it is compressed with a raw dictionary made of common identifiers
 and the text around it, and reported as ``novel`` when its marginal compressed bytes show that hardly any of it can be
-copied from there. Identifiers, words of the text and repeated strings compress; random keys do not.
+copied from there. Identifiers, words of the text and repeated strings compress; random keys do not. Only what matches
+save counts: zstandard also entropy-codes 64 or more literals, which would make a long random key of a small alphabet
+look copied, so a string is compressed in pieces below that, each after what precedes it.
 """
 
 from __future__ import annotations
@@ -58,6 +60,8 @@ IDENTIFIERS = (
 REACH = 48
 AROUND = 4096
 LEAST_NOVELTY = 0.85
+#: Bytes of a string that are compressed at once: zstandard leaves fewer than 64 literals as they are.
+PIECE = 63
 
 
 class Span(NamedTuple):
@@ -80,12 +84,15 @@ def base_spans(text: str) -> list[Span]:
 
 def novelty(candidate: str, before: str, after: str, identifiers: bytes = IDENTIFIERS) -> float:
     """Marginal compressed bytes per byte of ``candidate``, given identifiers and the text on both sides of it."""
-    raw = candidate.encode()
-    primed = identifiers + after.encode() + before.encode()  # what is nearest comes last: the cheapest to copy from
-    packer = zstandard.ZstdCompressor(
-        level=6, dict_data=zstandard.ZstdCompressionDict(primed, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False
-    )
-    return (len(packer.compress(raw)) - len(packer.compress(b""))) / len(raw)
+    raw, size = candidate.encode(), 0
+    around, near = identifiers + after.encode(), before.encode()
+    for at in range(0, len(raw), PIECE):
+        primed = around + near + raw[max(0, at - AROUND) : at]  # what is nearest comes last: the cheapest to copy from
+        packer = zstandard.ZstdCompressor(
+            level=6, dict_data=zstandard.ZstdCompressionDict(primed, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False
+        )
+        size += len(packer.compress(raw[at : at + PIECE])) - len(packer.compress(b""))
+    return size / len(raw)
 
 
 def novel_spans(text: str, known: list[Span], identifiers: bytes = IDENTIFIERS, least: float = LEAST_NOVELTY) -> Iterator[Span]:
@@ -96,8 +103,7 @@ def novel_spans(text: str, known: list[Span], identifiers: bytes = IDENTIFIERS,
             if m.start() > word.end() + REACH or "\n" in text[word.end() : m.start()]:
                 break
             at = m.end()
-            mixed = any(c.isdigit() for c in m[0]) and any(c.isalpha() for c in m[0])
-            if not mixed or any(s.start < m.end() and m.start() < s.end for s in known):
+            if any(s.start < m.end() and m.start() < s.end for s in known):
                 continue
             before, after = text[max(0, m.start() - AROUND) : m.start()], text[m.end() : m.end() + AROUND]
             if novelty(m[0], before, after, identifiers) >= least:

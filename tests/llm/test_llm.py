@@ -77,6 +77,19 @@ def test_novel_strings_need_context_and_novelty():
     assert secret_scan.redact("password=hunter2hunter2 end") == "[REDACTED] end"
 
 
+@pytest.mark.parametrize("letters", ["0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "abcdefghijklmnopqrstuvwxyz"])
+def test_long_random_keys_are_novel_and_copied_strings_are_not(letters):
+    rng = random.Random(7)
+    for n in (16, 63, 64, 65, 96, 128, 256, 400, 600, 1000, 2000):
+        for _ in range(10):
+            text = "Authorization: Bearer " + "".join(rng.choices(letters, k=n)) + " end"
+            assert [s[:] for s in secret_scan.spans(text) if s.kind == 3] == [(22, 3, 22 + n)]
+            assert secret_scan.redact(text) == "Authorization: Bearer [REDACTED] end"
+    once = "".join(rng.choices(letters, k=60))
+    for copied in (once * 20, letters[:10] * 100, "x" * 500, "access_token_default_value_description_" * 8):
+        assert not [s for s in secret_scan.spans(f"{once} {letters} as auth: {copied} end") if s.kind == 3]
+
+
 def test_redacted_keeps_rows_and_columns(odd):
     out = secret_scan.redacted(odd)
     assert out.columns == odd.columns and sorted(map(str, out.collect())) == sorted(map(str, odd.collect()))
