@@ -3,7 +3,8 @@
 A mask names the token positions of a short window that count; the positions between are ignored, so a seed survives
 substituted tokens there. Seeds of documents and items are joined on their hash; each hit gives a diagonal (document
 position minus item position), along which the tokens of both are compared: an overlap is a run of item tokens of
-which at least :data:`SIMILARITY` are equal at the same distance in the document.
+which at least :data:`SIMILARITY` are equal at the same distance in the document. The masks together lose no overlap:
+whichever tokens of a run are substituted, as long as it is one, some mask has a place on those that are equal.
 """
 
 from __future__ import annotations
@@ -13,9 +14,11 @@ from pyspark.sql import functions as F
 
 from terrace.llm.common import stage, unused_name
 
-#: Counting positions of the masks, and of the mask for items too short for the others.
+#: Counting positions of the masks: of the SQL, whose overlaps are among those of FULL_MASKS; of the operator for items of
+#: at least their span, with a place in every run of 12 to 20 tokens that is an overlap; and for shorter items.
 MASKS = ((0, 1, 3, 6, 7, 9, 11), (0, 2, 3, 5, 8, 10, 11), (0, 1, 2, 5, 7, 10, 11))
-SHORT_MASKS = ((0, 1, 2, 3, 4),)
+FULL_MASKS = ((0, 1, 2, 3, 8), (0, 1, 2, 5, 8), (0, 3, 5, 7, 8))
+SHORT_MASKS = ((0, 1, 2, 3), (0, 1, 2, 4), (0, 1, 3, 4), (0, 2, 3, 4))
 #: Tokens of the run that is compared (all of a shorter item), and the least share of them that must be equal.
 RUN = 20
 SIMILARITY = 0.8
@@ -36,10 +39,14 @@ def token_hashes(text: Column) -> Column:
 
 
 def seeds(hashes: Column, masks: tuple) -> Column:
-    """Seed hashes in order of position, one per mask at each; the seed at index k starts at token k div masks."""
-    starts = F.sequence(F.lit(0), F.size(hashes) - span(masks))
-    at = lambda i: F.array(*[F.xxhash64(F.lit(n), *[F.get(hashes, i + k) for k in m]) for n, m in enumerate(masks)])
-    return F.when(F.size(hashes) >= span(masks), F.flatten(F.transform(starts, at)))
+    """Seed hashes in order of position, one per mask at each (null where it ends beyond the text); the seed at index k
+    starts at token k div masks."""
+    least = 1 + min(max(m) for m in masks)
+    starts = F.sequence(F.lit(0), F.size(hashes) - least)
+    seed = lambda i, n, m: F.xxhash64(F.lit(n), *[F.get(hashes, i + k) for k in m])
+    fits = lambda i, m, found: found if max(m) < least else F.when(i + max(m) < F.size(hashes), found)
+    at = lambda i: F.array(*[fits(i, m, seed(i, n, m)) for n, m in enumerate(masks)])
+    return F.when(F.size(hashes) >= least, F.flatten(F.transform(starts, at)))
 
 
 def keyed(docs: DataFrame) -> DataFrame:
@@ -60,7 +67,7 @@ def items_of(benchmark: DataFrame) -> DataFrame:
 
 def _hits(texts: DataFrame, items: DataFrame, masks: tuple) -> DataFrame:
     """Distinct ``(doc_key, item_no, diagonal)`` that share a seed."""
-    one = items.select("item_no", F.posexplode(seeds(F.col("item"), masks)).alias("k", "seed"))
+    one = items.select("item_no", F.posexplode(seeds(F.col("item"), masks)).alias("k", "seed")).filter("seed is not null")
     one = stage(one.select("item_no", "seed", F.floor(F.col("k") / len(masks)).cast("int").alias("item_at")), "decon-seeds")
     if one.count() <= BROADCAST_SEEDS:
         one = F.broadcast(one)
@@ -80,14 +87,14 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``(doc_id, doc_key, item_id, doc_start, item_start, run, matched)``: the best overlap of each document and item.
 
     ``run`` is the number of item tokens compared and ``matched`` how many are equal; positions count tokens. Null or
-    empty texts match nothing, nor do items of fewer than five tokens; items of five to eleven tokens are found by five
-    tokens in a row and must overlap as a whole. Rows of equal id and text are one document, repeated items are items
+    empty texts match nothing, nor do items of fewer than five tokens; items of five to 20 tokens must overlap as a
+    whole. Rows of equal id and text are one document, repeated items are items
     of their own, null ids are kept, other columns are ignored, and an empty table gives no rows.
     """
     items = stage(items_of(benchmark).withColumn("item_no", F.monotonically_increasing_id()), "decon-items")
     texts = keyed(docs)
     long_ = F.size("item") >= span(MASKS)
-    hits = _hits(texts, items.filter(long_), MASKS)
+    hits = _hits(texts, items.filter(long_), FULL_MASKS)
     short = items.filter(~long_ & (F.size("item") >= span(SHORT_MASKS)))
     if not short.isEmpty():
         hits = hits.union(_hits(texts, short, SHORT_MASKS))

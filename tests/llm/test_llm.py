@@ -1,7 +1,9 @@
 """The training-data operators against brute force, and their defined results for odd input."""
 
 import hashlib
+import itertools
 import json
+import math
 import random
 import zlib
 
@@ -382,6 +384,49 @@ def test_overlaps(spark, odd, empty):
     assert decontaminate.clean(odd, bench.limit(0)).count() == odd.count()
 
 
+def test_masks_miss_no_allowed_substitutions():
+    for n in range(5, decontaminate.RUN + 1):
+        masks = decontaminate.FULL_MASKS if n >= decontaminate.span(decontaminate.MASKS) else decontaminate.SHORT_MASKS
+        places = [{p + k for k in m} for m in masks for p in range(n - max(m))]
+        for lost in itertools.combinations(range(n), n - math.ceil(decontaminate.SIMILARITY * n)):
+            assert any(not p.intersection(lost) for p in places), (n, lost)
+
+
+def brute_overlaps(docs, items):
+    """The best overlap of each document and item, at every distance of their tokens."""
+    out = []
+    for d, w in docs:
+        for i, b in items:
+            run = min(20, len(b))
+            found = []
+            for diagonal in range(1 - len(b), len(w)):
+                equal = [0 <= j + diagonal < len(w) and w[j + diagonal] == x for j, x in enumerate(b)]
+                found += [(-sum(equal[j : j + run]), j + diagonal, j) for j in range(len(b) - run + 1)]
+            if len(b) >= 5 and found and -min(found)[0] >= math.ceil(0.8 * run):
+                matched, at, j = min(found)
+                out.append((d, i, at, j, run, -matched))
+    return sorted(out)
+
+
+def test_overlaps_match_brute_force_without_seeds(spark):
+    rng = random.Random(11)
+    words = lambda n: [f"w{rng.randrange(400)}" for _ in range(n)]
+    items = [(n, words(n)) for n in range(4, 28)]
+    docs = []
+    for n, item in items:
+        run = min(20, n)
+        for k in range(8):
+            text = list(item)
+            for at in rng.sample(range(n - run, n), run - math.ceil(0.8 * run) + (k == 7)):  # the last one has one too many
+                text[at] = "other"
+            text = text[1:] if k == 6 else text
+            docs.append((len(docs), (words(rng.randrange(30)) if k % 3 else []) + text + (words(rng.randrange(30)) if k % 2 else [])))
+    frame = lambda rows, key: spark.createDataFrame([(i, " ".join(w)) for i, w in rows], f"{key} long, text string")
+    got = decontaminate.overlaps(frame(docs, "doc_id"), frame(items, "item_id")).collect()
+    want = brute_overlaps(docs, items)
+    assert len(want) > 150 and sorted((r.doc_id, r.item_id, r.doc_start, r.item_start, r.run, r.matched) for r in got) == want
+
+
 def test_overlaps_beyond_the_broadcast_bounds(spark, docs, monkeypatch):
     bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     want = sorted(map(str, decontaminate.overlaps(docs, bench).collect()))
