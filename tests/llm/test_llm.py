@@ -321,6 +321,50 @@ def test_repeats(spark, docs, odd, empty):
     assert {r.doc_id for r in substring_dedup.repeats(odd).collect()} == set() and substring_dedup.repeats(empty).count() == 0
 
 
+def _prose(rng, n):
+    """Words of which some end a sentence, after 4 to 60 of them."""
+    out = []
+    while len(out) < n:
+        sentence = [f"w{rng.randrange(3000)}" for _ in range(rng.choice((4, 9, 16, 60)))]
+        out += [*sentence[:-1], sentence[-1] + "."]
+    return out[:n]
+
+
+def test_shared_runs_of_50_words_have_an_equal_paragraph():
+    rng = random.Random(4)
+    for k in range(400):
+        passage = _prose(rng, 50 + k % 11)
+        texts = []
+        for _ in range(2):
+            around = _prose(rng, rng.randrange(300))
+            at = rng.randrange(len(around) + 1)
+            texts.append(" ".join(around[:at] + passage + around[at:]))
+        p = substring_dedup.paragraphs(texts)
+        assert set(p.identity[p.text == 0].tolist()) & set(p.identity[p.text == 1].tolist())
+        assert ((p.end - p.first)[p.anchored] == substring_dedup.MIN_WORDS).all()
+
+
+def test_short_passages_in_mid_sentence_match_brute_force(spark):
+    rng, n = random.Random(9), substring_dedup.SHARED_WORDS
+    passages, rows = [_prose(rng, k) for k in range(n - 26, n + 11)], []
+    for k in range(180):
+        around = _prose(rng, rng.randrange(20, 200))
+        at = rng.randrange(len(around) + 1)
+        rows.append((k, " ".join(around[:at] + passages[k % len(passages)] + around[at:])))
+    rows += [(k, " ".join(_prose(rng, 150))) for k in range(180, 190)]
+    runs = {}
+    for k, t in rows:
+        w = t.split()
+        for j in range(len(w) - n + 1):
+            runs.setdefault(tuple(w[j : j + n]), set()).add(k)
+    must = {(a, b) for ids in runs.values() for a in ids for b in ids if a < b}
+    clusters = {}
+    for r in substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        clusters.setdefault(r.cluster, set()).add(r.doc_id)
+    got = {(a, b) for ids in clusters.values() for a in ids for b in ids if a < b}
+    assert len(must) > 20 and must <= got and all(b < 180 and (b - a) % len(passages) == 0 for a, b in got)
+
+
 def test_paragraph_links_match_brute_force(spark, docs):
     units = {}
     for i, t in texts(docs):
