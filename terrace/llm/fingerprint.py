@@ -1,6 +1,8 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests, in DataFrame functions only.
 
-A paragraph is a line with a character other than white space; a document is the set of its paragraphs' digests. A
+A paragraph is a line with a character other than white space; a document is the set of its paragraphs' digests. Lines
+may be cut further, at sentence ends or into words (:func:`sentences`, what the registered query does), so
+that documents of one or few long lines share digests with an edited text too. A
 sketch has :data:`TABLES` x :data:`CELLS` cells; each digest is added to one cell of every table: the cell counts it and
 takes it in by exclusive or. Subtracting the sketches of two versions leaves the digests in only one of them; cells with
 a single one of those show it (its low bits check its high bits), and taking it out of its other cells may show more.
@@ -17,6 +19,8 @@ from terrace.llm.common import stage, texts_of
 
 TABLES = 3
 CELLS = 16
+#: Characters of a piece between sentence ends from which on its words are paragraphs.
+LONG_PIECE = 200
 #: Rounds of peeling within one sketch (each takes out all digests that show), and retries, each four times as large.
 ROUNDS = 24
 RETRIES = 10
@@ -25,9 +29,19 @@ _CHECK = (1 << _CHECK_BITS) - 1
 _CELL = "struct<n:int,x:bigint>"
 
 
-def digests(text: Column) -> Column:
+def lines(text: Column) -> Column:
+    return F.split(text, "\n")
+
+
+def sentences(text: Column) -> Column:
+    """The lines, cut further behind a sentence end and the blank after it, and into words where that leaves a long piece."""
+    pieces = F.split(text, r"\n|(?<=[.!?;:。！？][ \t])|(?<=[。！？])")
+    return F.flatten(F.transform(pieces, lambda p: F.when(F.char_length(p) > LONG_PIECE, F.split(p, r"(?<=[ \t])")).otherwise(F.array(p))))
+
+
+def digests(text: Column, parts=lines) -> Column:
     """The distinct digests of a text's paragraphs: 40 bits of hash above 24 bits that check them."""
-    lines = F.filter(F.split(text, "\n"), lambda p: F.trim(F.translate(p, "\t\r\x0b\x0c", "    ")) != "")
+    lines = F.filter(parts(text), lambda p: F.trim(F.translate(p, "\t\r\x0b\x0c", "    ")) != "")
     return F.array_distinct(F.transform(lines, lambda p: _with_check(F.shiftrightunsigned(F.xxhash64(p), _CHECK_BITS))))
 
 
@@ -141,7 +155,7 @@ def _order(texts: DataFrame) -> DataFrame:
     return placed.withColumn("next", (F.col("place") + 1) % F.col("total")).join(after, "next").select("k", "h", "doc_id", "need", "nk", "nh")
 
 
-def with_next(docs: DataFrame) -> DataFrame:
+def with_next(docs: DataFrame, parts=lines) -> DataFrame:
     """``(k, h, doc_id, text, head, next_digests)``: every row with the start of the next document and its digests."""
     texts = texts_of(docs).select(
         F.coalesce("doc_id", F.lit(0).cast("long")).alias("k"), F.xxhash64(F.col("doc_id").isNull(), "text").alias("h"), "doc_id", "text"
@@ -149,25 +163,25 @@ def with_next(docs: DataFrame) -> DataFrame:
     order = stage(_order(texts), "fp-next")
     rows = texts.select("k", "h", "text")
     ahead = rows.withColumnsRenamed({"k": "nk", "h": "nh"}).join(order.select("k", "h", "need", "nk", "nh"), ["nk", "nh"])
-    ahead = ahead.select("k", "h", F.expr("substring(text, 1, need)").alias("head"), digests(F.col("text")).alias("next_digests"))
+    ahead = ahead.select("k", "h", F.expr("substring(text, 1, need)").alias("head"), digests(F.col("text"), parts).alias("next_digests"))
     if rows.count() > order.count():  # repeated rows: the next document comes once
         ahead = ahead.dropDuplicates(["k", "h"])
     return rows.join(order.select("k", "h", "doc_id", "need"), ["k", "h"]).join(ahead, ["k", "h"])
 
 
-def fingerprints(docs: DataFrame, keep=lambda edited: edited) -> DataFrame:
+def fingerprints(docs: DataFrame, keep=lambda edited: edited, parts=lines) -> DataFrame:
     """``(doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next)``, one row per input row.
 
     The edited text has its last third replaced by as much of the next document's start; ``keep`` says what of it is
-    returned (all of it, or a column function of it). A null text counts as empty; null ids come last, rows of equal id
+    returned (all of it, or a column function of it), ``parts`` how texts are cut into paragraphs. A null text counts as empty; null ids come last, rows of equal id
     stand in the order of a hash of their texts, and rows equal in both share one place but each give a row; a single
     document is its own next. An empty table gives no rows.
     """
-    rows = with_next(docs)
+    rows = with_next(docs, parts)
     n = F.char_length("text")
     rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, char_length(text) - need)"), "head")).select(
-        "k", "h", "doc_id", n.cast("long").alias("n_chars"), keep(F.col("edited")).alias("edited"), digests(F.col("text")).alias("a"),
-        digests(F.col("edited")).alias("e"), F.col("next_digests").alias("b"),
+        "k", "h", "doc_id", n.cast("long").alias("n_chars"), keep(F.col("edited")).alias("edited"), digests(F.col("text"), parts).alias("a"),
+        digests(F.col("edited"), parts).alias("e"), F.col("next_digests").alias("b"),
     )
     prints = [text_of(F.col(f"s{c}"), F.size(c)).alias(name) for c, name in (("a", "fingerprint"), ("e", "edited_fingerprint"))]
     rows = rows.select("*", *[sketch(F.col(c)).alias(f"s{c}") for c in "aeb"])

@@ -26,7 +26,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = fingerprint.fingerprints(table(spark, sf_dir, "documents"), keep=lambda edited: F.sha2(edited, 256))
+    found = fingerprint.fingerprints(table(spark, sf_dir, "documents"), keep=lambda edited: F.sha2(edited, 256), parts=fingerprint.sentences)
     return found.withColumnRenamed("edited", "edited_sha256")
 
 

@@ -180,6 +180,14 @@ def test_fingerprints(spark, docs):
         assert by_text.setdefault(t, r.fingerprint) == r.fingerprint
 
 
+def test_single_line_texts_are_like_their_edited_text(spark, tmp_path):
+    rng = random.Random(3)
+    text = lambda end: " ".join(" ".join(f"w{rng.randrange(5000)}" for _ in range(rng.randint(5, 15))) + rng.choice(end) for _ in range(30))
+    spark.createDataFrame([(k, text(".!?" if k % 3 else " ")) for k in range(20)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = entry.queries()["op3_document_fingerprints"](spark, str(tmp_path)).collect()
+    assert len(got) == 20 and [(r.doc_id, r.near_edited, r.near_next) for r in got if r.near_edited < r.near_next + 0.1] == []
+
+
 def test_fingerprints_of_odd_rows(odd, empty):
     got = fingerprint.fingerprints(odd).collect()
     assert len(got) == odd.count() and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
