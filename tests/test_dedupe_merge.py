@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import plan_text
+from lake_testing import plan_text
 from terrace.operators.dedupe import latest_per_key, set_difference
 from terrace.operators.merge import insert_only, insert_only_merged, upsert
 

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL, plan_text
+from lake_testing import SF_SMALL, plan_text
 
 TABLES = ["region", "nation", "customer", "part", "orders", "lineitem"]
 SAMPLE = ["record_hash", "attribute_hash", "orders_quarantine", "scd2_apply", "merge_upsert_sales",

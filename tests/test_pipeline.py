@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from lake_testing import SF_SMALL
 from terrace.operators.scd2 import apply_scd2, first_load
 from terrace.plans import lakehouse as L
 from terrace.plans import silver as S
