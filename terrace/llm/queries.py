@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import chat, decontaminate, fingerprint, language_id, packing, quality, secret_scan, simhash, substring_dedup, tokens
+from terrace.llm import chat, decontaminate, fingerprint, language_id, line_dedup, packing, quality, secret_scan, simhash, substring_dedup, tokens
 from terrace.llm.common import table
 
 
@@ -61,16 +61,24 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scans, op2_best_fit_packing, op3_document_fingerprints, op4_language_id, op5_substring_dedup, op6_token_counts,
         op7_chat_formatting, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_classifier,
+        op11_line_dedup,
     )
 }
 
 _RUN, _LEAST = decontaminate.RUN, decontaminate.SIMILARITY
 
+_SQL_BLANKS = " || ".join(f"chr({ord(c)})" for c in line_dedup.BLANKS)
+
 
 def _seed_sql(table: str, key: str) -> str:
     parts = [
@@ -124,4 +132,14 @@ ORACLE = {
                         row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, j + diagonal, j) AS place FROM runs
                  WHERE j <= n - run AND matched >= ceil({_LEAST} * run))
         SELECT doc_id, item_id, (j + diagonal)::INT AS doc_start, j::INT AS item_start, run::INT AS run, matched::INT AS matched FROM best WHERE place = 1""",
+    "op11_line_dedup": rf"""
+        WITH l AS (
+            SELECT doc_id, at_, line, translate(trim(line, {_SQL_BLANKS}), '{line_dedup._UPPER}', '{line_dedup._UPPER.lower()}') AS key
+            FROM (SELECT doc_id, unnest(w) AS line, unnest(range(len(w))) AS at_ FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents))),
+        common AS (
+            SELECT key, max(doc_id) AS keeper FROM l WHERE length(key) >= {line_dedup.MIN_CHARS} GROUP BY key HAVING count(DISTINCT doc_id) >= {line_dedup.MIN_DOCUMENTS}),
+        judged AS (SELECT l.*, common.keeper IS NOT NULL AND l.doc_id <> common.keeper AS gone FROM l LEFT JOIN common ON l.key = common.key)
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY at_) FILTER (NOT gone), '')) AS kept_sha256
+        FROM judged GROUP BY doc_id""",
 }
