@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import chat, decontaminate, fingerprint, language_id, line_dedup, packing, quality, secret_scan, simhash, substring_dedup, tokens
+from terrace.llm import alignment, chat, decontaminate, fingerprint, language_id, line_dedup, packing, quality, secret_scan, simhash, substring_dedup, tokens
 from terrace.llm.common import table
 
 
@@ -66,12 +66,18 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = alignment.align(table(spark, sf_dir, "documents"), *paths, keep=lambda groups: F.sha2(groups, 256))
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scans, op2_best_fit_packing, op3_document_fingerprints, op4_language_id, op5_substring_dedup, op6_token_counts,
         op7_chat_formatting, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_classifier,
-        op11_line_dedup,
+        op11_line_dedup, op12_cross_tokenizer_alignment,
     )
 }
 
