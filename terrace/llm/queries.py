@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.llm import alignment, chat, decontaminate, fingerprint, language_id, line_dedup, packing, quality, secret_scan, simhash, substring_dedup, tokens
+from terrace.llm import alignment, chat, decontaminate, fingerprint, language_id, line_dedup, packing, prefix_trie, quality, secret_scan, simhash, substring_dedup, tokens
 from terrace.llm.common import table
 
 
@@ -72,17 +72,24 @@ def op12_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFram
     return found.withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scans, op2_best_fit_packing, op3_document_fingerprints, op4_language_id, op5_substring_dedup, op6_token_counts,
         op7_chat_formatting, op8_benchmark_decontamination, op9_simhash_near_dedup, op10_quality_classifier,
         op11_line_dedup, op12_cross_tokenizer_alignment,
+        op13_conversation_prefix_trie,
     )
 }
 
 _RUN, _LEAST = decontaminate.RUN, decontaminate.SIMILARITY
 
+# The polynomial and the start of CRC-32.
+_CRC32, _ONES = 0xEDB88320, 0xFFFFFFFF
 _SQL_BLANKS = " || ".join(f"chr({ord(c)})" for c in line_dedup.BLANKS)
 
 
@@ -148,4 +155,28 @@ ORACLE = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY at_) FILTER (NOT gone), '')) AS kept_sha256
         FROM judged GROUP BY doc_id""",
+    "op13_conversation_prefix_trie": f"""
+        WITH own AS (
+            SELECT conv_id, list(struct_pack(role := coalesce(role, ''), said := coalesce(text, '')) ORDER BY turn NULLS FIRST) AS w
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        asked AS (
+            SELECT conv_id, w, conv_id - (conv_id % {prefix_trie.FAMILY} + {prefix_trie.FAMILY}) % {prefix_trie.FAMILY} AS first_id,
+                   xor(list_reduce(list_concat([{_ONES}::BIGINT], list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+                                   lambda crc, b: list_reduce(list_concat([xor(crc, b)], [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, z: xor(x >> 1, (x & 1) * {_CRC32}))),
+                       {_ONES}::BIGINT) % {prefix_trie.MOST_SHARED} AS h FROM own),
+        told AS (SELECT a.conv_id, list_concat(coalesce(d.w[1:a.h], []), a.w[a.h + 1:]) AS w FROM asked a LEFT JOIN own d ON d.conv_id = a.first_id),
+        heads AS (SELECT conv_id, length, depth, w[1:depth] AS node FROM (SELECT conv_id, len(w) AS length, unnest(range(len(w) + 1)) AS depth, w FROM told)),
+        nodes AS (
+            SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+                   sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends_sha256
+            FROM heads GROUP BY node, depth),
+        kids AS (SELECT node[1:depth - 1] AS node, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+        costs AS (
+            SELECT nodes.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(nodes.node[depth].said) ELSE 0 END AS cost
+            FROM nodes LEFT JOIN kids USING (node)),
+        sums AS (
+            SELECT node[1:i] AS node, count(*) FILTER (n_children = 0) AS n_leaves, sum(cost)::BIGINT AS saved_tokens
+            FROM (SELECT *, unnest(range(depth + 1)) AS i FROM costs) GROUP BY 1)
+        SELECT c.conv_id, c.depth, up.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
+        FROM costs c JOIN sums USING (node) LEFT JOIN nodes up ON c.depth > 0 AND up.node = c.node[1:c.depth - 1]""",
 }
