@@ -15,8 +15,10 @@ counts, so every link is judged by the exact count at every size of corpus.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -25,12 +27,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.common import stage, texts_of
-from terrace.llm.tokens import WordEncoder, _byte_chars, blocks
+from terrace.llm.tokens import CACHE_CHARS, CACHE_PARTS, WordEncoder, _byte_chars, blocks
 
 #: Most pairs in the broadcast table (24 bytes each); what it holds changes no result.
 FREQUENT_PAIRS = 1 << 18
 #: Products expanded at a time.
 BLOCK_PRODUCTS = 1 << 22
+_SPACED = re.compile(r" +[^ ]*").findall
 
 
 class Csr(NamedTuple):
@@ -44,13 +47,14 @@ class Csr(NamedTuple):
 def accumulated(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, n_rows: int, n_columns: int) -> Csr:
     """The matrix of these entries; entries of one place are added up."""
     key = rows * n_columns + columns
-    if len(key) and np.any(key[1:] < key[:-1]):
+    if np.any(key[1:] < key[:-1]):
         order = np.argsort(key, kind="stable")
-        key, values = key[order], values[order]
-    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
-    summed = np.add.reduceat(values, first) if len(first) else values
-    key = key[first]
-    return Csr(np.searchsorted(key, np.arange(n_rows + 1) * n_columns), key % n_columns, summed)
+        key, rows, columns, values = key[order], rows[order], columns[order], values[order]
+    new = np.r_[True, key[1:] != key[:-1]][: len(key)]
+    if not new.all():
+        first = np.flatnonzero(new)
+        rows, columns, values = rows[first], columns[first], np.add.reduceat(values, first)
+    return Csr(np.r_[0, np.cumsum(np.bincount(rows, minlength=n_rows))], columns, values)
 
 
 def product(a: Csr, b: Csr, n_columns: int, most: int = BLOCK_PRODUCTS) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -107,8 +111,8 @@ def align_tokens(ids_a: np.ndarray, lengths_a: np.ndarray, ids_b: np.ndarray, le
     i, j, shared = _whole(product(incidence(lengths_a), transposed(incidence(lengths_b), n_bytes), n_b))
     cut = np.r_[False, (i[1:] != i[:-1]) & (j[1:] != j[:-1])][: len(i)]
     group = np.cumsum(cut)
-    group_a, group_b = group[np.searchsorted(i, np.arange(len(ids_a)))], np.empty(n_b, np.int64)
-    group_b[j] = group
+    group_a, group_b = np.empty(len(ids_a), np.int64), np.empty(n_b, np.int64)
+    group_a[i], group_b[j] = group, group
     n_groups = int(group[-1]) + 1 if len(group) else 0
     a, at_a = np.unique(ids_a, return_inverse=True)
     b, at_b = np.unique(ids_b, return_inverse=True)
@@ -118,12 +122,28 @@ def align_tokens(ids_a: np.ndarray, lengths_a: np.ndarray, ids_b: np.ndarray, le
     return Alignment((i, j, shared), group_a, group_b, (a[rows].astype(np.int64), b[columns].astype(np.int64), links))
 
 
-def groups_text(found: Alignment, ids_a: np.ndarray, ids_b: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the ids of each group in order."""
-    a, b = [*map(str, ids_a.tolist())], [*map(str, ids_b.tolist())]
-    n = int(found.group_a[-1]) + 2
-    ends_a, ends_b = np.searchsorted(found.group_a, np.arange(n)).tolist(), np.searchsorted(found.group_b, np.arange(n)).tolist()
-    return ";".join([f"{','.join(a[s:t])}|{','.join(b[u:v])}" for s, t, u, v in zip(ends_a, ends_a[1:], ends_b, ends_b[1:])])
+def groups_text(found: Alignment, names_a: np.ndarray, names_b: np.ndarray) -> np.ndarray:
+    """The names of all tokens as parts that joined read ``a1,a2|b1;a3|b2,b3;``: the tokens of each group in order."""
+    n = int(found.group_a[-1]) + 1
+    of_a, of_b = np.bincount(found.group_a, minlength=n), np.bincount(found.group_b, minlength=n)
+    parts = np.empty(len(names_a) + len(names_b), object)
+    for names, group, before in ((names_a, found.group_a, np.cumsum(of_b) - of_b), (names_b, found.group_b, np.cumsum(of_a))):
+        parts[np.arange(len(names)) + before[group]] = names
+    return parts
+
+
+def _flat(known: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of all tokens after each other, where each starts, and how many it has."""
+    lengths = np.array([*map(len, known)], np.int64)
+    return np.frombuffer(b"".join(known), np.uint8), np.cumsum(lengths) - lengths, lengths
+
+
+def _joined(flat: tuple[np.ndarray, np.ndarray, np.ndarray], ids: np.ndarray) -> np.ndarray:
+    """The bytes of the tokens ``ids`` after each other."""
+    data, starts, lengths = flat
+    n = lengths[ids]
+    ends = np.cumsum(n)
+    return data[np.repeat(starts[ids] - ends + n, n) + np.arange(ends[-1])]
 
 
 class Pair:
@@ -143,21 +163,69 @@ class Pair:
             bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
             for i, piece in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))
         ]
-        self.lengths_a, self.lengths_b = (np.array([*map(len, known)]) for known in (self.bytes_a, self.bytes_b))
+        self.flat_a, self.flat_b = (_flat(known) for known in (self.bytes_a, self.bytes_b))
+        self.lengths_a, self.lengths_b = self.flat_a[2], self.flat_b[2]
+
+        # names of the ids, with what follows them inside a group and at the end of its side
+        self.names_a, self.names_b = (
+            [np.array([f"{i}{mark}" for i in range(len(known))], object) for mark in (",", end)] for known, end in ((self.bytes_a, "|"), (self.bytes_b, ";"))
+        )
+        # No piece goes on behind a letter with a space: then merges never cross from a word into the spaces after it.
+        self.by_word = not any(re.search("[^\u2581]\u2581", self.b.id_to_piece(i)) for i in range(len(self.bytes_b)))
+        self.words: dict[str, list[int]] = {}
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The ids of both for each text; none of either where a text is empty or its bytes do not come back."""
         out, none = [], (np.zeros(0, np.int64),) * 2
-        by_a = self.a.encode([" " + t for t in texts])
-        by_b = self.b.encode(texts, num_threads=1)
-        for text, a, b in zip(texts, by_a, by_b):
-            a, data = np.frombuffer(a, "<u4").astype(np.int64), b" " + text.encode()
-            same = text and b"".join([self.bytes_a[i] for i in a.tolist()]) == data and b"".join([self.bytes_b[i] for i in b]) == data
-            out.append((a, np.array(b, np.int64)) if same else none)
+        spaced = [" " + t for t in texts]
+        for text, a in zip(spaced, self.a.encode(spaced)):
+            a = np.frombuffer(a, "<u4").astype(np.int64)
+            b = np.array(self.encode_b(text) if len(text) > 1 else [], np.int64)
+            data = np.frombuffer(text.encode(), np.uint8)
+            same = len(b) and np.array_equal(_joined(self.flat_a, a), data) and np.array_equal(_joined(self.flat_b, b), data)
+            out.append((a, b) if same else none)
         return out
 
-    def align(self, ids_a: np.ndarray, ids_b: np.ndarray) -> Alignment:
-        return align_tokens(ids_a, self.lengths_a[ids_a], ids_b, self.lengths_b[ids_b])
+    def encode_b(self, spaced: str) -> list[int]:
+        """The ids of B for a text that has got its space: of each run of spaces with its word, as far as these are apart."""
+        if not self.by_word or "\u2581" in spaced:
+            return self.b.encode(spaced[1:])
+        parts = _SPACED(spaced)
+        ids = list(map(self.words.get, parts))
+        if None in ids:
+            ids = [self._word(p) if i is None else i for p, i in zip(parts, ids)]
+        return list(chain.from_iterable(ids))
+
+    def _word(self, part: str) -> list[int]:
+        ids = self.b.encode(part[1:])
+        if len(part) <= CACHE_CHARS:
+            if len(self.words) >= CACHE_PARTS:  # the older half of the cache goes
+                self.words = dict(islice(self.words.items(), CACHE_PARTS // 2, None))
+            self.words[part] = ids
+        return ids
+
+    def align(self, tokens: list[tuple[np.ndarray, np.ndarray]]) -> tuple[list[tuple], tuple[np.ndarray, ...]]:
+        """For each text ``(n_a, n_b, n_groups, groups)``; and ``(text, a, b, links)`` of all linked pairs of ids.
+
+        Texts follow each other in one matrix: the end of a text is an end of tokens in both, so no group crosses it.
+        """
+        n_a, n_b = (np.array([len(t[k]) for t in tokens], np.int64) for k in (0, 1))
+        ids_a, ids_b = (np.concatenate([t[k] for t in tokens]) for k in (0, 1))
+        if not len(ids_a):
+            return [(0, 0, 0, "")] * len(tokens), (np.zeros(0, np.int64),) * 4
+        of_a, of_b, size_a, size_b = np.repeat(np.arange(len(tokens)), n_a), np.repeat(np.arange(len(tokens)), n_b), len(self.bytes_a), len(self.bytes_b)
+        found = align_tokens(of_a * size_a + ids_a, self.lengths_a[ids_a], of_b * size_b + ids_b, self.lengths_b[ids_b])
+        names = [
+            np.where(np.r_[group[1:] != group[:-1], True], last[ids], inner[ids])
+            for group, ids, (inner, last) in ((found.group_a, ids_a, self.names_a), (found.group_b, ids_b, self.names_b))
+        ]
+        parts, ends = groups_text(found, *names).tolist(), np.cumsum(n_a + n_b)
+        groups = ["".join(parts[s:t])[:-1] for s, t in zip((ends - n_a - n_b).tolist(), ends.tolist())]
+        firsts = found.group_a[np.r_[True, of_a[1:] != of_a[:-1]]]
+        n_groups = np.zeros(len(tokens), np.int64)
+        n_groups[n_a > 0] = np.diff(np.r_[firsts, found.group_a[-1] + 1])
+        a, b, links = found.pairs
+        return [*zip(n_a.tolist(), n_b.tolist(), n_groups.tolist(), groups)], (a // size_a, a % size_a, b % size_b, links)
 
 
 @lru_cache(maxsize=4)
@@ -172,7 +240,7 @@ _COUNTED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups
 def linked(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``(doc_id, n_a, n_b, n_groups, n_links, groups, pairs, links)``: the alignment of every whole text.
 
-    ``groups`` is :func:`groups_text` (empty without tokens); ``pairs`` has id of A x size of B's vocabulary + id of B
+    ``groups`` lists the ids of each group, ``a1,a2|b1;a3|b2,b3`` (empty without tokens); ``pairs`` has id of A x size of B's vocabulary + id of B
     for every pair of ids that shares a group, ascending, and ``links`` the number of their links.
     """
 
@@ -181,9 +249,12 @@ def linked(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         for batch in batches:
             ids, at = batch.column(0), 0
             for block in blocks(batch.column(1).to_pylist()):
-                rows = [_row(two, *found) for found in two.encode(block)]
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows), [pa.int64()] * 4 + [pa.string()] + [pa.list_(pa.int64())] * 2)]
-                yield pa.RecordBatch.from_arrays([ids.slice(at, len(block)), *columns], [*_names(_COUNTED), "pairs", "links"])
+                counted, (of, a, b, links) = two.align(two.encode(block))
+                n = np.bincount(of, links, len(block)).astype(np.int64)
+                ends = pa.array(np.r_[0, np.cumsum(np.bincount(of, minlength=len(block)))], pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())) for x in (a * len(two.bytes_b) + b, links)]
+                n_a, n_b, n_groups, groups = (pa.array(c) for c in zip(*counted))
+                yield pa.RecordBatch.from_arrays([ids.slice(at, len(block)), n_a, n_b, n_groups, pa.array(n), groups, *lists], [*_names(_COUNTED), "pairs", "links"])
                 at += len(block)
 
     return texts_of(docs).mapInArrow(run, f"{_COUNTED}, pairs array<long>, links array<long>")
@@ -193,14 +264,6 @@ def _names(schema: str) -> list[str]:
     return [c.split()[0] for c in schema.split(", ")]
 
 
-def _row(two: Pair, a: np.ndarray, b: np.ndarray) -> tuple:
-    if not len(a):
-        return 0, 0, 0, 0, "", [], []
-    found = two.align(a, b)
-    of_a, of_b, links = found.pairs
-    return len(a), len(b), int(found.group_a[-1]) + 1, int(links.sum()), groups_text(found, a, b), of_a * len(two.bytes_b) + of_b, links
-
-
 def pair_counts(rows: DataFrame, path_b: str) -> DataFrame:
     """``(pair, n, best)``: how many rows of :func:`linked` hold each pair, and whether its A id has none with more."""
     import sentencepiece
@@ -228,7 +291,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, keep: Callable[[Column], Co
     """``(doc_id, n_a, n_b, n_groups, n_links, groups, n_best, count_sum)``, one row per input row.
 
     A encodes a space and the text, B the text; special strings inside texts are plain text. ``groups`` lists the ids
-    of each group (:func:`groups_text`; ``keep`` may make it shorter before it is stored). The count of a pair of ids
+    of each group (see :func:`linked`; ``keep`` may make it shorter before it is stored). The count of a pair of ids
     is the number of rows that link it; ``n_best`` counts the links whose count is the highest of their A id (ties
     included), ``count_sum`` adds up the counts of all links. Null and empty texts, and texts whose bytes one of the
     tokenizers does not give back, have no tokens: zeros and empty groups. A null id stays null; repeated rows stay, each a
