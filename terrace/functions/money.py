@@ -1,8 +1,10 @@
 """Money arithmetic on decimals.
 
-Money is ``DECIMAL(12,2)`` at the source and ``DECIMAL(18,2)`` for computed
-amounts; rates are ``DECIMAL(5,4)``. Rounding is HALF_UP on exact decimals, so
-results do not depend on binary floating point.
+Prices are ``DECIMAL(16,4)``, rates ``DECIMAL(8,6)`` and computed amounts
+``DECIMAL(18,2)``. An integer quantity times a price times a rate has at most 38
+digits, so products are exact; only amounts are rounded (HALF_UP, to cents), and
+results do not depend on binary floating point. A source value with more digits
+than these hold is not rounded: it is unreadable (``normalize.typed``).
 """
 
 from __future__ import annotations
@@ -11,8 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-PRICE = DecimalType(12, 2)
-RATE = DecimalType(5, 4)
+PRICE = DecimalType(16, 4)
+RATE = DecimalType(8, 6)
 AMOUNT = DecimalType(18, 2)
 
 # Fixed value-band thresholds (lifetime value, inclusive lower bounds).

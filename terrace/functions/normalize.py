@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import BooleanType, DataType, DateType, DecimalType, StringType, StructType, TimestampNTZType, TimestampType
 
 # Fixed pattern for a syntactically plausible e-mail address.
 EMAIL_PATTERN = r"^[^@\s]+@[^@\s]+\.[^@\s]+$"
@@ -55,6 +55,37 @@ def parse_timestamp(df: DataFrame, column: str) -> Column:
     return F.try_to_timestamp(F.col(column).cast(StringType())).cast(TimestampNTZType())
 
 
+# Digits behind the point up to which numbers are compared before they get their type.
+_SCALE = 18
+UNREADABLE = "_unreadable"
+
+
+def exact(text: Column, target: DataType) -> Column:
+    """Text → ``target`` where that loses nothing, else NULL: no digit is rounded away, ``2.5`` is no integer."""
+    text = F.trim(text)
+    if isinstance(target, BooleanType):
+        return F.when(F.lower(text).isin("true", "false"), F.lower(text) == "true")
+    number = text.try_cast(DecimalType(38, _SCALE))
+    value = number.try_cast(target)
+    return F.when((value == number) & ~text.rlike(rf"\.[0-9]{{{_SCALE}}}[0-9]*[1-9]"), value)
+
+
+def typed(df: DataFrame, contract: StructType) -> DataFrame:
+    """Text columns of ``df`` that the contract types otherwise, parsed by :func:`exact`; typed columns pass through.
+
+    ``_unreadable`` names the columns that hold a text which is not exactly a value of their type (comma-joined, in
+    contract order; NULL if none); their values are NULL. Blank text is a missing value.
+    """
+    parsed = {
+        f.name: exact(F.col(f.name), f.dataType)
+        for f in contract.fields
+        if f.name in df.columns and isinstance(df.schema[f.name].dataType, StringType) and not isinstance(f.dataType, StringType)
+    }
+    bad = [F.when((F.trim(F.col(c)) != "") & v.isNull(), F.lit(c)) for c, v in parsed.items()]
+    names = F.concat_ws(",", *bad) if bad else F.lit("")
+    return df.withColumns({**parsed, UNREADABLE: F.when(names != "", names)})
+
+
 def ntz_literal(value) -> Column:
     """A TIMESTAMP_NTZ literal built from text, so no time zone is involved.
 

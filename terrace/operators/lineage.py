@@ -11,6 +11,7 @@ from pyspark.sql.types import TimestampNTZType
 
 from terrace.functions.identity import record_hash, record_id
 from terrace.functions.normalize import ntz_literal
+from terrace.sources.contracts import CORRUPT
 
 LINEAGE_COLUMNS = [
     "_source_system",
@@ -52,10 +53,12 @@ def with_lineage(
 
     ``source_file`` defaults to the scan's ``_metadata.file_path`` (or an existing
     ``_source_file`` column). Columns beginning with ``_`` and ``batch_date`` are not
-    part of the source row unless named in ``source_columns``.
+    part of the source row unless named in ``source_columns``; the text of an unreadable
+    line (``_corrupt_record``) is, so that two broken lines are two records.
     """
     if source_columns is None:
         source_columns = [c for c in df.columns if not c.startswith("_") and c != "batch_date"]
+        source_columns += [CORRUPT] if CORRUPT in df.columns else []
     if source_file is None:
         file_col = F.col("_source_file") if "_source_file" in df.columns else F.col("_metadata.file_path")
     else:

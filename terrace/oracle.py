@@ -71,10 +71,11 @@ def with_(*ctes: str) -> str:
 
 CUSTOMER_SRC = [("customer_id", "str"), ("full_name", "str"), ("email", "str"), ("city", "str"),
                 ("country", "str"), ("segment", "str"), ("signup_date", "str"), ("updated_at", "str")]
-PRODUCT_SRC = [("product_id", "str"), ("product_name", "str"), ("category", "str"), ("unit_cost", "num"),
-               ("list_price", "num"), ("active", "bool"), ("updated_at", "str")]
+PRODUCT_SRC = [("product_id", "str"), ("product_name", "str"), ("category", "str"), ("unit_cost", "str"),
+               ("list_price", "str"), ("active", "str"), ("updated_at", "str")]
+PRODUCT_LINE = [(c, {"unit_cost": "num", "list_price": "num", "active": "bool"}.get(c, k)) for c, k in PRODUCT_SRC]
 ORDER_SRC = [("order_id", "str"), ("customer_id", "str"), ("product_id", "str"), ("ordered_at", "ts"),
-             ("quantity", "num"), ("unit_price", "num"), ("discount_pct", "num"), ("channel", "str"),
+             ("quantity", "str"), ("unit_price", "str"), ("discount_pct", "str"), ("channel", "str"),
              ("status", "str"), ("currency", "str")]
 CUSTOMER_ATTR = [("full_name", "str"), ("email", "str"), ("city", "str"), ("country", "str"), ("segment", "str")]
 
@@ -100,7 +101,9 @@ CRM2 = f"""crm2 AS (
     '1999-01-02 00:00:00' AS updated_at
   FROM crm)"""
 
-PR = f"""pr AS (
+TEXT = ("CAST(unit_cost AS VARCHAR) AS unit_cost", "CAST(list_price AS VARCHAR) AS list_price", "CAST(active AS VARCHAR) AS active")
+
+PR = f"""prn AS (
   SELECT p_partkey AS _partkey,
     CASE WHEN p_partkey % {X.NULL_PRODUCT_ID} = 0 THEN NULL ELSE concat('P', printf('%06d', p_partkey)) END AS product_id,
     p_name AS product_name, p_type AS category,
@@ -108,24 +111,29 @@ PR = f"""pr AS (
          * CASE WHEN p_partkey % {X.NEGATIVE_COST} = 0 THEN -1 ELSE 1 END, 2) AS DECIMAL(12,2)) AS unit_cost,
     CAST(p_retailprice AS DECIMAL(12,2)) AS list_price, true AS active,
     '1999-01-01 00:00:00' AS updated_at
-  FROM part)"""
+  FROM part),
+pr AS (
+  SELECT * REPLACE (concat(CAST(unit_cost AS VARCHAR), CASE WHEN _partkey % {X.FINE_COST} = 0 THEN '0001' ELSE '' END) AS unit_cost,
+                    {TEXT[1]}, {TEXT[2]}) FROM prn)"""
 
-PR2 = f"""pr2 AS (
+PR2 = f"""prn2 AS (
   SELECT _partkey, product_id, product_name, category,
     CAST(ABS(unit_cost) AS DECIMAL(12,2)) AS unit_cost,
     CASE WHEN _partkey % {X.PRICE_CHANGE} = 0 THEN CAST(list_price + 1 AS DECIMAL(12,2)) ELSE list_price END AS list_price,
     active, '1999-01-02 00:00:00' AS updated_at
-  FROM pr)"""
+  FROM prn),
+pr2 AS (SELECT * REPLACE ({", ".join(TEXT)}) FROM prn2)"""
 
 ORD = f"""ord AS (
   SELECT concat('O', CAST(l_orderkey AS VARCHAR), '-', CAST(l_linenumber AS VARCHAR)) AS order_id,
     CASE WHEN l_orderkey % {X.UNKNOWN_CUSTOMER} = 0 THEN 'C999999' ELSE concat('C', printf('%06d', o_custkey)) END AS customer_id,
     concat('P', printf('%06d', l_partkey)) AS product_id,
     o_orderdate AS ordered_at,
-    CASE WHEN l_orderkey % {X.ZERO_QUANTITY} = 0 THEN 0 WHEN l_orderkey % {X.NULL_QUANTITY} = 0 THEN NULL
-         ELSE CAST(l_quantity AS INTEGER) END AS quantity,
-    CAST(p_retailprice * CASE WHEN l_orderkey % {X.NEGATIVE_PRICE} = 0 THEN -1 ELSE 1 END AS DECIMAL(12,2)) AS unit_price,
-    CAST(l_discount AS DECIMAL(5,4)) AS discount_pct,
+    CASE WHEN l_orderkey % {X.ZERO_QUANTITY} = 0 THEN '0' WHEN l_orderkey % {X.NULL_QUANTITY} = 0 THEN NULL
+         WHEN l_orderkey % {X.WORD_QUANTITY} = 0 THEN 'two' ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
+    concat(CAST(CAST(p_retailprice * CASE WHEN l_orderkey % {X.NEGATIVE_PRICE} = 0 THEN -1 ELSE 1 END AS DECIMAL(12,2)) AS VARCHAR),
+           CASE WHEN l_orderkey % {X.TENTH_CENTS} = 0 THEN '1' WHEN l_orderkey % {X.FINE_PRICE} = 0 THEN '0001' ELSE '' END) AS unit_price,
+    CAST(CAST(l_discount AS DECIMAL(5,4)) AS VARCHAR) AS discount_pct,
     o_orderpriority AS channel, l_returnflag AS status, 'USD' AS currency,
     l_shipdate AS _delivered_at
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
@@ -160,6 +168,24 @@ FIXTURES = [CRM, PR, ORD, BCUST1, BPROD1, BORD]
 FIXTURES2 = [CRM2, PR2, BCUST2, BPROD2]
 
 # ----------------------------------------------------------------------------- silver
+def exact(column: str, kind: str) -> str:
+    """A text column as ``kind`` where that loses nothing."""
+    if kind == "BOOLEAN":
+        return f"CASE lower(trim({column})) WHEN 'true' THEN true WHEN 'false' THEN false END"
+    number = f"TRY_CAST(trim({column}) AS DECIMAL(38,18))"
+    return f"CASE WHEN TRY_CAST({number} AS {kind}) = {number} THEN TRY_CAST({number} AS {kind}) END"
+
+
+def landed(name: str, bronze: str, fields, types: dict[str, str]) -> str:
+    """Bronze with its source values as JSON and its numbers typed; ``_unreadable`` names what is not exactly of its type."""
+    typed = ", ".join(f"{exact(c, t)} AS {c}" for c, t in types.items())
+    bad = ", ".join(f"CASE WHEN trim({c}) <> '' AND ({exact(c, t)}) IS NULL THEN '{c}' END" for c, t in types.items())
+    return f"""{name} AS (
+  SELECT * REPLACE ({typed}), nullif(concat_ws(',', {bad}), '') AS _unreadable, {json_text(fields)} AS _raw FROM {bronze})"""
+
+
+PRODUCT_TYPES = {"unit_cost": "DECIMAL(16,4)", "list_price": "DECIMAL(16,4)", "active": "BOOLEAN"}
+ORDER_TYPES = {"quantity": "INTEGER", "unit_price": "DECIMAL(16,4)", "discount_pct": "DECIMAL(8,6)"}
 LATEST = "ROW_NUMBER() OVER (PARTITION BY {k} ORDER BY _ingested_at DESC NULLS LAST, _record_hash DESC NULLS LAST)"
 
 
@@ -169,7 +195,7 @@ def customers_ctes(sfx: str, bronze: str) -> list[str]:
   SELECT upper(trim(customer_id)) AS customer_id, {initcap('trim(full_name)')} AS full_name,
     lower(trim(email)) AS email, {initcap('trim(city)')} AS city, country, segment,
     TRY_CAST(signup_date AS DATE) AS signup_date, TRY_CAST(updated_at AS TIMESTAMP) AS source_updated_at,
-    updated_at, _source_file, _batch_id, _ingested_at, _record_hash
+    updated_at, _source_file, _batch_id, _ingested_at, _record_hash, {json_text(CUSTOMER_SRC)} AS _raw
   FROM {bronze})""",
         f"""ccl{sfx} AS (
   SELECT *, CASE WHEN COALESCE(customer_id IS NULL OR customer_id = '' OR NOT regexp_matches(email, '{EMAIL}'), false)
@@ -189,12 +215,13 @@ HIST1 = f"""hist1 AS (
 
 def products_ctes(sfx: str, bronze: str) -> list[str]:
     return [
+        landed(f"pty{sfx}", bronze, PRODUCT_SRC, PRODUCT_TYPES),
         f"""pcl{sfx} AS (
   SELECT upper(trim(product_id)) AS product_id, product_name, category, unit_cost, list_price, active, updated_at,
-    TRY_CAST(updated_at AS TIMESTAMP) AS source_updated_at, _source_file, _batch_id, _ingested_at, _record_hash,
-    CASE WHEN COALESCE(product_id IS NULL OR NOT (unit_cost >= 0) OR NOT (list_price >= 0), true)
+    TRY_CAST(updated_at AS TIMESTAMP) AS source_updated_at, _source_file, _batch_id, _ingested_at, _record_hash, _raw,
+    CASE WHEN _unreadable IS NOT NULL THEN 'UNREADABLE_VALUE' WHEN COALESCE(product_id IS NULL OR NOT (unit_cost >= 0) OR NOT (list_price >= 0), true)
       THEN 'INVALID_PRODUCT' END AS _quarantine_reason
-  FROM {bronze})""",
+  FROM pty{sfx})""",
         f"""prod{sfx} AS (
   SELECT product_id, product_name, category, unit_cost, list_price, active, source_updated_at
   FROM (SELECT * FROM pcl{sfx} WHERE _quarantine_reason IS NULL AND product_id IS NOT NULL
@@ -207,11 +234,12 @@ def orders_ctes(sfx: str, bronze: str, hist: str = "hist1", prod: str = "prod1")
         f"""olat{sfx} AS (
   SELECT * FROM {bronze}
   QUALIFY {LATEST.format(k="order_id, CASE WHEN order_id IS NULL THEN _bronze_record_id END")} = 1)""",
+        landed(f"oty{sfx}", f"olat{sfx}", ORDER_SRC, ORDER_TYPES),
         f"""ofin{sfx} AS (
   SELECT *, CAST(ordered_at AS DATE) AS order_date,
     {money('quantity * unit_price')} AS gross_amount,
     {money('quantity * unit_price * (1 - discount_pct)')} AS net_amount
-  FROM olat{sfx})""",
+  FROM oty{sfx})""",
         f"""ochk{sfx} AS (
   SELECT o.*, {money('o.gross_amount - o.net_amount')} AS discount_amount, c._customer_exists, p._product_exists
   FROM ofin{sfx} o
@@ -226,6 +254,7 @@ def orders_ctes(sfx: str, bronze: str, hist: str = "hist1", prod: str = "prod1")
       WHEN _customer_exists IS NULL THEN 'UNKNOWN_CUSTOMER'
       WHEN _product_exists IS NULL THEN 'UNKNOWN_PRODUCT'
       WHEN order_id IS NULL OR order_id = '' THEN 'INVALID_ORDER_KEY'
+      WHEN _unreadable IS NOT NULL THEN 'UNREADABLE_VALUE'
       WHEN quantity IS NULL OR unit_price IS NULL THEN 'MISSING_MEASURE' END AS _quarantine_reason
   FROM ochk{sfx})""",
         f"""sales{sfx} AS (
@@ -240,13 +269,13 @@ SILVER = customers_ctes("1", "bcust1") + [HIST1] + products_ctes("1", "bprod1")
 ORDER_PAYLOAD = [("order_id", "str"), ("customer_id", "str"), ("product_id", "str"), ("ordered_at", "ts"),
                  ("order_date", "date"), ("quantity", "num"), ("unit_price", "num"), ("discount_pct", "num"),
                  ("gross_amount", "num"), ("discount_amount", "num"), ("net_amount", "num"), ("channel", "str"),
-                 ("status", "str"), ("currency", "str"), ("_source_file", "str"), ("_batch_id", "str")]
+                 ("status", "str"), ("currency", "str"), ("_source_file", "str"), ("_batch_id", "str"), ("_raw", "str")]
 CUSTOMER_PAYLOAD = [("customer_id", "str"), ("full_name", "str"), ("email", "str"), ("city", "str"),
                     ("country", "str"), ("segment", "str"), ("signup_date", "date"), ("source_updated_at", "ts"),
-                    ("updated_at", "str"), ("_source_file", "str"), ("_batch_id", "str")]
+                    ("updated_at", "str"), ("_source_file", "str"), ("_batch_id", "str"), ("_raw", "str")]
 PRODUCT_PAYLOAD = [("product_id", "str"), ("product_name", "str"), ("category", "str"), ("unit_cost", "num"),
                    ("list_price", "num"), ("active", "bool"), ("updated_at", "str"), ("_source_file", "str"),
-                   ("_batch_id", "str")]
+                   ("_batch_id", "str"), ("_raw", "str")]
 
 
 def quarantine_cte(name: str, src: str, entity: str, payload) -> str:
@@ -347,11 +376,16 @@ def _dups(table: str, col: str) -> str:
 
 ORACLE: dict[str, str] = {
     "scan_csv_customers": _q([CRM], f"SELECT customer_id, full_name, email, city, country, segment, signup_date, "
-                                    f"updated_at, {D1} AS batch_date FROM crm"),
-    "scan_json_products": _q([PR], f"SELECT product_id, product_name, category, {_dbl(['unit_cost', 'list_price'])}, "
-                                   f"active, updated_at, {D1} AS batch_date FROM pr"),
+                                    f"updated_at, CAST(NULL AS VARCHAR) AS _corrupt_record, {D1} AS batch_date FROM crm"),
+    "scan_json_products": _q(
+        [PR, f"""sent AS (SELECT _partkey, * EXCLUDE (_partkey) REPLACE (CAST(unit_cost AS DECIMAL(18,6)) AS unit_cost,
+               CAST(list_price AS DECIMAL(18,6)) AS list_price, CAST(active AS BOOLEAN) AS active) FROM pr)""",
+         f"lines AS (SELECT *, _partkey % {X.BROKEN_LINE} = 0 AS cut, {json_text(PRODUCT_LINE)} AS line FROM sent)"],
+        "SELECT " + ", ".join(f"CASE WHEN NOT cut THEN CAST({c} AS VARCHAR) END AS {c}" for c, _ in PRODUCT_SRC)
+        + f", CASE WHEN cut THEN left(line, CAST(length(line) - 7 AS BIGINT)) END AS _corrupt_record, {D1} AS batch_date FROM lines",
+    ),
     "scan_csv_orders": _q([ORD], "SELECT order_id, customer_id, product_id, CAST(ordered_at AS VARCHAR) AS ordered_at, "
-                                 f"quantity, {_dbl(['unit_price', 'discount_pct'])}, channel, status, currency, "
+                                 "quantity, unit_price, discount_pct, channel, status, currency, CAST(NULL AS VARCHAR) AS _corrupt_record, "
                                  "CAST(date_trunc('month', _delivered_at) AS DATE) AS batch_date FROM ord"),
     "ingest_lineage": _q([CRM, BCUST1], "SELECT * EXCLUDE (_record_hash, _bronze_record_id) FROM bcust1"),
     "record_hash": _q([ORD, BORD], "SELECT order_id, _source_file, _record_hash, _bronze_record_id FROM bord"),
@@ -377,7 +411,7 @@ ORACLE: dict[str, str] = {
     ),
     "latest_per_key": _q(
         [ORD, BORD] + orders_ctes("", "bord")[:1],
-        "SELECT order_id, customer_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS unit_price, "
+        "SELECT order_id, customer_id, product_id, quantity, unit_price, "
         "_ingested_at, _record_hash FROM olat",
     ),
     "merge_upsert_products": _q(
@@ -445,7 +479,7 @@ ORACLE: dict[str, str] = {
         BASE + QUARANTINE, "SELECT _entity, _quarantine_reason, COUNT(*) AS rows FROM qall GROUP BY ALL"
     ),
     "order_financials": _q(
-        [ORD, BORD] + orders_ctes("", "bord")[:2],
+        [ORD, BORD] + orders_ctes("", "bord")[:3],
         "SELECT order_id, ordered_at, order_date, "
         + _dbl(["gross_amount", "net_amount"])
         + f", CAST({money('gross_amount - net_amount')} AS DOUBLE) AS discount_amount FROM ofin",

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 
 from terrace.functions import money
 from terrace.functions.identity import attribute_hash
-from terrace.functions.normalize import email_ok, key, lower_trim, parse_date, parse_timestamp, title
+from terrace.functions.normalize import UNREADABLE, email_ok, key, lower_trim, parse_date, parse_timestamp, title, typed
 from terrace.operators import rules as R
 from terrace.operators.dedupe import latest_per_key
 from terrace.operators.scd2 import apply_scd2, first_load
+from terrace.sources.contracts import CORRUPT, CUSTOMER_CONTRACT, ORDER_CONTRACT, PRODUCT_CONTRACT
 
 # Fixed reason codes.
 INVALID_CUSTOMER = "INVALID_CUSTOMER_KEY_OR_EMAIL"
@@ -29,6 +30,10 @@ UNKNOWN_PRODUCT = "UNKNOWN_PRODUCT"
 INVALID_ORDER_KEY = "INVALID_ORDER_KEY"
 MISSING_MEASURE = "MISSING_MEASURE"
 AMOUNT_OUT_OF_RANGE = "AMOUNT_OUT_OF_RANGE"
+CORRUPT_RECORD = "CORRUPT_RECORD"
+UNREADABLE_VALUE = "UNREADABLE_VALUE"
+# The row as it landed, beside the parsed one.
+RAW = "_raw"
 
 CUSTOMER_ATTRIBUTES = ["full_name", "email", "city", "country", "segment"]
 CUSTOMER_COLUMNS = [
@@ -45,10 +50,21 @@ SALES_COLUMNS = [
 ]
 
 
+def _landed(bronze: DataFrame, contract) -> DataFrame:
+    """Bronze rows with their source values as JSON in ``_raw`` (NULL fields left out), then typed by the contract."""
+    source = [f.name for f in contract.fields if f.name in bronze.columns] + ([CORRUPT] if CORRUPT in bronze.columns else [])
+    return typed(bronze.withColumn(RAW, F.to_json(F.struct(*source))), contract)
+
+
+def _broken(df: DataFrame) -> list[R.Rule]:
+    """A line that could not be read at all names its reason before any other."""
+    return [R.Rule(CORRUPT_RECORD, F.col(CORRUPT).isNotNull())] if CORRUPT in df.columns else []
+
+
 # --------------------------------------------------------------------------- customers
 def customers_normalized(bronze: DataFrame) -> DataFrame:
-    """Trim/upper ids, title-case names and cities, lower e-mails, parse date/time."""
-    return bronze.withColumns(
+    """Trim/upper ids, title-case names and cities, lower e-mails, parse date/time; ``_raw`` keeps the source values."""
+    return _landed(bronze, CUSTOMER_CONTRACT).withColumns(
         {
             "customer_id": key("customer_id"),
             "full_name": title("full_name"),
@@ -74,7 +90,7 @@ def customer_rules(require_email: bool = False) -> list[R.Rule]:
 
 
 def customers_classified(bronze: DataFrame, require_email: bool = False) -> DataFrame:
-    return R.classify(customers_normalized(bronze), customer_rules(require_email))
+    return R.classify(customers_normalized(bronze), [*_broken(bronze), *customer_rules(require_email)])
 
 
 def customers_incoming(classified: DataFrame) -> DataFrame:
@@ -91,7 +107,7 @@ def customers_incoming(classified: DataFrame) -> DataFrame:
 
 def customers_quarantine(classified: DataFrame, quarantine_date: _dt.date) -> DataFrame:
     invalid = R.invalid_rows(classified)
-    payload = CUSTOMER_COLUMNS[:-1] + ["updated_at", "_source_file", "_batch_id"]
+    payload = CUSTOMER_COLUMNS[:-1] + ["updated_at", "_source_file", "_batch_id", RAW]
     return R.quarantine(invalid, "customer", quarantine_date, payload)
 
 
@@ -113,14 +129,15 @@ def product_rules() -> list[R.Rule]:
 
 
 def products_classified(bronze: DataFrame) -> DataFrame:
-    """Invalid products are quarantined (not silently dropped).
+    """Invalid products are quarantined (not silently dropped), unreadable values with a reason of their own.
 
     A NULL cost or price violates the rule (``NOT (NULL >= 0)`` is NULL → counted
     as violated by the total predicate), matching a filter that keeps only rows
     where the comparisons are TRUE.
     """
     rules = [R.Rule(INVALID_PRODUCT, F.coalesce(r.violated, F.lit(True))) for r in product_rules()]
-    return R.classify(bronze, rules).withColumns(
+    df = _landed(bronze, PRODUCT_CONTRACT)
+    return R.classify(df, [*_broken(df), R.Rule(UNREADABLE_VALUE, F.col(UNREADABLE).isNotNull()), *rules]).withColumns(
         {"product_id": key("product_id"), "source_updated_at": parse_timestamp(bronze, "updated_at")}
     )
 
@@ -132,15 +149,15 @@ def products_valid(classified: DataFrame) -> DataFrame:
 def products_quarantine(classified: DataFrame, quarantine_date: _dt.date) -> DataFrame:
     payload = [
         "product_id", "product_name", "category", "unit_cost", "list_price", "active", "updated_at",
-        "_source_file", "_batch_id",
+        "_source_file", "_batch_id", RAW,
     ]
     return R.quarantine(R.invalid_rows(classified), "product", quarantine_date, payload)
 
 
 # --------------------------------------------------------------------------- orders
 def order_financials(latest_orders: DataFrame) -> DataFrame:
-    """Parse order time, derive date and the three amounts (decimal, HALF_UP)."""
-    return latest_orders.withColumns(
+    """Type the row, parse order time, derive date and the three amounts (decimal, HALF_UP)."""
+    return _landed(latest_orders, ORDER_CONTRACT).withColumns(
         {"ordered_at": parse_timestamp(latest_orders, "ordered_at")}
     ).withColumns(
         {
@@ -183,9 +200,12 @@ def orders_checked(bronze_orders: DataFrame, customers: DataFrame, products: Dat
 
 
 def orders_classified(checked: DataFrame) -> DataFrame:
-    """The reference's rules, then amounts that have more digits than an amount can hold."""
+    """Broken lines, the reference's rules, values that are not exactly of their type, missing measures, and amounts that
+    have more digits than an amount can hold."""
     too_large = F.col("gross_amount").isNull() | (F.col("net_amount").isNull() & F.col("discount_pct").isNotNull())
-    return R.classify(checked, [*order_rules(), R.Rule(AMOUNT_OUT_OF_RANGE, too_large)])
+    *rules, missing = order_rules()
+    unreadable = [R.Rule(UNREADABLE_VALUE, F.col(UNREADABLE).isNotNull())] if UNREADABLE in checked.columns else []
+    return R.classify(checked, [*_broken(checked), *rules, *unreadable, missing, R.Rule(AMOUNT_OUT_OF_RANGE, too_large)])
 
 
 def sales_rows(classified: DataFrame) -> DataFrame:
@@ -195,7 +215,7 @@ def sales_rows(classified: DataFrame) -> DataFrame:
 ORDER_PAYLOAD = [
     "order_id", "customer_id", "product_id", "ordered_at", "order_date", "quantity", "unit_price",
     "discount_pct", "gross_amount", "discount_amount", "net_amount", "channel", "status", "currency",
-    "_source_file", "_batch_id",
+    "_source_file", "_batch_id", RAW,
 ]
 
 

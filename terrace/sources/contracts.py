@@ -1,9 +1,13 @@
 """Source contracts: explicit schemas for the three landing feeds.
 
-Schemas are declared, never inferred. Money is DECIMAL (prices and costs
-``DECIMAL(12,2)``, discount ``DECIMAL(5,4)``) so that rounding is exact; dates and
-times land as text and are parsed in Silver. ``batch_date`` is the delivery
-partition column of the landing layout ``<entity>/batch_date=YYYY-MM-DD/``.
+Schemas are declared, never inferred. A contract names the columns and the types
+that Silver gives them; the landing files are read as text (:func:`landing_schema`),
+so Bronze holds what the source sent, digit by digit, and a line that cannot be read
+keeps its whole text in ``_corrupt_record``. Money is DECIMAL; dates and times are
+parsed in Silver too. ``batch_date`` is the delivery partition column of the landing
+layout ``<entity>/batch_date=YYYY-MM-DD/``.
+
+The columns and types of the three contracts are fixed values, set by the source systems.
 """
 
 from __future__ import annotations
@@ -73,8 +77,8 @@ SOURCE_SYSTEMS = {"customers": "crm_csv", "products": "product_json", "orders":
 
 PARTITION_COLUMN = "batch_date"
 
-# Business keys per entity.
-KEYS = {"customers": "customer_id", "products": "product_id", "orders": "order_id"}
+# Where a line goes that does not parse.
+CORRUPT = "_corrupt_record"
 
 
 def with_partition(contract: StructType) -> StructType:
@@ -82,5 +86,11 @@ def with_partition(contract: StructType) -> StructType:
     return StructType(list(contract.fields) + [StructField(PARTITION_COLUMN, DateType())])
 
 
+def landing_schema(entity: str) -> StructType:
+    """Every contract column as text, the text of an unreadable line, and the typed partition column."""
+    text = [StructField(f.name, StringType()) for f in CONTRACTS[entity].fields]
+    return with_partition(StructType([*text, StructField(CORRUPT, StringType())]))
+
+
 def source_columns(entity: str) -> list[str]:
     return [f.name for f in CONTRACTS[entity].fields]

@@ -15,9 +15,8 @@ import datetime as _dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType
+from pyspark.sql.types import DecimalType, IntegerType, StringType
 
-from terrace.functions.money import PRICE, RATE
 from terrace.functions.normalize import ntz_literal
 from terrace.operators.lineage import with_lineage
 from terrace.sources.contracts import SOURCE_SYSTEMS
@@ -38,6 +37,13 @@ UNKNOWN_CUSTOMER = 113
 ZERO_QUANTITY = 103
 NULL_QUANTITY = 107
 NEGATIVE_PRICE = 109
+# Fixed types of the numbers that the source systems send as text, and what they plant beside.
+PRICE, RATE = DecimalType(12, 2), DecimalType(5, 4)
+BROKEN_LINE = 139
+TENTH_CENTS = 101
+WORD_QUANTITY = 127
+FINE_PRICE = 149
+FINE_COST = 151
 # Day-2 change rules (customers: segment rotation; products: price step).
 SEGMENT_CHANGE = 10
 PRICE_CHANGE = 7
@@ -115,8 +121,18 @@ def customers_source_day2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _as_text(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast(StringType()) for c in columns})
+
+
 def products_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """pr: one row per part; NULL ids and negative costs planted."""
+    """pr: one row per part, values as text; NULL ids, negative costs and costs in millionths planted."""
+    fine = F.when(F.col("_partkey") % FINE_COST == 0, F.lit("0001")).otherwise(F.lit(""))
+    text = _as_text(_products(spark, sf_dir), "unit_cost", "list_price", "active")
+    return text.withColumn("unit_cost", F.concat("unit_cost", fine))
+
+
+def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = load(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice")
     k = F.col("p_partkey")
     price = F.col("p_retailprice").cast(PRICE)
@@ -136,10 +152,10 @@ def products_source(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products_source_day2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Second product delivery: list price +1 for key % 7 == 0, negative costs corrected."""
-    day1 = products_source(spark, sf_dir)
+    """Second product delivery: list price +1 for key % 7 == 0, negative and too fine costs corrected."""
+    day1 = _products(spark, sf_dir)
     k = F.col("_partkey")
-    return day1.select(
+    changed = day1.select(
         "_partkey",
         "product_id",
         "product_name",
@@ -151,13 +167,23 @@ def products_source_day2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "active",
         F.concat(F.lit(DAY2.date().isoformat()), F.lit(" 00:00:00")).alias("updated_at"),
     )
+    return _as_text(changed, "unit_cost", "list_price", "active")
+
+
+def product_lines(products: DataFrame) -> DataFrame:
+    """``(batch_date, value)``: products as the lines of an NDJSON delivery with numbers as numbers; some lines are cut off."""
+    price, flag = (lambda c: F.col(c).cast("decimal(18,6)").alias(c)), F.col("active").cast("boolean").alias("active")
+    line = F.to_json(F.struct("product_id", "product_name", "category", price("unit_cost"), price("list_price"), flag, "updated_at"))
+    cut = F.when(F.col("_partkey") % BROKEN_LINE == 0, F.expr("left(line, length(line) - 7)")).otherwise(F.col("line"))
+    return products.withColumn("line", line).select("batch_date", cut.alias("value"))
 
 
 def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ord: one row per line item, ``order_id`` repeats (re-deliveries).
 
-    Each row keeps its delivery instant (``l_shipdate``) as ``_delivered_at``.
-    Defects: unknown customer, zero and NULL quantity, negative price.
+    Each row keeps its delivery instant (``l_shipdate``) as ``_delivered_at``. Numbers are text.
+    Defects: unknown customer, zero, NULL and worded quantity, negative price, prices in
+    tenths of a cent (which are right) and in millionths (which are not).
     """
     li = load(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_discount", "l_returnflag", "l_shipdate"
@@ -181,12 +207,16 @@ def orders_source(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("customer_id"),
         F.concat(F.lit("P"), _pad(F.col("l_partkey"))).alias("product_id"),
         F.col("o_orderdate").alias("ordered_at"),
-        F.when(k % ZERO_QUANTITY == 0, F.lit(0))
-        .when(k % NULL_QUANTITY == 0, F.lit(None).cast(IntegerType()))
-        .otherwise(F.col("l_quantity").cast(IntegerType()))
+        F.when(k % ZERO_QUANTITY == 0, F.lit("0"))
+        .when(k % NULL_QUANTITY == 0, F.lit(None).cast(StringType()))
+        .when(k % WORD_QUANTITY == 0, F.lit("two"))
+        .otherwise(F.col("l_quantity").cast(IntegerType()).cast(StringType()))
         .alias("quantity"),
-        (F.col("p_retailprice") * sign).cast(PRICE).alias("unit_price"),
-        F.col("l_discount").cast(RATE).alias("discount_pct"),
+        F.concat(
+            (F.col("p_retailprice") * sign).cast(PRICE).cast(StringType()),
+            F.when(k % TENTH_CENTS == 0, F.lit("1")).when(k % FINE_PRICE == 0, F.lit("0001")).otherwise(F.lit("")),
+        ).alias("unit_price"),
+        F.col("l_discount").cast(RATE).cast(StringType()).alias("discount_pct"),
         F.col("o_orderpriority").alias("channel"),
         F.col("l_returnflag").alias("status"),
         F.lit("USD").alias("currency"),

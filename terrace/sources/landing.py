@@ -7,6 +7,9 @@ listing time instead of rescanning every landing partition.
 CSV is read with ``enforceSchema=false``: Spark then checks the header against
 the contract and fails on a re-ordered or renamed header instead of binding
 values to the wrong columns by position.
+
+Every value is read as the text that the file holds (a JSON number with all its
+digits); nothing is parsed, rounded or lost before Bronze.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.sources.contracts import CONTRACTS, FORMATS, PARTITION_COLUMN, with_partition
+from terrace.sources.contracts import CONTRACTS, CORRUPT, FORMATS, PARTITION_COLUMN, landing_schema
 
 
 def entity_path(landing_root: str, entity: str) -> str:
@@ -32,12 +35,13 @@ def scan(
 ) -> DataFrame:
     """Read every delivery of ``entity`` under ``landing_root``.
 
-    Returns the contract columns, ``batch_date`` and (optionally)
-    ``_source_file`` taken from the hidden ``_metadata.file_path`` column.
+    Returns the contract columns as text, ``_corrupt_record`` (the whole line where it
+    has another number of CSV fields or is no JSON object; else NULL), ``batch_date`` and
+    (optionally) ``_source_file`` taken from the hidden ``_metadata.file_path`` column.
+    A short CSV line keeps the values it has; the columns of a broken JSON line are NULL.
     """
     path = entity_path(landing_root, entity)
-    schema = with_partition(CONTRACTS[entity])
-    reader = spark.read.schema(schema).option("basePath", path)
+    reader = spark.read.schema(landing_schema(entity)).option("basePath", path).option("columnNameOfCorruptRecord", CORRUPT)
     fmt = FORMATS[entity]
     if fmt == "csv":
         df = (
@@ -64,7 +68,8 @@ def write_delivery(df: DataFrame, landing_root: str, entity: str, mode: str = "a
     round trip through the landing format is lossless.
     """
     columns = [f.name for f in CONTRACTS[entity].fields] + [PARTITION_COLUMN]
-    writer = df.select(*columns).write.mode(mode).partitionBy(PARTITION_COLUMN)
+    # rows of a day lie together without one task having to write a whole large day
+    writer = df.select(*columns).hint("rebalance", PARTITION_COLUMN).write.mode(mode).partitionBy(PARTITION_COLUMN)
     path = entity_path(landing_root, entity)
     if FORMATS[entity] == "csv":
         (

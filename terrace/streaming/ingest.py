@@ -23,14 +23,14 @@ from pyspark.sql.streaming import StreamingQuery
 from terrace.operators.lineage import with_lineage
 from terrace.plans.bronze import new_records
 from terrace.sinks import publish
-from terrace.sources.contracts import CONTRACTS, FORMATS, PARTITION_COLUMN, SOURCE_SYSTEMS, with_partition
+from terrace.sources.contracts import CORRUPT, FORMATS, PARTITION_COLUMN, SOURCE_SYSTEMS, landing_schema
 from terrace.sources.landing import entity_path
 
 
 def read_stream(spark: SparkSession, landing_root: str, entity: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming scan of one entity's landing folder through its contract."""
     path = entity_path(landing_root, entity)
-    reader = spark.readStream.schema(with_partition(CONTRACTS[entity]))
+    reader = spark.readStream.schema(landing_schema(entity)).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if FORMATS[entity] == "csv":
