@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
 REASON = "_quarantine_reason"
+_SPREAD = "_spread"
 
 
 @dataclass(frozen=True)
@@ -84,15 +85,21 @@ def quarantine(
 def reference_flags(df: DataFrame, references: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     """Left-join existence flags: ``{flag: (keys_frame, key_column)}``.
 
-    Key lists are made distinct first so a duplicated key cannot fan out the
-    checked rows. ``distinct`` hashes on the join key, so Spark reuses that
-    partitioning for the join (no extra exchange); a small key list is
-    broadcast by AQE after its size is measured.
+    Key lists are made distinct first so a duplicated key cannot fan out the checked
+    rows. The join is on the key and its ``_spread``: for a key a number that follows
+    from it, for a NULL, which matches nothing, one that follows from the whole row.
+    So rows without a key are dealt to all tasks instead of one. And because the
+    distinct keys lie by key alone, Spark deals them out anew for the join; nothing
+    but a sort is then between the shuffles and the join, which is what AQE needs to
+    split a key that a third of the rows refer to. A small key list is broadcast by
+    AQE after its size is measured.
     """
     out = df
     for flag, (keys, column) in references.items():
-        flags = keys.select(column).filter(F.col(column).isNotNull()).distinct().withColumn(flag, F.lit(True))
-        out = out.join(flags, on=column, how="left")
+        spread = F.octet_length(F.col(column).cast("string"))
+        flags = keys.select(column).filter(F.col(column).isNotNull()).distinct().withColumns({_SPREAD: spread, flag: F.lit(True)})
+        dealt = out.withColumn(_SPREAD, F.coalesce(spread, F.hash(*out.columns)))
+        out = dealt.join(flags, on=[column, _SPREAD], how="left").drop(_SPREAD).select(*out.columns, flag)
     return out
 
 

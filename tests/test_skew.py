@@ -92,3 +92,50 @@ def test_one_category_holds_most_products_rank_is_distributed(spark):
 def test_attribute_hash_for_skewed_scd2_is_stable(spark):
     df = spark.createDataFrame([("a", None)] * 5, "x string, y string")
     assert df.select(attribute_hash(["x", "y"]).alias("h")).distinct().count() == 1
+
+
+def _split_joins(spark, df):
+    """The final plan of ``df`` after a run with no broadcast and small partitions."""
+    import contextlib
+
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in settings}
+    with contextlib.ExitStack() as undo:
+        for k, v in settings.items():
+            undo.callback(spark.conf.unset if before[k] is None else spark.conf.set, *([k] if before[k] is None else [k, before[k]]))
+            spark.conf.set(k, v)
+        out = df()
+        rows = out.collect()
+        return rows, out._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+
+
+def test_reference_join_is_split_at_a_hot_key(spark):
+    from terrace.operators import rules as R
+
+    # many partitions on the left, so that a hot partition can be split by its map outputs
+    orders = spark.range(0, 60_000, 1, 24).select(
+        F.col("id").cast("string").alias("order_id"), F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("c"), (F.col("id") % 500).cast("string"))).alias("customer_id")
+    )
+    keys = spark.range(400).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("customer_id")).union(spark.sql("SELECT 'hot'"))
+    rows, plan = _split_joins(spark, lambda: R.reference_flags(orders, {"_customer_exists": (keys.union(keys), "customer_id")}))
+    assert "SortMergeJoin(skew=true)" in plan
+    assert len(rows) == 60_000 and all((r._customer_exists is True) == (r.customer_id == "hot" or int(r.customer_id[1:]) < 400) for r in rows)
+
+
+def test_rows_without_a_key_are_dealt_to_all_tasks(spark):
+    from terrace.operators import rules as R
+
+    orders = spark.range(0, 40_000, 1, 8).select(F.col("id").cast("string").alias("order_id"), F.when(F.col("id") % 50 == 0, F.lit("c1")).alias("customer_id"))
+    keys = spark.createDataFrame([("c1",), (None,)], "customer_id string")
+
+    def flagged():
+        return R.reference_flags(orders, {"_customer_exists": (keys, "customer_id")}).withColumn("task", F.spark_partition_id())
+
+    rows, _ = _split_joins(spark, flagged)
+    held = {}
+    for r in rows:
+        held[r.task] = held.get(r.task, 0) + 1
+        assert r._customer_exists is (True if r.customer_id else None)
+    assert len(rows) == 40_000 and max(held.values()) < 12_000
