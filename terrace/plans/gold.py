@@ -107,11 +107,7 @@ def product_totals(fact: DataFrame, dim_prod: DataFrame, distinct_orders: bool =
 
 
 def rank_in_category(totals: DataFrame) -> DataFrame:
-    """Dense revenue rank inside each category (distributed; see ``operators.rank``).
-
-    The rank reads ``totals`` more than once; pass a staged table (one row per
-    product) so the fact is not aggregated again for each read.
-    """
+    """Dense revenue rank inside each category (distributed; see ``operators.rank``)."""
     return dense_rank_within(totals, "category", "net_revenue", "revenue_rank_in_category")
 
 
