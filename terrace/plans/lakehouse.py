@@ -9,7 +9,8 @@ recomputes from that table, not from the landing files.
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Mapping, Sequence
+import hashlib
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -78,6 +79,19 @@ class Lakehouse:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
+    def view(self, layer: str, table: str) -> str:
+        """Catalog name of a table that is replaced whole; lakes of different roots do not share names."""
+        return f"lake_{hashlib.sha256(self.root.rstrip('/').encode()).hexdigest()[:12]}_{layer}_{table}"
+
+
+@dataclass(frozen=True)
+class Change:
+    """What a run would make of a table (``after``), and how to make it so; nothing has changed before ``publish()``."""
+
+    after: DataFrame
+    publish: Callable[[], None]
+    changed: bool = True
+
 
 def _observed_rows(obs: Observation) -> int:
     """Rows counted by an observation; 0 when AQE replaced the observed plan by an
@@ -88,13 +102,9 @@ def _observed_rows(obs: Observation) -> int:
         return 0
 
 
-def _write_observed(df: DataFrame, name: str, path: str, partition_by: Sequence[str] = (), mode="append") -> int:
+def _append_observed(df: DataFrame, name: str, path: str, partition_by: Sequence[str] = ()) -> int:
     obs = Observation(name)
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if mode == "append":
-        publish.append(observed, path, partition_by)
-    else:
-        publish.overwrite(observed, path, partition_by)
+    publish.append(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
     return _observed_rows(obs)
 
 
@@ -123,45 +133,54 @@ def run_bronze(
             new = B.new_records(spark.read.parquet(path), seen)
         else:
             new = seen
-        inserted = _write_observed(new, f"inserted_{entity}", path, parts)
+        inserted = _append_observed(new, f"inserted_{entity}", path, parts)
         out.append({"entity": entity, "rows_seen": _observed_rows(seen_obs), "rows_inserted": inserted})
     return out
 
 
 # ----------------------------------------------------------------------------- silver
-def upsert_partitions(spark: SparkSession, path: str, incoming: DataFrame, key: str, table: str) -> None:
+def upsert_change(spark: SparkSession, path: str, incoming: DataFrame, key: str, table: str) -> Change:
     """Upsert into a partitioned table by rewriting only the partitions it touches.
 
     Touched partitions are those of the incoming rows plus those still holding an
     older version of an incoming key (a key may move, e.g. a corrected order
     date). Only their rows are read and merged; the merged rows are staged in the
-    checkpoint folder (the live table is never overwritten from itself) and then
-    replace exactly those partitions. The touched values are partition values
+    checkpoint folder (the live table is never overwritten from itself) and, once
+    published, replace exactly those partitions. The touched values are partition values
     (months) — a bounded list, not data. A partition left empty by the merge is
     deleted.
     """
     incoming, parts = with_layout(incoming, table)
     if not publish.exists(spark, path):
-        publish.overwrite(incoming, path, parts)
-        return
+        first = stage(spark, incoming, f"{table}-first")
+        return Change(without_layout(first), lambda: publish.overwrite(first, path, parts))
     target = spark.read.parquet(path)
     holding = target.select(key, *parts).join(incoming.select(key), key, "left_semi").select(*parts)
     touched = [r[0] for r in incoming.select(*parts).union(holding).distinct().collect()]
     col = parts[0]
     among = F.col(col).isin([v for v in touched if v is not None])
-    affected = target.filter(among | F.col(col).isNull() if None in touched else among)
-    merged = stage(spark, upsert(affected, incoming, key), f"{table}-merge")
+    among = F.coalesce(among, F.lit(None in touched))
+    merged = stage(spark, upsert(target.filter(among), incoming, key), f"{table}-merge")
     written = {r[0] for r in merged.select(col).distinct().collect()}  # partition values (bounded), of the staged rows
-    publish.overwrite_partitions(merged, path, parts)
-    publish.delete_partitions(spark, path, col, [v for v in touched if v not in written])
 
+    def replace() -> None:
+        publish.overwrite_partitions(merged, path, parts)
+        publish.delete_partitions(spark, path, col, [v for v in touched if v not in written])
+
+    return Change(without_layout(target.filter(~among).unionByName(merged)), replace)
+
+
+def upsert_partitions(spark: SparkSession, path: str, incoming: DataFrame, key: str, table: str) -> None:
+    """:func:`upsert_change`, published at once."""
+    upsert_change(spark, path, incoming, key, table).publish()
 
 
 def _append_quarantine(spark: SparkSession, lake: Lakehouse, rows: DataFrame) -> int:
+    """Append the quarantine rows of a run that are not there yet: one look at the table for all entities."""
     path = lake.path("silver", "quarantine")
     if publish.exists(spark, path):
         rows = insert_only(spark.read.parquet(path), rows, "_quarantine_id")
-    return _write_observed(rows, "quarantine", path, LAYOUT["quarantine"])
+    return _append_observed(rows, "quarantine", path, LAYOUT["quarantine"])
 
 
 def read_current_versions(spark: SparkSession, path: str) -> DataFrame:
@@ -173,36 +192,45 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return without_layout(spark.read.parquet(path))
 
 
-def apply_history(spark: SparkSession, path: str, incoming: DataFrame, key: str, as_of: _dt.datetime) -> bool:
-    """SCD2 publish that rewrites only the current versions.
+def history_change(spark: SparkSession, path: str, incoming: DataFrame, key: str, as_of: _dt.datetime) -> Change:
+    """SCD2 change that rewrites only the current versions; ``after`` holds the current versions alone.
 
     The history table is partitioned by version state. Closed versions never
     change: a run computes the new versions from the current ones with
-    :func:`terrace.operators.scd2.apply_scd2`, appends those it closed (insert-only
+    :func:`terrace.operators.scd2.apply_scd2`; publishing appends those it closed (insert-only
     on ``(key, valid_from)`` against all closed ones) and replaces the current
     partition. These are two commits; a run that crashes between them is mended by
-    the next one, whatever its ``as_of``: a version already closed is not closed again. Returns False (and writes nothing to the table) when
-    the delivery changes nothing (the reference's skip-if-unchanged probe).
+    the next one, whatever its ``as_of``: a version already closed is not closed again. ``changed`` is False (and
+    publishing writes nothing) when the delivery changes nothing (the reference's skip-if-unchanged probe).
     """
     if not publish.exists(spark, path):
-        first, parts = with_layout(first_load(incoming, as_of), "customers")
-        publish.overwrite(first, path, parts)
-        return True
+        first = stage(spark, first_load(incoming, as_of), "scd2-first")
+        laid, parts = with_layout(first, "customers")
+        return Change(first, lambda: publish.overwrite(laid, path, parts))
     current = read_current_versions(spark, path)
     # One evaluation of the change join: versions are staged while counting the
     # versions this run opened; none opened means nothing changed.
     versions = stage(spark, apply_scd2(current, incoming, key, as_of, opened_flag="_opened"), "scd2-versions")
     if versions.filter("_opened").isEmpty():
-        return False
+        return Change(current, lambda: None, changed=False)
     versions = versions.drop("_opened")
-    closed_now = versions.filter(~F.col("is_current"))
-    closed_before = without_layout(spark.read.parquet(path).filter(F.col("_version_state") != "current"))
-    new_closed = insert_only(closed_before, closed_now, [key, "valid_from"])
-    laid, parts = with_layout(new_closed, "customers")
-    publish.append(laid, path, parts)
-    laid_current, _ = with_layout(versions.filter(F.col("is_current")), "customers")
-    publish.overwrite_partitions(laid_current, path, parts)
-    return True
+
+    def replace() -> None:
+        closed_before = without_layout(spark.read.parquet(path).filter(F.col("_version_state") != "current"))
+        new_closed = insert_only(closed_before, versions.filter(~F.col("is_current")), [key, "valid_from"])
+        laid, parts = with_layout(new_closed, "customers")
+        publish.append(laid, path, parts)
+        laid_current, _ = with_layout(versions.filter(F.col("is_current")), "customers")
+        publish.overwrite_partitions(laid_current, path, parts)
+
+    return Change(versions.filter(F.col("is_current")), replace)
+
+
+def apply_history(spark: SparkSession, path: str, incoming: DataFrame, key: str, as_of: _dt.datetime) -> bool:
+    """:func:`history_change`, published at once; returns whether anything changed."""
+    change = history_change(spark, path, incoming, key, as_of)
+    change.publish()
+    return change.changed
 
 
 def run_silver(
@@ -214,8 +242,9 @@ def run_silver(
     checks: SilverChecks = SilverChecks(),
     since: _dt.date | None = None,
 ) -> dict:
-    """One Silver run over Bronze.
+    """One Silver run over Bronze: every table's new rows are staged, then audited, then published.
 
+    A gate that fails leaves every Silver table, the quarantine included, as it was (its evidence file is written).
     By default every Bronze row is re-derived (so an order quarantined for a
     dimension that arrived late is admitted by a later run). With ``since``, only
     Bronze orders ingested on or after that date are read — partition pruning on
@@ -223,50 +252,41 @@ def run_silver(
     price of not re-examining older quarantined orders.
     """
     qdate = as_of.date()
-    # customers: normalise → validate → quarantine → latest → SCD2
-    bc = spark.read.parquet(lake.path("bronze", "customers"))
-    # Classification is a projection: two column-pruned scans of Bronze are cheaper
-    # than writing a copy of it, so it is not staged.
-    c_cls = S.customers_classified(bc)
-    c_bad = _append_quarantine(spark, lake, S.customers_quarantine(c_cls, qdate))
+    # customers: normalise → validate → latest → SCD2. Classification is a projection: two
+    # column-pruned scans of Bronze are cheaper than writing a copy of it, so it is not staged.
+    c_cls = S.customers_classified(spark.read.parquet(lake.path("bronze", "customers")))
     c_path = lake.path("silver", "customers")
-    changed = apply_history(spark, c_path, S.customers_incoming(c_cls), "customer_id", as_of)
+    customers = history_change(spark, c_path, S.customers_incoming(c_cls), "customer_id", as_of)
 
-    # products: validate → quarantine → latest → upsert
-    bp = spark.read.parquet(lake.path("bronze", "products"))
-    p_cls = S.products_classified(bp)
-    _append_quarantine(spark, lake, S.products_quarantine(p_cls, qdate))
+    # products: validate → latest → upsert
+    p_cls = S.products_classified(spark.read.parquet(lake.path("bronze", "products")))
     incoming = S.products_valid(p_cls)
-    current_products = publish.read_current(spark, lake.path("silver", "products"))
-    merged_products = incoming if current_products is None else upsert(current_products, incoming, "product_id")
-    p_path = publish.publish_snapshot(merged_products, lake.path("silver", "products"), batch_id)
-
-    # orders: latest → financials → reference flags → classify (one staged table, read twice)
-    customers = read_current_versions(spark, c_path)
+    p_view = lake.view("silver", "products")
+    known = publish.read_view(spark, p_view)
+    p_path = publish.write_fresh(incoming if known is None else upsert(known, incoming, "product_id"), lake.path("silver", "products"))
     products = spark.read.parquet(p_path)
+
+    # orders: latest → financials → reference flags → classify
     bo = spark.read.parquet(lake.path("bronze", "orders"))
     if since is not None:
         bo = bo.filter(F.col("_ingestion_date") >= F.lit(since))
     # Orders: window + joins, read three times (quarantine, sales, rate) → staged once;
     # the quarantine rate is counted from it.
-    o_cls = stage(spark, S.orders_classified(S.orders_checked(bo, customers, products)), "orders-classified")
-    o_bad = _append_quarantine(spark, lake, S.orders_quarantine(o_cls, qdate))
+    o_cls = stage(spark, S.orders_classified(S.orders_checked(bo, customers.after, products)), "orders-classified")
     counted = o_cls.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col(R.REASON).isNotNull()).alias("quarantined")).first()
     rows, bad = counted.rows, counted.quarantined
     rate = {"rows": rows, "quarantined": bad, "rate": bad / rows if rows else None,
             "ceiling": checks.max_order_quarantine_rate}
     s_path = lake.path("silver", "sales")
-    upsert_partitions(spark, s_path, S.sales_rows(o_cls), "order_id", "sales")
-    sales = without_layout(spark.read.parquet(s_path))
-    current = read_current_versions(spark, c_path)
+    sales = upsert_change(spark, s_path, S.sales_rows(o_cls), "order_id", "sales")
     sales_checks = [Q.not_null("order_id")]
     sales_checks += [Q.unique("order_id")] if checks.require_unique_order_id else []
     sales_checks += [Q.positive("quantity")] if checks.require_positive_quantity else []
     sales_checks += [Q.non_negative("unit_price")] if checks.require_non_negative_price else []
     results = Q.suite(
         [
-            (sales, sales_checks),
-            (current, [Q.not_null("customer_id"), Q.unique("customer_id")]),
+            (sales.after, sales_checks),
+            (customers.after, [Q.not_null("customer_id"), Q.unique("customer_id")]),
             (products, [Q.unique("product_id")]),
         ]
     )
@@ -281,14 +301,25 @@ def run_silver(
         evidence["passed"] = evidence["passed"] and within
     if enforce:
         Q.gate(spark, evidence, lake.path("quality", f"silver-{batch_id}.json"))
-    return {"evidence": evidence, "quarantined_customers": c_bad, "quarantined_orders": o_bad,
-            "customers": c_path, "customers_changed": changed, "products": p_path, "sales": s_path}
+    quarantined = stage(
+        spark,
+        S.customers_quarantine(c_cls, qdate).unionByName(S.products_quarantine(p_cls, qdate)).unionByName(S.orders_quarantine(o_cls, qdate)),
+        "quarantine",
+    )
+    _append_quarantine(spark, lake, quarantined)
+    customers.publish()
+    publish.switch(spark, p_view, p_path)
+    sales.publish()
+    per_entity = {r["_entity"]: r["count"] for r in quarantined.groupBy("_entity").count().collect()}  # three rows
+    return {"evidence": evidence, "quarantined_customers": per_entity.get("customer", 0), "quarantined_products": per_entity.get("product", 0),
+            "quarantined_orders": per_entity.get("order", 0), "customers": c_path, "customers_changed": customers.changed,
+            "products": p_path, "sales": s_path}
 
 
 # ----------------------------------------------------------------------------- gold
 def build_gold(spark: SparkSession, lake: Lakehouse, as_of: _dt.datetime) -> dict[str, DataFrame]:
     customers = read_current_versions(spark, lake.path("silver", "customers"))
-    products = publish.read_current(spark, lake.path("silver", "products"))
+    products = publish.read_view(spark, lake.view("silver", "products"))
     sales = without_layout(spark.read.parquet(lake.path("silver", "sales")))
     dim_c = G.dim_customer(customers)
     dim_p = G.dim_product(products)
@@ -304,8 +335,15 @@ def build_gold(spark: SparkSession, lake: Lakehouse, as_of: _dt.datetime) -> dic
 
 
 def run_gold(spark: SparkSession, lake: Lakehouse, as_of: _dt.datetime, enforce: bool = True) -> dict:
-    """Audit the computed Gold frames, then publish all six (gates before writes)."""
-    tables = build_gold(spark, lake, as_of)
+    """Write all six Gold tables to fresh folders, audit what was written, then switch their views to it.
+
+    A run that fails in a write or a gate changes no table that is read.
+    """
+    written, tables = {}, {}
+    for name, df in build_gold(spark, lake, as_of).items():
+        laid_out, parts = with_layout(df, name)
+        written[name] = publish.write_fresh(laid_out, lake.path("gold", name), parts)
+        tables[name] = spark.read.parquet(written[name])
     results = Q.suite(
         [
             (tables["fact_sales"], [Q.not_null("sales_key"), Q.unique("order_id"), Q.non_negative("net_amount")]),
@@ -316,18 +354,20 @@ def run_gold(spark: SparkSession, lake: Lakehouse, as_of: _dt.datetime, enforce:
     evidence = Q.report(results, "gold", as_of)
     if enforce:
         Q.gate(spark, evidence, lake.path("quality", f"gold-{as_of:%Y%m%dT%H%M%SZ}.json"))
-    counts = {}
-    for name, df in tables.items():
-        laid_out, parts = with_layout(df, name)
-        counts[name] = _write_observed(laid_out, f"gold_{name}", lake.path("gold", name), parts, mode="overwrite")
+    counts = {name: df.count() for name, df in tables.items()}  # from the footers of the written files
+    for name, path in written.items():
+        publish.switch(spark, lake.view("gold", name), path)
     return {"evidence": evidence, "rows": counts}
 
 
+def read_gold(spark: SparkSession, lake: Lakehouse, table: str) -> DataFrame | None:
+    """A published Gold table, or None before its first run."""
+    return without_layout(publish.read_view(spark, lake.view("gold", table)))
+
+
 def ask(spark: SparkSession, lake: Lakehouse, question: str) -> DataFrame:
     """Answer a business question from the published Gold tables."""
-    questions.register(
-        spark, {name: without_layout(spark.read.parquet(lake.path("gold", name))) for name in questions.VIEWS}
-    )
+    questions.register(spark, {name: read_gold(spark, lake, name) for name in questions.VIEWS})
     return questions.ask(spark, question)
 
 

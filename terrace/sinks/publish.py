@@ -2,12 +2,12 @@
 
 * Bronze and quarantine are **append-only**: only rows that an insert-only merge
   found new are appended; existing files are never rewritten.
-* Silver products are **snapshots**: the merged result of a run is written to a
-  fresh folder (one per attempt, so never one that the plan reads) and becomes
-  current with the creation of one small file in ``_published``, numbered in the
-  order of publishing. A repeated batch id is simply a newer snapshot.
-* Gold tables are full rebuilds, audited before they are written (gates run on
-  the computed frames), then overwritten — Gold never reads itself.
+* Silver products and the Gold tables are **replaced whole**: a run writes each of
+  them to a fresh folder, audits what it has written, and only then points the
+  table's view in Spark's catalog to the new folder. A reader sees the old table or
+  the new one; a run that dies before leaves nothing but a folder that no view names.
+  Views outlive the application where the cluster's catalog does (a metastore); old
+  folders are kept for readers that still hold them.
 """
 
 from __future__ import annotations
@@ -17,9 +17,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-SNAPSHOT_PREFIX = "snapshot="
-PUBLISHED = "_published"
-
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm  # noqa: SLF001 - Hadoop FileSystem is the portable listing API
@@ -45,7 +42,7 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh (Gold). The frame must not read ``path`` itself."""
+    """First load of a table that is changed by partitions later. The frame must not read ``path`` itself."""
     _writer(df, "overwrite", partition_by).parquet(path)
 
 
@@ -67,34 +64,21 @@ def delete_partitions(spark: SparkSession, path: str, column: str, values: Seque
             fs.delete(p, True)
 
 
-def publish_snapshot(df: DataFrame, table_root: str, batch_id: str, partition_by: Sequence[str] = ()) -> str:
-    """Write a new snapshot of a Silver table and make it current; returns its path."""
-    spark, root = df.sparkSession, table_root.rstrip("/")
-    name = f"{SNAPSHOT_PREFIX}{batch_id}-{uuid.uuid4().hex}"
-    _writer(df, "errorifexists", partition_by).parquet(f"{root}/{name}")
-    number = 1 + max((n for n, _ in _published(spark, root)), default=0)
-    fs, entry = _fs(spark, f"{root}/{PUBLISHED}/{number:012d}.{name}")
-    fs.create(entry, False).close()  # fails if another run has published this number meanwhile
-    return f"{root}/{name}"
-
-
-def _published(spark: SparkSession, table_root: str) -> list[tuple[int, str]]:
-    fs, log = _fs(spark, f"{table_root.rstrip('/')}/{PUBLISHED}")
-    if not fs.exists(log):
-        return []
-    entries = (status.getPath().getName().split(".", 1) for status in fs.listStatus(log))
-    return [(int(number), name) for number, name in entries if number.isdigit()]
+def write_fresh(df: DataFrame, table_root: str, partition_by: Sequence[str] = ()) -> str:
+    """Write ``df`` to a new folder under ``table_root``, which nobody reads yet; returns its path."""
+    path = f"{table_root.rstrip('/')}/{uuid.uuid4().hex}"
+    _writer(df, "errorifexists", partition_by).parquet(path)
+    return path
 
 
-def current_snapshot(spark: SparkSession, table_root: str) -> str | None:
-    """The snapshot published last, or None on first load; batch ids need not sort. Only names are listed."""
-    published = _published(spark, table_root)
-    return f"{table_root.rstrip('/')}/{max(published)[1]}" if published else None
+def switch(spark: SparkSession, view: str, path: str) -> None:
+    """Make the folder ``path`` the current content of ``view``: one change of the session's catalog."""
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS SELECT * FROM parquet.`{path}`")
 
 
-def read_current(spark: SparkSession, table_root: str) -> DataFrame | None:
-    path = current_snapshot(spark, table_root)
-    return spark.read.parquet(path) if path else None
+def read_view(spark: SparkSession, view: str) -> DataFrame | None:
+    """The current content of ``view``, or None before its first :func:`switch`."""
+    return spark.table(view) if spark.catalog.tableExists(view) else None
 
 
 def exists(spark: SparkSession, path: str) -> bool:

@@ -63,8 +63,8 @@ def test_conservation_valid_plus_quarantined_equals_latest(spark):
 
 def test_daily_net_sums_to_fact_net(spark, lake):
     lk = lake["lake"]
-    fact = spark.read.parquet(lk.path("gold", "fact_sales")).agg(F.sum("net_amount")).first()[0]
-    daily = spark.read.parquet(lk.path("gold", "daily_sales")).agg(F.sum("net_revenue")).first()[0]
+    fact = L.read_gold(spark, lk, "fact_sales").agg(F.sum("net_amount")).first()[0]
+    daily = L.read_gold(spark, lk, "daily_sales").agg(F.sum("net_revenue")).first()[0]
     assert fact == daily
 
 
@@ -159,7 +159,6 @@ def test_gold_gate_failure_publishes_nothing(spark):
     from decimal import Decimal
 
     from terrace.operators.quality import QualityGateError
-    from terrace.sinks import publish
 
     lake = L.Lakehouse(fresh_path(spark, "test-lake-gate"))
     L.run_bronze(spark, lake, {"customers": X.bronze_customers(spark, SF_SMALL, 1),
@@ -173,19 +172,87 @@ def test_gold_gate_failure_publishes_nothing(spark):
     L.upsert_partitions(spark, sales_path, L.stage(spark, bad, "bad-sale"), "order_id", "sales")
     with pytest.raises(QualityGateError, match="net_amount_non_negative"):
         L.run_gold(spark, lake, X.DAY1)
-    assert not publish.exists(spark, lake.path("gold", "fact_sales"))
-    assert not publish.exists(spark, lake.path("gold", "daily_sales"))
+    assert L.read_gold(spark, lake, "fact_sales") is None and L.read_gold(spark, lake, "daily_sales") is None
 
 
-def test_same_batch_id_twice_publishes_a_new_snapshot(spark, tmp_path):
-    root = str(tmp_path / "products")
+def test_a_view_is_switched_to_what_a_run_has_written(spark, tmp_path):
+    root, view = str(tmp_path / "products"), L.Lakehouse(str(tmp_path)).view("silver", "products")
     first = spark.createDataFrame([(1, "a"), (2, "b")], "product_id int, name string")
-    publish.publish_snapshot(first, root, "b2")
-    again = publish.read_current(spark, root).filter("product_id = 1").union(spark.createDataFrame([(3, "c")], first.schema))
-    publish.publish_snapshot(again, root, "b2")
-    assert sorted(map(tuple, publish.read_current(spark, root).collect())) == [(1, "a"), (3, "c")]
-    publish.publish_snapshot(first, root, "b10")  # the last published counts, not the largest name
-    assert publish.read_current(spark, root).count() == 2
+    assert publish.read_view(spark, view) is None
+    publish.switch(spark, view, publish.write_fresh(first, root))
+    held = publish.read_view(spark, view)
+    again = publish.write_fresh(publish.read_view(spark, view).filter("product_id = 1").union(spark.createDataFrame([(3, "c")], first.schema)), root)
+    assert publish.read_view(spark, view).count() == 2  # written, not yet published
+    publish.switch(spark, view, again)
+    assert sorted(map(tuple, publish.read_view(spark, view).collect())) == [(1, "a"), (3, "c")]
+    assert sorted(map(tuple, held.collect())) == [(1, "a"), (2, "b")]  # a reader of the old table keeps it
+
+
+def _small_lake(spark, name):
+    lake = L.Lakehouse(fresh_path(spark, name))
+    L.run_bronze(spark, lake, {"customers": X.bronze_customers(spark, SF_SMALL, 1), "products": X.bronze_products(spark, SF_SMALL, 1),
+                               "orders": X.bronze_orders(spark, SF_SMALL)})
+    return lake
+
+
+def _silver_state(spark, lake):
+    tables = {t: spark.read.parquet(lake.path("silver", t)) for t in ("customers", "sales", "quarantine")}
+    tables["products"] = publish.read_view(spark, lake.view("silver", "products"))
+    return {t: (df.count(), df.agg(F.bit_xor(F.xxhash64(*sorted(df.columns)))).first()[0]) for t, df in tables.items()}
+
+
+def test_a_silver_gate_that_fails_leaves_every_table_and_each_switch_decides_its_check(spark):
+    from decimal import Decimal
+
+    from terrace.operators.quality import QualityGateError
+
+    lake = _small_lake(spark, "test-lake-silver-gate")
+    L.run_silver(spark, lake, "b1", X.DAY1)
+    path = lake.path("silver", "sales")
+    sale = L.without_layout(spark.read.parquet(path)).limit(1).withColumn("order_date", F.lit(dt.date(2030, 1, 1)))
+    # rows that no delivery touches: a twice published order, a quantity of zero, a negative price
+    rows = sale.withColumn("order_id", F.lit("X-1")).union(sale.withColumn("order_id", F.lit("X-1")))
+    rows = rows.union(sale.withColumns({"order_id": F.lit("X-2"), "quantity": F.lit(0)}))
+    rows = rows.union(sale.withColumns({"order_id": F.lit("X-3"), "unit_price": F.lit(Decimal("-1")).cast(sale.schema["unit_price"].dataType)}))
+    laid, parts = L.with_layout(L.stage(spark, rows, "bad-sales"), "sales")
+    publish.append(laid, path, parts)
+    L.run_bronze(spark, lake, {"customers": X.bronze_customers(spark, SF_SMALL, 2), "products": X.bronze_products(spark, SF_SMALL, 2)})
+    before = _silver_state(spark, lake)
+    switches = {"require_unique_order_id": "order_id_unique", "require_positive_quantity": "quantity_positive", "require_non_negative_price": "unit_price_non_negative"}
+    for only, check in switches.items():
+        checks = L.SilverChecks(**{s: s == only for s in switches})
+        with pytest.raises(QualityGateError, match=f": {check}$"):
+            L.run_silver(spark, lake, "b2", X.DAY2, checks=checks)
+    with pytest.raises(QualityGateError, match=": order_quarantine_rate$"):
+        L.run_silver(spark, lake, "b2", X.DAY2, checks=L.SilverChecks(False, False, False, max_order_quarantine_rate=0.0001))
+    assert _silver_state(spark, lake) == before
+    L.run_silver(spark, lake, "b2", X.DAY2, checks=L.SilverChecks(False, False, False))
+    assert _silver_state(spark, lake) != before
+
+
+def test_a_crash_between_two_gold_writes_changes_no_table(spark, monkeypatch):
+    lake = _small_lake(spark, "test-lake-gold-crash")
+    L.run_silver(spark, lake, "b1", X.DAY1)
+    L.run_gold(spark, lake, X.DAY1)
+    names = ("dim_customer", "dim_product", "fact_sales", "daily_sales", "customer_360", "product_performance")
+    state = lambda: {t: L.read_gold(spark, lake, t).agg(F.count("*"), F.bit_xor(F.xxhash64("*"))).first() for t in names}
+    before, write, calls = state(), publish.write_fresh, []
+    L.run_bronze(spark, lake, {"customers": X.bronze_customers(spark, SF_SMALL, 2), "products": X.bronze_products(spark, SF_SMALL, 2)})
+    L.run_silver(spark, lake, "b2", X.DAY2)
+
+    def dying(*args):
+        calls.append(args)
+        if len(calls) == 4:
+            raise RuntimeError("crash")
+        return write(*args)
+
+    with monkeypatch.context() as m:
+        m.setattr(publish, "write_fresh", dying)
+        with pytest.raises(RuntimeError, match="crash"):
+            L.run_gold(spark, lake, X.DAY2)
+    assert state() == before
+    L.run_gold(spark, lake, X.DAY2)
+    assert state() != before
 
 
 def test_sales_upsert_keeps_rows_without_a_date(spark, tmp_path):
