@@ -42,17 +42,28 @@ def parse_date(df: DataFrame, column: str) -> Column:
     return F.try_to_date(F.col(column).cast(StringType()))
 
 
+def utc(instant: Column) -> Column:
+    """TIMESTAMP → TIMESTAMP_NTZ holding its UTC wall clock, whatever the session's zone (and its hours that come twice)."""
+    seconds = F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")
+    return ntz_literal("1970-01-01 00:00:00") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
+
+
 def parse_timestamp(df: DataFrame, column: str) -> Column:
-    """Text → TIMESTAMP_NTZ holding the session-zone (UTC) wall clock.
+    """Text → TIMESTAMP_NTZ holding the UTC wall clock, whatever the session's zone.
 
-    NULL when unparseable. Typed input is converted, never re-parsed.
+    A text that names its offset or zone is that instant; one that names none is read as UTC. NULL when
+    unparseable. Typed input is converted, never re-parsed.
     """
     dtype = df.schema[column].dataType
     if isinstance(dtype, TimestampNTZType):
         return F.col(column)
-    if isinstance(dtype, (TimestampType, DateType)):
+    if isinstance(dtype, TimestampType):
+        return utc(F.col(column))
+    if isinstance(dtype, DateType):
         return F.col(column).cast(TimestampNTZType())
-    return F.try_to_timestamp(F.col(column).cast(StringType())).cast(TimestampNTZType())
+    text = F.col(column).cast(StringType())
+    # behind the hour only an offset or a zone has a sign or a letter
+    return F.when(text.rlike(":.*[A-Za-z+-]"), utc(F.try_to_timestamp(text))).otherwise(text.try_cast(TimestampNTZType()))
 
 
 # Digits behind the point up to which numbers are compared before they get their type.

@@ -7,10 +7,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
 
 from terrace.functions.identity import record_hash, record_id
-from terrace.functions.normalize import ntz_literal
+from terrace.functions.normalize import ntz_literal, utc
 from terrace.sources.contracts import CORRUPT
 
 LINEAGE_COLUMNS = [
@@ -49,7 +48,7 @@ def with_lineage(
     * ``_bronze_record_id`` — SHA-256 of ``source file || record hash``: a replay
       of the same file content gets the same identity;
     * ``_ingested_at`` / ``_ingestion_date`` — a passed-in instant (default: the
-      query's ``current_timestamp``) so a run is reproducible.
+      query's ``current_timestamp``, in UTC) so a run is reproducible.
 
     ``source_file`` defaults to the scan's ``_metadata.file_path`` (or an existing
     ``_source_file`` column). Columns beginning with ``_`` and ``batch_date`` are not
@@ -64,7 +63,7 @@ def with_lineage(
     else:
         file_col = _as_column(source_file)
     if ingested_at is None:
-        ingested = F.current_timestamp().cast(TimestampNTZType())
+        ingested = utc(F.current_timestamp())
     else:
         ingested = ntz_literal(ingested_at)
     base = df.drop(*[c for c in LINEAGE_COLUMNS if c in df.columns and c != "_source_file"])

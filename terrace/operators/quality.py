@@ -3,7 +3,8 @@
 Row-predicate checks (not-null, non-negative, positive, custom) on one frame are
 one aggregation with a ``count_if`` per check — one scan, partial aggregation on
 every task, a single-row result. A uniqueness check needs a group-by on its key
-(one shuffle, pre-aggregated map-side, so a hot key costs one row per task).
+(one shuffle, pre-aggregated map-side, so a hot key costs one row per task); the
+row checks ride along on the first of these, so both kinds need one scan together.
 
 Results are a small DataFrame ``(name, passed, actual, expectation)`` — one row
 per check — collected only by the gate.
@@ -64,33 +65,26 @@ def _result(name: Column | str, actual: Column, expectation: str) -> list[Column
 
 
 def run_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Evaluate checks on one frame; one row per check with ``_order`` = list position."""
-    parts: list[DataFrame] = []
-    row_checks = [(i, c) for i, c in enumerate(checks) if c.kind == "rows"]
-    if row_checks:
-        # One aggregation for all row checks, then one row per check.
-        agg = df.agg(*[F.count_if(c.failing).alias(f"_c{i}") for i, c in row_checks])
-        parts.append(
-            agg.select(
-                F.inline(
-                    F.array(
-                        *[
-                            F.struct(*_result(c.name, F.col(f"_c{i}"), c.expectation), F.lit(i).alias("_order"))
-                            for i, c in row_checks
-                        ]
-                    )
-                )
-            )
-        )
-    for i, c in enumerate(checks):
-        if c.kind != "unique":
-            continue
-        dups = (
-            df.groupBy(c.column)
-            .agg(F.count(F.lit(1)).alias("_n"))
-            .agg(F.count_if(F.col("_n") > 1).alias("_dups"))
-        )
-        parts.append(dups.select(*_result(c.name, F.col("_dups"), c.expectation), F.lit(i).alias("_order")))
+    """Evaluate checks on one frame; one row per check with ``_order`` = list position.
+
+    The frame is read once for all row checks and the first uniqueness check, whose groups carry the
+    failing rows of the others; each further uniqueness check is a group-by of its own.
+    """
+    rows = [(i, c) for i, c in enumerate(checks) if c.kind == "rows"]
+    unique = [(i, c) for i, c in enumerate(checks) if c.kind == "unique"]
+    failing = [F.count_if(c.failing).alias(f"_c{i}") for i, c in rows]
+    passes: list[tuple[DataFrame, list[tuple[int, Check]]]] = []
+    for n, (i, c) in enumerate(unique):
+        groups = df.groupBy(F.col(c.column).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *(failing if n == 0 else []))
+        with_rows = rows if n == 0 else []
+        sums = [F.coalesce(F.sum(f"_c{r}"), F.lit(0)).alias(f"_c{r}") for r, _ in with_rows]
+        passes.append((groups.agg(F.count_if(F.col("_n") > 1).alias(f"_c{i}"), *sums), [(i, c), *with_rows]))
+    if rows and not unique:
+        passes.append((df.agg(*failing), rows))
+    parts = [
+        agg.select(F.inline(F.array(*[F.struct(*_result(c.name, F.col(f"_c{i}"), c.expectation), F.lit(i).alias("_order")) for i, c in of])))
+        for agg, of in passes
+    ]
     if not parts:
         return df.sparkSession.createDataFrame([], RESULT_SCHEMA + ", _order int")
     out = parts[0]

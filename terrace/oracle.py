@@ -512,6 +512,46 @@ ORACLE: dict[str, str] = {
             ]
         ),
     ),
+    "quality_raw": _q(
+        FIXTURES + FIXTURES2 + customers_ctes("12", "(SELECT * FROM bcust1 UNION ALL SELECT * FROM bcust2)")[:1]
+        + [landed("ptyped", "bprod1", PRODUCT_SRC, PRODUCT_TYPES), landed("otyped", "bord", ORDER_SRC, ORDER_TYPES)],
+        _checks(
+            [
+                ("order_id_unique", _dups("otyped", "order_id"), "0 duplicate keys"),
+                ("quantity_not_null", "SELECT COUNT(*) FROM otyped WHERE quantity IS NULL", "0 null rows"),
+                ("quantity_positive", "SELECT COUNT(*) FROM otyped WHERE quantity <= 0", "0 zero/negative rows"),
+                ("unit_price_non_negative", "SELECT COUNT(*) FROM otyped WHERE unit_price < 0", "0 negative rows"),
+                ("orders_readable", "SELECT COUNT(*) FROM otyped WHERE _unreadable IS NOT NULL", "0 failing rows"),
+                ("customer_id_unique", _dups("cn12", "customer_id"), "0 duplicate keys"),
+                ("email_not_null", "SELECT COUNT(*) FROM cn12 WHERE email IS NULL", "0 null rows"),
+                ("email_plausible", f"SELECT COUNT(*) FROM cn12 WHERE NOT regexp_matches(email, '{EMAIL}')", "0 failing rows"),
+                ("product_id_not_null", "SELECT COUNT(*) FROM ptyped WHERE product_id IS NULL", "0 null rows"),
+                ("product_id_unique", _dups("ptyped", "product_id"), "0 duplicate keys"),
+                ("unit_cost_non_negative", "SELECT COUNT(*) FROM ptyped WHERE unit_cost < 0", "0 negative rows"),
+                ("unit_cost_not_null", "SELECT COUNT(*) FROM ptyped WHERE unit_cost IS NULL", "0 null rows"),
+            ]
+        ),
+    ),
+    "quarantine_idempotent": _q(
+        BASE + orders_ctes("r1", "bord1") + [quarantine_cte("qr1", "oclr1", "order", ORDER_PAYLOAD)] + QUARANTINE[2:3],
+        """SELECT * FROM qr1 UNION ALL
+           SELECT * REPLACE (DATE '1999-01-02' AS _quarantine_date) FROM qord
+           WHERE _quarantine_id NOT IN (SELECT _quarantine_id FROM qr1)""",
+    ),
+    "bronze_from_landing": _q(
+        [CRM, CRM2, PR, PR2, ORD],
+        "SELECT entity, batch_date, _source_system, COUNT(*) AS rows, COUNT(DISTINCT record) AS records, 1::BIGINT AS batches FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{e}' AS entity, {day} AS batch_date, '{system}' AS _source_system, {json_text([(c, 'str') for c, _ in cols])} AS record FROM {src}"
+            for e, system, src, cols, day in (
+                ("customers", "crm_csv", "crm", CUSTOMER_SRC, D1), ("customers", "crm_csv", "crm2", CUSTOMER_SRC, "DATE '1999-01-02'"),
+                ("products", "product_json", "pr", PRODUCT_SRC, D1), ("products", "product_json", "pr2", PRODUCT_SRC, "DATE '1999-01-02'"),
+                ("orders", "commerce_csv", "(SELECT * REPLACE (CAST(ordered_at AS VARCHAR) AS ordered_at) FROM ord)", ORDER_SRC,
+                 "CAST(date_trunc('month', _delivered_at) AS DATE)"),
+            )
+        )
+        + ") GROUP BY entity, batch_date, _source_system",
+    ),
     "quality_gold": _q(
         ALL,
         _checks(

@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as _dt
+import re
+from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,19 +32,28 @@ def stamped_delivery(
     return with_lineage(raw, SOURCE_SYSTEMS[entity], batch_id, ingested_at=as_of)
 
 
-def new_records(target: DataFrame, delivery: DataFrame) -> DataFrame:
+def delivery_dates(spark: SparkSession, landing_root: str, entity: str, since: str | _dt.date | None = None) -> list[str]:
+    """The ``batch_date`` values of an entity's landing folders, from the file listing alone: no job, no row is read."""
+    files = landing.scan(spark, landing_root, entity, with_source_file=False).inputFiles()
+    dates = {unquote(m[1]) for f in files if (m := re.search(rf"/{PARTITION_COLUMN}=([^/]+)/", f))}
+    return sorted(d for d in dates if since is None or d >= str(since))
+
+
+def new_records(target: DataFrame, delivery: DataFrame, dates: Sequence[str] | None = None) -> DataFrame:
     """Delivery rows whose record identity is not in Bronze yet.
 
     Bronze is partitioned by the delivery ``batch_date``, which the record id
     (built from the file path) determines. The target is therefore restricted to
-    the delivery dates present in this run — a few partition values, read from
-    the landing partition listing — so the merge reads only those Bronze
-    partitions instead of every record id ever ingested (Spark's dynamic
-    partition pruning does not prune the build side of an anti join).
+    the delivery dates present in this run — a few partition values, ``dates`` from
+    the landing listing (:func:`delivery_dates`) or else a distinct over the delivery —
+    so the merge reads only those Bronze partitions instead of every record id ever
+    ingested (Spark's dynamic partition pruning does not prune the build side of an
+    anti join).
     """
     if PARTITION_COLUMN in delivery.columns and PARTITION_COLUMN in target.columns:
-        dates = [r[0] for r in delivery.select(PARTITION_COLUMN).distinct().collect()]
-        pruned = target.filter(F.col(PARTITION_COLUMN).isin(dates))
+        if dates is None:
+            dates = [r[0] for r in delivery.select(PARTITION_COLUMN).distinct().collect()]
+        pruned = target.filter(F.col(PARTITION_COLUMN).isin([F.lit(d).cast("date") for d in dates]))
         return insert_only(pruned, delivery, "_bronze_record_id", scope=[PARTITION_COLUMN])
     return insert_only(target, delivery, "_bronze_record_id")
 

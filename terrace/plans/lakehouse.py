@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from terrace.operators import quality as Q
 from terrace.operators import rules as R
+from terrace.operators.lineage import default_batch_id
 from terrace.operators.merge import insert_only, upsert
 from terrace.operators.scd2 import apply_scd2, first_load
 from terrace.plans import bronze as B
@@ -26,6 +27,7 @@ from terrace.plans import questions
 from terrace.plans import silver as S
 from terrace.session import fresh_path
 from terrace.sinks import publish
+from terrace.sources.contracts import PARTITION_COLUMN
 
 # Physical layout: partition columns per table. Date-keyed tables are partitioned
 # by month: daily partitions over a multi-year history give thousands of
@@ -93,19 +95,19 @@ class Change:
     changed: bool = True
 
 
-def _observed_rows(obs: Observation) -> int:
-    """Rows counted by an observation; 0 when AQE replaced the observed plan by an
-    empty relation (the metrics node then never runs and reports no row)."""
+def _observed_rows(obs: Observation, otherwise: Callable[[], int]) -> int:
+    """Rows counted by an observation; ``otherwise()`` where AQE has replaced the observed plan by an empty relation, so
+    that the counting node never ran."""
     try:
         return int(obs.get["rows"])
     except Exception:  # noqa: BLE001 - py4j raises a generic error for a missing metrics row
-        return 0
+        return otherwise()
 
 
 def _append_observed(df: DataFrame, name: str, path: str, partition_by: Sequence[str] = ()) -> int:
     obs = Observation(name)
     publish.append(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
-    return _observed_rows(obs)
+    return _observed_rows(obs, lambda: 0)  # what is written is observed at its very top: no node, no row
 
 
 def stage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -121,23 +123,47 @@ def run_bronze(
     lake: Lakehouse,
     deliveries: Mapping[str, DataFrame],
     partition_by: Mapping[str, Sequence[str]] | None = None,
+    dates: Mapping[str, Sequence[str]] | None = None,
 ) -> list[dict]:
-    """Insert-only merge of stamped deliveries into Bronze; returns seen/inserted per entity."""
+    """Insert-only merge of stamped deliveries into Bronze; returns seen/inserted per entity.
+
+    Bronze is partitioned by ``batch_date`` where the delivery has it, unless ``partition_by`` says otherwise;
+    ``dates`` are the delivery dates of an entity, where the caller knows them.
+    """
     out = []
     for entity, stamped in deliveries.items():
         path = lake.path("bronze", entity)
-        parts = (partition_by or {}).get(entity, ())
+        parts = (partition_by or {}).get(entity, [PARTITION_COLUMN] if PARTITION_COLUMN in stamped.columns else ())
         seen_obs = Observation(f"seen_{entity}")
         seen = stamped.observe(seen_obs, F.count(F.lit(1)).alias("rows"))
         if publish.exists(spark, path):
-            new = B.new_records(spark.read.parquet(path), seen)
+            new = B.new_records(spark.read.parquet(path), seen, (dates or {}).get(entity))
         else:
             new = seen
         inserted = _append_observed(new, f"inserted_{entity}", path, parts)
-        out.append({"entity": entity, "rows_seen": _observed_rows(seen_obs), "rows_inserted": inserted})
+        out.append({"entity": entity, "rows_seen": _observed_rows(seen_obs, stamped.count), "rows_inserted": inserted})
     return out
 
 
+def ingest_landing(
+    spark: SparkSession,
+    lake: Lakehouse,
+    landing_root: str,
+    batch_id: str | None = None,
+    as_of: _dt.datetime | None = None,
+    since: str | _dt.date | None = None,
+    entities: Sequence[str] = B.ENTITIES,
+) -> list[dict]:
+    """All feeds of a landing zone into Bronze in one call: scan, stamp, insert what is new.
+
+    ``batch_id`` defaults to the clock (:func:`terrace.operators.lineage.default_batch_id`); ``since`` leaves out
+    older deliveries, in the landing zone and in the Bronze partitions that are looked at.
+    """
+    batch_id = batch_id or default_batch_id()
+    stamped = {e: B.stamped_delivery(spark, landing_root, e, batch_id, as_of, since) for e in entities}
+    return run_bronze(spark, lake, stamped, dates={e: B.delivery_dates(spark, landing_root, e, since) for e in entities})
+
+
 # ----------------------------------------------------------------------------- silver
 def upsert_change(spark: SparkSession, path: str, incoming: DataFrame, key: str, table: str) -> Change:
     """Upsert into a partitioned table by rewriting only the partitions it touches.
@@ -367,8 +393,7 @@ def read_gold(spark: SparkSession, lake: Lakehouse, table: str) -> DataFrame | N
 
 def ask(spark: SparkSession, lake: Lakehouse, question: str) -> DataFrame:
     """Answer a business question from the published Gold tables."""
-    questions.register(spark, {name: read_gold(spark, lake, name) for name in questions.VIEWS})
-    return questions.ask(spark, question)
+    return questions.ask(question, lambda table: read_gold(spark, lake, table))
 
 
 def quarantine_summary(spark: SparkSession, lake: Lakehouse) -> DataFrame:

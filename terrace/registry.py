@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from terrace.functions.normalize import UNREADABLE, email_ok, typed
 from terrace.operators import quality as Q
 from terrace.operators import rules as R
 from terrace.operators.dedupe import latest_per_key, set_difference
@@ -23,11 +24,13 @@ from terrace.operators.merge import insert_only_merged, upsert
 from terrace.operators.scd2 import apply_scd2, detect_changes, expire, first_load
 from terrace.plans import bronze as B
 from terrace.plans import gold as G
+from terrace.plans import lakehouse as L
 from terrace.plans import questions
 from terrace.plans import silver as S
 from terrace.session import fresh_path
 from terrace.sources import fixtures as X
 from terrace.sources import landing
+from terrace.sources.contracts import ORDER_CONTRACT, PRODUCT_CONTRACT
 
 AS_OF_DATE = X.DAY1.date()
 
@@ -200,6 +203,31 @@ def q_surrogate_keys(spark, sf):
     ])
 
 
+def q_surrogate_key_rows(spark, sf):
+    """Every natural key of the dimensions and the fact with its surrogate key."""
+    w = World(spark, sf)
+    parts = [(w.dim_customer(), "customer", "customer_id", "customer_key"), (w.dim_product(), "product", "product_id", "product_key"),
+             (w.fact(), "sale", "order_id", "sales_key")]
+    return reduce(DataFrame.unionByName, [df.select(F.lit(kind).alias("kind"), F.col(n).alias("natural_key"), F.col(k).alias("surrogate_key")) for df, kind, n, k in parts])
+
+
+def q_bronze_from_landing(spark, sf):
+    """Two deliveries of every feed written as files, ingested, and ingested again: what Bronze holds per delivery."""
+    root, lake = fresh_path(spark, "landing"), L.Lakehouse(fresh_path(spark, "lake"))
+    day = lambda d: F.lit(d.date()).alias("batch_date")
+    for d, customers, products in ((X.DAY1, X.customers_source, X.products_source), (X.DAY2, X.customers_source_day2, X.products_source_day2)):
+        landing.write_delivery(customers(spark, sf).select("*", day(d)), root, "customers")
+        landing.write_delivery(products(spark, sf).select("*", day(d)), root, "products")
+    orders = X.orders_source(spark, sf).withColumns({"ordered_at": F.col("ordered_at").cast("string"), "batch_date": F.trunc(F.to_date("_delivered_at"), "month")})
+    landing.write_delivery(orders, root, "orders")
+    L.ingest_landing(spark, lake, root)
+    L.ingest_landing(spark, lake, root)  # inserts nothing
+    tables = [spark.read.parquet(lake.path("bronze", e)).withColumn("entity", F.lit(e)) for e in B.ENTITIES]
+    held = reduce(DataFrame.unionByName, [t.select("entity", "batch_date", "_batch_id", "_record_hash", "_source_system") for t in tables])
+    return held.groupBy("entity", "batch_date", "_source_system").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_distinct("_record_hash").alias("records"), F.count_distinct("_batch_id").alias("batches"))
+
+
 # ----------------------------------------------------------------------------- merges
 def q_ingest_summary(spark, sf):
     w = World(spark, sf)
@@ -324,6 +352,16 @@ def q_orders_quarantine(spark, sf):
     return S.orders_quarantine(World(spark, sf).orders_classified(), AS_OF_DATE)
 
 
+def q_quarantine_idempotent(spark, sf):
+    """The quarantine after a run over the first order deliveries and, a day later, one over all of them."""
+    w = World(spark, sf)
+    all_orders = w.bronze_orders()
+    first, _ = X.split_at_cutoff(all_orders)
+    stored = S.orders_quarantine(w.orders_classified(first), AS_OF_DATE)
+    again = S.orders_quarantine(w.orders_classified(all_orders), X.DAY2.date())
+    return insert_only_merged(stored, again, "_quarantine_id")
+
+
 def q_quarantine_counts(spark, sf):
     return R.quarantine_counts(World(spark, sf).quarantine_all())
 
@@ -400,6 +438,21 @@ def q_quality_gold(spark, sf):
     return gold_suite(World(spark, sf)).drop("_order")
 
 
+def q_quality_raw(spark, sf):
+    """The checks over un-cleaned Bronze, typed but not validated: every kind of check finds failing rows."""
+    w = World(spark, sf)
+    customers = S.customers_normalized(w.bronze_customers(1).unionByName(w.bronze_customers(2)))
+    products, orders = typed(w.bronze_products(1), PRODUCT_CONTRACT), typed(w.bronze_orders(), ORDER_CONTRACT)
+    return Q.suite(
+        [
+            (orders, [Q.unique("order_id"), Q.not_null("quantity"), Q.positive("quantity"), Q.non_negative("unit_price"),
+                      Q.row_rule("orders_readable", F.col(UNREADABLE).isNotNull())]),
+            (customers, [Q.unique("customer_id"), Q.not_null("email"), Q.row_rule("email_plausible", ~email_ok("email"))]),
+            (products, [Q.not_null("product_id"), Q.unique("product_id"), Q.non_negative("unit_cost"), Q.not_null("unit_cost")]),
+        ]
+    ).drop("_order")
+
+
 def q_quarantine_rate(spark, sf):
     return Q.quarantine_rate(World(spark, sf).orders_classified())
 
@@ -429,9 +482,7 @@ def _ask(question: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark, sf):
         w = World(spark, sf)
         frames = {"daily_sales": w.daily, "customer_360": w.c360, "product_performance": w.perf}
-        read = [name for name, view in questions.VIEWS.items() if view in questions.QUESTIONS[question]]
-        questions.register(spark, {name: frames[name]() for name in read})
-        return money_as_double(questions.ask(spark, question))
+        return money_as_double(questions.ask(question, lambda table: frames[table]()))
 
     run.__name__ = f"q_bq_{question}"
     return run
@@ -445,6 +496,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "record_hash": q_record_hash,
     "attribute_hash": q_attribute_hash,
     "surrogate_keys": q_surrogate_keys,
+    "surrogate_key_rows": q_surrogate_key_rows,
+    "bronze_from_landing": q_bronze_from_landing,
     "ingest_summary": q_ingest_summary,
     "merge_insert_only": q_merge_insert_only,
     "latest_per_key": q_latest_per_key,
@@ -465,6 +518,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "orders_valid": q_orders_valid,
     "orders_quarantine": q_orders_quarantine,
     "quarantine_counts": q_quarantine_counts,
+    "quarantine_idempotent": q_quarantine_idempotent,
     "order_financials": q_order_financials,
     "dim_customer": q_dim_customer,
     "dim_product": q_dim_product,
@@ -474,6 +528,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "product_performance": q_product_performance,
     "quality_silver": q_quality_silver,
     "quality_gold": q_quality_gold,
+    "quality_raw": q_quality_raw,
     "quarantine_rate": q_quarantine_rate,
     "stage_summary": q_stage_summary,
     "bq_daily_trend": _ask("daily_trend"),

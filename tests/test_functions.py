@@ -56,3 +56,36 @@ def test_unparseable_date_and_time_become_null(spark):
     out = df.select(parse_date(df, "d").alias("d"), parse_timestamp(df, "t").alias("t")).collect()
     assert out[0].d is None and out[0].t is None
     assert out[1].d == dt.date(1995, 1, 2) and out[1].t == dt.datetime(1998, 1, 5, 10, 0)
+
+
+def test_times_are_utc_in_any_session_zone(spark):
+    texts = {"2024-01-02T10:00:00+02:00": (8, 0), "2024-01-02 10:00:00": (10, 0), "2024-01-02T10:00:00Z": (10, 0), "2024-01-02 10:00:00-05:30": (15, 30),
+             "2024-01-02 10:00:00 Europe/Paris": (9, 0), "2024-01-02": (0, 0), "nope": None, "10:99:99+02:00": None}
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for session in ("UTC", "America/New_York", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", session)
+            df = spark.createDataFrame([(t,) for t in texts], "t string")
+            got = {r.t: r.p for r in df.select("t", parse_timestamp(df, "t").alias("p")).collect()}
+            assert got == {t: hm and dt.datetime(2024, 1, 2, *hm) for t, hm in texts.items()}
+            # an hour that comes twice in New York, as text and as a typed instant
+            twice = spark.sql("SELECT '2024-11-03T05:30:00Z' AS t, timestamp_micros(1730611800000000) AS i, '2024-11-03T06:30:00Z' AS u")
+            r = twice.select(*[parse_timestamp(twice, c).alias(c) for c in "tiu"]).first()
+            assert r.t == r.i == dt.datetime(2024, 11, 3, 5, 30) and r.u == dt.datetime(2024, 11, 3, 6, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_exact_parsing_loses_nothing(spark):
+    from pyspark.sql.types import BooleanType, IntegerType
+
+    from terrace.functions.money import PRICE
+    from terrace.functions.normalize import exact
+
+    rows = ["1", " 2.50 ", "10.5001", "10.50001", "1e2", "-3", "two", "", None, "1e-9", "0.0000000000000000001", "123456789012345", "2.0", "TRUE", "1.0000000000000000000000"]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    got = [tuple(r) for r in df.select(*[exact(F.col("t"), t) for t in (PRICE, IntegerType(), BooleanType())]).collect()]
+    money_ = [Decimal(x) if x else None for x in ("1", "2.5", "10.5001", None, "100", "-3", None, None, None, None, None, None, "2", None, "1")]
+    assert [g[0] for g in got] == money_
+    assert [g[1] for g in got] == [1, None, None, None, 100, -3, None, None, None, None, None, None, 2, None, 1]
+    assert [g[2] for g in got] == [None] * 13 + [True, None]

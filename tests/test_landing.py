@@ -132,3 +132,32 @@ def test_quarantined_customer_and_product_keep_their_source_values(spark, tmp_pa
     raw = {json.loads(r._payload).get("product_id"): (r._quarantine_reason, json.loads(json.loads(r._payload)["_raw"])) for r in S.products_quarantine(products, day).collect()}
     assert {k: v[0] for k, v in raw.items()} == {"P1": "UNREADABLE_VALUE", None: "CORRUPT_RECORD", "P3": "INVALID_PRODUCT", "P4": "UNREADABLE_VALUE"}
     assert raw["P1"][1]["unit_cost"] == "1.00001" and raw[None][1] == {"_corrupt_record": '{"product_id":"P2","unit_cost":1'} and raw["P4"][1]["active"] == "perhaps"
+
+
+def test_all_feeds_of_a_landing_zone_go_to_bronze_in_one_call(spark, tmp_path):
+    from terrace.plans import bronze as B
+    from terrace.plans import lakehouse as L
+
+    root = tmp_path / "landing"
+    for day in ("2024-01-01", "2024-01-02"):
+        _write(root / f"orders/batch_date={day}/a.csv", HEADER + f"O{day},C1,P1,{day} 10:00:00,1,2.00,0.0,WEB,COMPLETED,USD\n")
+        _write(root / f"products/batch_date={day}/a.json", '{"product_id":"P1","unit_cost":1.5,"list_price":2,"active":true}\n{broken\n')
+        _write(root / f"customers/batch_date={day}/a.csv",
+               "customer_id,full_name,email,city,country,segment,signup_date,updated_at\nc1,Ann,a@b.c,X,Y,Z,2024-01-01,2024-01-01\n")
+    lake = L.Lakehouse(str(tmp_path / "lake"))
+    sc = spark.sparkContext
+    sc.setJobGroup("dates", "dates")
+    assert B.delivery_dates(spark, str(root), "orders") == ["2024-01-01", "2024-01-02"]
+    assert B.delivery_dates(spark, str(root), "orders", "2024-01-02") == ["2024-01-02"]
+    assert list(sc.statusTracker().getJobIdsForGroup("dates")) == []
+    sc.setJobGroup("rest", "rest")
+    out = L.ingest_landing(spark, lake, str(root))
+    assert [(r["entity"], r["rows_seen"], r["rows_inserted"]) for r in out] == [("customers", 2, 2), ("products", 4, 4), ("orders", 2, 2)]
+    again = L.ingest_landing(spark, lake, str(root), since="2024-01-02")
+    assert [(r["rows_seen"], r["rows_inserted"]) for r in again] == [(1, 0), (2, 0), (1, 0)]
+    products = spark.read.parquet(lake.path("bronze", "products"))
+    assert sorted(r._corrupt_record or "" for r in products.collect()) == ["", "", "{broken", "{broken"]
+    assert (tmp_path / "lake/bronze/orders/batch_date=2024-01-01").is_dir()
+    import re
+
+    assert {bool(re.fullmatch(r"\d{8}T\d{6}Z", r._batch_id)) for r in products.collect()} == {True}

@@ -77,3 +77,13 @@ def test_no_job_runs_before_the_rank_is_asked_for_and_the_fact_is_computed_once(
         df.collect()
         final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]  # noqa: SLF001
         assert final.count("lineitem.parquet") <= 1 and "ReusedExchange" in final
+
+
+def test_row_checks_and_a_unique_key_need_one_scan(spark, tmp_path):
+    spark.createDataFrame([("a", 1), ("a", -1), (None, 0), (None, None), ("b", 5)], "k string, v int").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    res = Q.run_checks(df, [Q.not_null("k"), Q.unique("k"), Q.non_negative("v"), Q.positive("v")])
+    assert res._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1  # noqa: SLF001
+    assert [(r.name, r.actual) for r in res.orderBy("_order").collect()] == [("k_not_null", 2), ("k_unique", 2), ("v_non_negative", 1), ("v_positive", 2)]
+    none = Q.run_checks(df.filter("false"), [Q.unique("k"), Q.positive("v")]).collect()
+    assert [(r.name, r.actual, r.passed) for r in none] == [("k_unique", 0, True), ("v_positive", 0, True)]
