@@ -7,7 +7,8 @@ sketch has :data:`TABLES` x :data:`CELLS` cells; each digest is added to one cel
 takes it in by exclusive or. Subtracting the sketches of two versions leaves the digests in only one of them; cells with
 a single one of those show it (its low bits check its high bits), and taking it out of its other cells may show more.
 If this peeling gets stuck, the difference is too large for the sketch, and the pair is sketched again four times as
-large: its digests are dealt by hash to four times as many blocks of the same size, until every block peels.
+large: its digests are dealt by hash to four times as many blocks of the same size, until every block peels. How many
+digests both versions have says which retry comes first.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ LONG_PIECE = 200
 #: Rounds of peeling within one sketch (each takes out all digests that show), and retries, each four times as large.
 ROUNDS = 24
 RETRIES = 10
+#: Digests of both versions together in a block of the first retry, of what its cells can tell apart.
+LOAD = 24
 _CHECK_BITS = 24
 _CHECK = (1 << _CHECK_BITS) - 1
 _CELL = "struct<n:int,x:bigint>"
@@ -35,7 +38,7 @@ def lines(text: Column) -> Column:
 
 def sentences(text: Column) -> Column:
     """The lines, cut further behind a sentence end and the blank after it, and into words where that leaves a long piece."""
-    pieces = F.split(text, r"\n|(?<=[.!?;:。！？][ \t])|(?<=[。！？])")
+    pieces = F.split(F.regexp_replace(text, r"[.!?;:。！？][ \t]|[。！？]", "$0\n"), "\n")
     return F.flatten(F.transform(pieces, lambda p: F.when(F.char_length(p) > LONG_PIECE, F.split(p, r"(?<=[ \t])")).otherwise(F.array(p))))
 
 
@@ -54,25 +57,29 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _spot(x: Column, level: int, table: Column) -> Column:
-    """The cell of a digest within a table; every level deals anew."""
-    return F.shiftrightunsigned(F.xxhash64(x, F.lit(level), table), 20).bitwiseAND(F.lit(CELLS - 1).cast("long"))
+def sketch(found: Column, level: int = 0) -> Column:
+    """The cells, table after table, of an array of digests."""
+    return _cells(F.transform(found, lambda x: F.struct(F.lit(1).alias("n"), x.alias("x"))), level)
 
 
-def _in_cell(x: Column, level: int, cell: Column) -> Column:
-    return _spot(x, level, F.floor(cell / CELLS).cast("int")) == cell % CELLS
+def _cells(found: Column, level: int) -> Column:
+    """The cells of an array of ``(n, x)``: in each table sorted by cell, among one empty entry a cell, and added up in one pass."""
+    empty = F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda c: F.struct(c.alias("c"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("x")))
+    cell = lambda s: F.array(F.struct(s["n"].alias("n"), s["x"].alias("x")))
+    start = F.struct(F.array().cast(f"array<{_CELL}>").alias("done"), F.lit(0).alias("c"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("x"))
 
+    def add(s, e):
+        same = F.struct(s["done"].alias("done"), s["c"].alias("c"), (s["n"] + e["n"]).alias("n"), s["x"].bitwiseXOR(e["x"]).alias("x"))
+        next_ = F.struct(F.concat(s["done"], cell(s)).alias("done"), e["c"].alias("c"), e["n"].alias("n"), e["x"].alias("x"))
+        return F.when(s["c"] == e["c"], same).otherwise(next_)
 
-def sketch(found: Column, level: int = 0) -> Column:
-    """The cells, table after table, of an array of digests."""
-    dealt = F.transform(found, lambda x: F.struct(x.alias("x"), *[_spot(x, level, F.lit(t)).cast("int").alias(f"t{t}") for t in range(TABLES)]))
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).cast("long").alias("x"))
-    add = lambda a, d: F.struct((a["n"] + 1).alias("n"), a["x"].bitwiseXOR(d["x"]).alias("x"))
-    tables = [
-        lambda ds, t=t: F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda c: F.aggregate(F.filter(ds, lambda d: d[f"t{t}"] == c), start, add))
-        for t in range(TABLES)
-    ]
-    return _let(dealt, lambda ds: F.concat(*[table(ds) for table in tables]))
+    def table(dealt, t):  # every table looks at bits of its own
+        of_table = F.transform(dealt, lambda e: F.struct(F.shiftrightunsigned(e["h"], 20 + 8 * t).bitwiseAND(F.lit(CELLS - 1).cast("long")).cast("int").alias("c"), e["n"].alias("n"), e["x"].alias("x")))
+        return F.aggregate(F.sort_array(F.concat(of_table, empty)), start, add, lambda s: F.concat(s["done"], cell(s)))
+
+    # every level deals anew
+    hashed = F.transform(found, lambda e: F.struct(F.xxhash64(e["x"], F.lit(level)).alias("h"), e["n"].alias("n"), e["x"].alias("x")))
+    return _let(hashed, lambda dealt: F.concat(*[table(dealt, t) for t in range(TABLES)]))
 
 
 def subtract(a: Column, b: Column) -> Column:
@@ -82,23 +89,23 @@ def subtract(a: Column, b: Column) -> Column:
 def peel(cells: Column, level: int = 0) -> Column:
     """``struct(cells, only)`` after peeling: ``only`` are the digests found in one version, ``n`` 1 for the first and -1 for the second."""
     single = lambda q: (F.abs(q["n"]) == 1) & (_with_check(F.shiftrightunsigned(q["x"], _CHECK_BITS)) == q["x"])
-    start = F.struct(cells.alias("cells"), F.array().cast(f"array<{_CELL}>").alias("only"))
-    take = lambda q, p: F.struct((q["n"] - p["n"]).alias("n"), q["x"].bitwiseXOR(p["x"]).alias("x"))
+    start = F.struct(cells.alias("cells"), F.array().cast(f"array<{_CELL}>").alias("only"), F.lit(False).alias("still"))
 
     def round_(state, _):
         def out(shown):
-            rest = F.transform(state["cells"], lambda q, i: F.aggregate(F.filter(shown, lambda p: _in_cell(p["x"], level, i)), q, take))
-            return F.when(F.size(shown) == 0, state).otherwise(F.struct(rest.alias("cells"), F.concat(state["only"], shown).alias("only")))
+            rest = F.struct(subtract(state["cells"], _cells(shown, level)).alias("cells"), F.concat(state["only"], shown).alias("only"), F.lit(False).alias("still"))
+            none = F.struct(state["cells"].alias("cells"), state["only"].alias("only"), F.lit(True).alias("still"))
+            return F.when(F.size(shown) == 0, none).otherwise(rest)
 
-        return _let(F.array_distinct(F.filter(state["cells"], single)), out)
+        return F.when(state["still"], state).otherwise(_let(F.array_distinct(F.filter(state["cells"], single)), out))
 
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_)
 
 
 def text_of(cells: Column, count: Column) -> Column:
-    """A fingerprint as text: the number of digests, a colon, and per cell its count and contents in hexadecimal."""
-    cell = lambda q: F.concat(F.lpad(F.hex(q["n"].cast("long")), 4, "0"), F.lpad(F.hex(q["x"]), 16, "0"))
-    return F.lower(F.concat(count.cast("string"), F.lit(":"), F.array_join(F.transform(cells, cell), "")))
+    """A fingerprint as text: the number of digests, a colon, and the counts and the contents of the cells, comma-joined."""
+    numbers = lambda c: F.array_join(F.transform(cells, lambda q: q[c].cast("string")), ",")
+    return F.concat_ws(":", count.cast("string"), numbers("n"), numbers("x"))
 
 
 def likeness(first: Column, second: Column, only: Column) -> Column:
@@ -116,12 +123,16 @@ def differences(pairs: DataFrame) -> DataFrame:
     """``(pair, only)`` for ``pairs(pair, first, second)`` of digest arrays that one sketch could not tell apart.
 
     Every retry deals the digests of a pair to four times as many blocks, so that the blocks of a very long document
-    are spread over tasks and peeled one by one. A pair that is stuck after the last retry is compared digest by digest.
+    are spread over tasks and peeled one by one. The first retry is the one whose blocks hold at most :data:`LOAD` digests
+    on average, so few need another. A pair that is stuck after the last retry is compared digest by digest.
     """
-    left, results = pairs, None
+    fits = F.ceil(F.log(4.0, (F.size("first") + F.size("second") + 1) / F.lit(float(LOAD))))
+    start, results = F.least(F.greatest(fits.cast("int"), F.lit(1)), F.lit(RETRIES)), None
+    stuck = pairs.filter("false")
     for level in range(1, RETRIES + 1):
+        left = stuck.union(pairs.filter(start == level))
         if left.isEmpty():
-            break
+            continue
         block = F.pmod(F.xxhash64("d", F.lit(-level)), F.lit(4**level)).alias("block")
         first = left.select("pair", F.explode("first").alias("d"), F.lit(0).alias("side"))
         second = left.select("pair", F.explode("second").alias("d"), F.lit(1).alias("side"))
@@ -132,8 +143,8 @@ def differences(pairs: DataFrame) -> DataFrame:
         whole = stage(peeled.groupBy("pair").agg(F.every("p.ok").alias("ok"), F.sum("p.only").alias("only")), "iblt-level")
         found = whole.filter("ok").select("pair", "only")
         results = found if results is None else results.union(found)
-        left = stage(left.join(whole.filter("not ok").select("pair"), "pair", "left_semi"), "iblt-left")
-    exact = left.select("pair", (F.size(F.array_except("first", "second")) + F.size(F.array_except("second", "first"))).cast("long").alias("only"))
+        stuck = stage(left.join(whole.filter("not ok").select("pair"), "pair", "left_semi"), "iblt-left")
+    exact = stuck.select("pair", (F.size(F.array_except("first", "second")) + F.size(F.array_except("second", "first"))).cast("long").alias("only"))
     return exact if results is None else results.union(exact)
 
 

@@ -6,6 +6,7 @@ import json
 import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -188,6 +189,26 @@ def test_single_line_texts_are_like_their_edited_text(spark, tmp_path):
     assert len(got) == 20 and [(r.doc_id, r.near_edited, r.near_next) for r in got if r.near_edited < r.near_next + 0.1] == []
 
 
+@pytest.mark.parametrize("parts", [fingerprint.lines, fingerprint.sentences])
+def test_differences_are_those_of_the_digest_sets(spark, docs, odd, parts):
+    """The registered cut too, on the test table and on odd rows: what peeling tells equals a comparison of the sets."""
+    both = docs.limit(150).select("doc_id", "text").unionByName(odd.select("doc_id", "text"))
+    sets = dict(both.select(F.coalesce("text", F.lit("")).alias("t")).distinct().select("t", fingerprint.digests(F.col("t"), parts)).collect())
+    rows = sorted({(i, t) for i, t in texts(both)}, key=lambda r: (r[0] is None, -(r[0] or 0)))
+    got = fingerprint.fingerprints(both, parts=parts).collect()
+    assert len(got) == both.count()
+    edited = dict(spark.createDataFrame([(r.edited,) for r in got], "t string").distinct().select("t", fingerprint.digests(F.col("t"), parts)).collect())
+    like = lambda a, b: len({*a} & {*b}) / len({*a} | {*b}) if a or b else 1.0
+    unique = {i for i, n in Counter(i for i, _ in rows).items() if n == 1 and i is not None}
+    told = 0
+    for (i, t), (j, u) in zip(rows, rows[1:]):
+        if i in unique and j in unique:
+            r = next(r for r in got if r.doc_id == i)
+            assert r.near_next == pytest.approx(like(sets[t], sets[u])) and r.near_edited == pytest.approx(like(sets[t], edited[r.edited]))
+            told += 1
+    assert told > 100
+
+
 def test_fingerprints_of_odd_rows(odd, empty):
     got = fingerprint.fingerprints(odd).collect()
     assert len(got) == odd.count() and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
