@@ -555,21 +555,46 @@ def test_pipeline_stages_on_odd_and_empty_rows(spark, odd, empty, tmp_path, k):
 
 
 def test_prefix_candidates_lose_no_similar_pair(spark):
-    """Groups of sets around a common base, sizes 1 to 60: every pair of Jaccard 0.8 or more with an open side is a candidate."""
+    """Groups of sets around a common base, sizes 1 to 60: every pair of Jaccard 0.8 or more of different labels is a candidate, none of one label."""
     r = random.Random(5)
     rows = []
     for g in range(12):
         base = [r.getrandbits(40) for _ in range(r.randint(1, 60))]
         for _ in range(25):
             own = {v for v in base if r.random() > 0.06} | {r.getrandbits(40) for _ in range(r.randint(0, 2))}
-            rows.append((len(rows), sorted(own), r.random() < 0.5))
-    sets = spark.createDataFrame(rows, "u long, shingles array<long>, open boolean")
+            rows.append((len(rows), sorted(own), -g if r.random() < 0.6 else len(rows)))
+    sets = spark.createDataFrame(rows, "u long, shingles array<long>, label long")
     got = {(min(x.a, x.b), max(x.a, x.b)) for x in substring_dedup._sharing_prefixes(sets, 0.8).collect()}
     want = set()
-    for a, x, ox in rows:
-        for b, y, oy in rows[:a]:
+    for a, x, lx in rows:
+        for b, y, ly in rows[:a]:
             shared = len(set(x) & set(y))
-            if (ox or oy) and shared and shared >= 0.8 * (len(x) + len(y) - shared):
+            if lx != ly and shared and shared >= 0.8 * (len(x) + len(y) - shared):
                 want.add((b, a))
-    assert len(want) > 100 and want <= got
+    assert len(want) > 100 and want <= got and all(rows[a][2] != rows[b][2] for a, b in got)
     assert substring_dedup._sharing_prefixes(sets.limit(0), 0.8).count() == 0
+
+
+def test_a_tenfold_group_of_near_copies_has_no_more_than_tenfold_candidates(spark, monkeypatch):
+    """Copies of one passage, each with words of its own near both ends: their links and candidates grow with the copies."""
+    whole, counts = substring_dedup._sharing_prefixes, []
+
+    def counted(sets, similarity):
+        pairs = whole(sets, similarity)
+        counts.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(substring_dedup, "_sharing_prefixes", counted)
+    for copies in (60, 600):
+        r = random.Random(7)
+        passage = [f"w{r.randrange(3000)}" for _ in range(48)]
+        rows = []
+        for k in range(copies):
+            own = passage[:]
+            for _ in range(r.randrange(3)):
+                own[r.choice((0, 1, 46, 47))] = f"x{r.randrange(40)}"
+            rows.append((k, f"{' '.join(own[:24])} {' '.join(own[24:])}."))
+        found = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {x.doc_id for x in found} == set(range(copies))
+        assert len({x.cluster for x in found if x.first == 0 and x.end == 48}) == 1
+    assert counts[1] <= 12 * max(counts[0], 10)
