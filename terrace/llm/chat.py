@@ -2,13 +2,16 @@
 
 Calls and results meet in a hash join on conversation and identifier. A call may need the result of another (its
 parent): how many calls precede it is found by pointer doubling, so a chain of any length takes as many joins as its
-length has binary digits. Every message stays a row of its own; ``order_turn`` and ``order_step`` sort a conversation
-so that a result follows its call and a call its parent, without gathering a conversation in one task.
+length has binary digits. The same doubling finds the last turn of all that a call needs, however far up and on whatever
+turns it stands. Every message stays a row of its own; sorted by ``order_turn``, ``order_step`` and ``turn`` a
+conversation is in topological order (a result after its call, a call after the calls it needs and all their results),
+without gathering it in one task.
 """
 
 from __future__ import annotations
 
 import json
+import re
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,16 +24,58 @@ DOUBLINGS = 40
 _TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool, "object": dict, "array": list, "null": type(None)}
 
 
+# The keywords that are checked, and those that only describe.
+KEYWORDS = {
+    "type", "enum", "const", "required", "properties", "additionalProperties", "items", "minLength", "maxLength", "pattern",
+    "minItems", "maxItems", "minimum", "maximum",
+}
+ANNOTATIONS = {"title", "description", "default", "examples", "$schema", "$id", "$comment"}
+
+
+def check_schema(schema, at: str = "arguments") -> None:
+    """Raise ``ValueError``, naming the place, for a schema that :func:`violations` does not know how to check in full."""
+    if not isinstance(schema, dict):
+        raise ValueError(f"{at}: a schema must be an object")
+    if unknown := sorted(set(schema) - KEYWORDS - ANNOTATIONS):
+        raise ValueError(f"{at}: unknown schema keywords {', '.join(unknown)}")
+    if unknown := [str(k) for k in _kinds(schema) if k not in _TYPES]:
+        raise ValueError(f"{at}: unknown types {', '.join(unknown)}")
+    if not isinstance(schema.get("additionalProperties", True), bool):
+        raise ValueError(f"{at}: additionalProperties must be true or false")
+    try:
+        re.compile(schema.get("pattern", ""))
+    except re.error as e:
+        raise ValueError(f"{at}: pattern {schema['pattern']!r}: {e}") from e
+    for name, inner in schema.get("properties", {}).items():
+        check_schema(inner, f"{at}.{name}")
+    if "items" in schema:
+        check_schema(schema["items"], f"{at}[]")
+
+
+def _kinds(schema: dict) -> list:
+    kinds = schema.get("type", [])
+    return kinds if isinstance(kinds, list) else [kinds]
+
+
+def _is(value, kind: str) -> bool:
+    return isinstance(value, _TYPES[kind]) and not (isinstance(value, bool) and kind in ("integer", "number"))
+
+
 def violations(value, schema: dict, at: str = "") -> list[str]:
-    """What breaks a JSON schema (type, enum, required, properties, additionalProperties, items, lengths, bounds)."""
-    kind, where = schema.get("type"), at or "arguments"
-    if kind and (not isinstance(value, _TYPES[kind]) or isinstance(value, bool) and kind in ("integer", "number")):
-        return [f"{where}: not {kind}"]
+    """What breaks a JSON schema of the keywords in :data:`KEYWORDS`; ``type`` is one type or a list of them."""
+    kinds, where = _kinds(schema), at or "arguments"
+    if kinds and not any(_is(value, k) for k in kinds):
+        return [f"{where}: not {' or '.join(kinds)}"]
     found = []
     if "enum" in schema and value not in schema["enum"]:
         found.append(f"{where}: not allowed")
-    if isinstance(value, str) and len(value) < schema.get("minLength", 0):
-        found.append(f"{where}: too short")
+    if "const" in schema and value != schema["const"]:
+        found.append(f"{where}: not allowed")
+    if isinstance(value, (str, list)):
+        least, most = ("minLength", "maxLength") if isinstance(value, str) else ("minItems", "maxItems")
+        found += [f"{where}: too short"] * (len(value) < schema.get(least, 0)) + [f"{where}: too long"] * (len(value) > schema.get(most, len(value)))
+    if isinstance(value, str) and not re.search(schema.get("pattern", ""), value):
+        found.append(f"{where}: other pattern")
     if isinstance(value, (int, float)) and not isinstance(value, bool):
         found += [f"{where}: too small"] * (value < schema.get("minimum", value)) + [f"{where}: too large"] * (value > schema.get("maximum", value))
     if isinstance(value, dict):
@@ -69,21 +114,26 @@ def message(role, content, call_id, name, arguments, schemas: dict) -> tuple[str
 
 
 def _depths(calls: DataFrame) -> DataFrame:
-    """``(key, depth)``: calls before each call ``(key, parent_key)``; null within or behind a cycle."""
-    known = calls.select(F.col("key").alias("parent_key"))
-    state = calls.join(known.withColumn("known", F.lit(True)), "parent_key", "left").select(
-        "key", F.when(F.col("known"), F.col("parent_key")).alias("up"), F.when(F.col("known"), 1).otherwise(0).cast("long").alias("depth")
+    """``(key, depth, need)`` of calls ``(key, parent_key, last)``: the calls before each and the greatest ``last`` among these.
+
+    ``depth`` is null within or behind a cycle, and there ``need`` is null as well.
+    """
+    known = calls.select(F.col("key").alias("parent_key"), F.col("last").alias("need"), F.lit(True).alias("known"))
+    state = calls.select("key", "parent_key").join(known, "parent_key", "left").select(
+        "key", F.when(F.col("known"), F.col("parent_key")).alias("up"), F.when(F.col("known"), 1).otherwise(0).cast("long").alias("depth"), "need"
     )
     state = stage(state, "chat-depth")
     for _ in range(DOUBLINGS):
         if state.filter("up is not null").isEmpty():
             break
-        above = state.select(F.col("key").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        further = state.join(above, "up", "left").select("key", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"))
+        above = state.select(F.col("key").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"), F.col("need").alias("also"))
+        further = state.join(above, "up", "left").select(
+            "key", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.greatest("need", "also").alias("need")
+        )
         before, state = state, stage(further, "chat-depth")
         if _open(before) == _open(state):  # every round ends some chain, so only cycles are left
             break
-    return state.select("key", F.when(F.col("up").isNull(), F.col("depth")).alias("depth"))
+    return state.select("key", *[F.when(F.col("up").isNull(), F.col(c)).alias(c) for c in ("depth", "need")])
 
 
 def _open(state: DataFrame) -> int:
@@ -97,31 +147,41 @@ def format_chat(messages: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     ``arguments`` (a call, with ``parent_id`` if it needs another's result) or without (a result). ``linked`` says
     whether a call has a result or a result its call; ``depth`` counts the calls before a call. ``errors`` lists, comma-joined, what breaks
     the schema of ``schemas[name]``, a result without a call, an identifier used by several calls, and a cycle; ``valid`` is
-    whether there is none. Nulls in any column stay nulls in the JSON (a null conversation is one of its own, a null
+    whether there is none. ``order_turn`` is a message's turn or, if later, the last turn of what it needs: for a call all
+    calls up its chain of parents and their results, for a result its call and all that this needs; ``order_step`` sorts
+    what is so moved on one turn. Calls within or behind a cycle stay on their own turns. Calls that share an
+    identifier have the least of their parents; their results follow the first of them, what needs them follows all. A schema
+    with keywords that are not checked is refused by name (:func:`check_schema`). Nulls in any column stay nulls in the JSON (a null conversation is one of its own, a null
     turn sorts first); repeated rows stay; an empty table gives no rows; other columns are ignored.
     """
+    for tool, schema in schemas.items():
+        check_schema(schema, tool)
     key = lambda c: F.when(F.col(c).isNotNull(), F.concat_ws("/", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")), F.col(c)))
     rows = messages.select("conv_id", "turn", "role", "content", "call_id", "name", "arguments", key("call_id").alias("key"), key("parent_id").alias("parent_key"))
     is_call, is_result = "name is not null and key is not null", "name is null and key is not null"
-    calls = stage(rows.filter(is_call).groupBy("key").agg(
-        F.min("turn").alias("call_turn"), F.count("*").alias("n_calls"), F.min("parent_key").alias("parent_key")), "chat-calls")
-    results = rows.filter(is_result).groupBy("key").agg(F.count("*").alias("n_results"))
-    depths = _depths(calls.select("key", "parent_key"))
-    facts = stage(calls.join(results, "key", "left").join(depths, "key").select("key", "call_turn", "n_calls", "n_results", "depth"), "chat-facts")
+    calls = rows.filter(is_call).groupBy("key").agg(F.min("turn").alias("call_turn"), F.max("turn").alias("last_call"), F.count("*").alias("n_calls"), F.min("parent_key").alias("parent_key"))
+    results = rows.filter(is_result).groupBy("key").agg(F.count("*").alias("n_results"), F.max("turn").alias("last"))
+    calls = stage(calls.join(results, "key", "left").withColumn("last", F.greatest("last_call", "last")), "chat-calls")
+    depths = _depths(calls.select("key", "parent_key", "last"))
+    facts = stage(calls.join(depths, "key").select("key", "call_turn", "n_calls", "n_results", "depth", "need"), "chat-facts")
     plain = rows.filter("key is null")
-    for c, kind in (("call_turn", "long"), ("n_calls", "long"), ("n_results", "long"), ("depth", "long")):
-        plain = plain.withColumn(c, F.lit(None).cast(kind))
+    for c in facts.columns[1:]:
+        plain = plain.withColumn(c, F.lit(None).cast(dict(facts.dtypes)[c]))
     linked = rows.filter("key is not null").join(facts, "key", "left").unionByName(plain)
     call, result = F.expr(is_call), F.expr(is_result)
     graph = F.concat_ws(
-        ",", F.when(result & F.col("call_turn").isNull(), F.lit("call: none")), F.when(call & (F.col("n_calls") > 1), F.lit("id: not unique")),
+        ",", F.when(result & F.col("n_calls").isNull(), F.lit("call: none")), F.when(call & (F.col("n_calls") > 1), F.lit("id: not unique")),
         F.when(call & F.col("depth").isNull(), F.lit("parent: cycle")),
     )
+    # What stands on its own turn anyway is at step 0, what is moved behind others on the turn of the last of them at a
+    # step of its own: calls of each depth, then their results.
+    after = F.when(call, F.col("need")).when(result, F.greatest("call_turn", "need"))
+    moved = 2 * F.coalesce("depth", F.lit(0)) + F.when(result & F.col("n_calls").isNotNull(), 1).otherwise(0)
     linked = linked.select(
         "conv_id", "turn", "role", "content", "call_id", "name", "arguments", graph.alias("graph"),
-        F.when(call, F.col("n_results").isNotNull()).when(result, F.col("call_turn").isNotNull()).alias("linked"),
-        F.when(call, F.col("depth")).alias("depth"), F.greatest("turn", F.when(result, F.col("call_turn"))).cast("long").alias("order_turn"),
-        F.when(result & (F.col("call_turn") >= F.col("turn")), F.lit(1)).otherwise(F.lit(0)).alias("order_step"),
+        F.when(call, F.col("n_results").isNotNull()).when(result, F.col("n_calls").isNotNull()).alias("linked"),
+        F.when(call, F.col("depth")).alias("depth"), F.greatest("turn", after).cast("long").alias("order_turn"),
+        F.when(F.col("turn").isNotNull() & (after.isNull() | (F.col("turn") > after)), F.lit(0)).otherwise(moved).cast("int").alias("order_step"),
     )
 
     def write(batches):

@@ -428,7 +428,7 @@ def test_chat_links_orders_and_validates(spark):
     got = {(r.conv_id, r.turn): r for r in chat.format_chat(message_rows(spark, rows), schema).collect()}
     at = lambda t: got[1, t]
     assert (at(1).depth, at(3).depth, at(8).depth, at(6).depth) == (0, 1, 2, None) and at(1).linked and at(2).linked and not at(5).linked and not at(8).linked
-    assert (at(2).order_turn, at(2).order_step) == (3, 1) and at(3).errors == "a: not integer,b: unexpected" and at(5).errors == "call: none"
+    assert [(at(t).order_turn, at(t).order_step) for t in (1, 4, 3, 2)] == [(1, 0), (4, 0), (4, 2), (4, 3)] and at(3).errors == "a: not integer,b: unexpected" and at(5).errors == "call: none"
     assert at(6).errors == "parent: cycle,arguments: not JSON" and at(8).errors == "id: not unique" and got[None, None].errors == "a: missing"
     assert at(1).json == '{"content":null,"role":"assistant","tool_calls":[{"arguments":{"a":1},"id":"c1","name":"add"}]}'
     assert all(json.loads(r.json) is not None for r in got.values())
@@ -440,6 +440,49 @@ def test_chat_chain_depths(spark):
     assert sorted(r.depth for r in chat.format_chat(message_rows(spark, rows), {"add": {}}).collect()) == list(range(100))
 
 
+def test_chat_order_is_topological_whatever_the_turns(spark):
+    """Forests of calls with parents and results on any turns, some without a turn: nothing stands before what it needs."""
+    r, rows, parents = random.Random(11), [], {}
+    for conv in range(40):
+        names, turn = [f"c{k}" for k in range(r.randrange(1, 9))], lambda: r.choice((None, *range(12)))
+        for k, c in enumerate(names):
+            parents[conv, c] = r.choice([None, *names[:k]])
+            rows.append((conv, turn(), "assistant", None, c, "add", "{}", parents[conv, c], None))
+            rows += [(conv, turn(), "tool", "x", c, None, None, None, None) for _ in range(r.randrange(3))]
+        rows += [(conv, turn(), "user", "hi", None, None, None, None, None)]
+    r.shuffle(rows)
+    got = chat.format_chat(message_rows(spark, rows), {"add": {}}).collect()
+    assert len(got) == len(rows)
+    place = lambda x: (-1 if x.order_turn is None else x.order_turn, x.order_step)
+    calls = {(x.conv_id, x.call_id): place(x) for x in got if x.role == "assistant"}
+    results = [((x.conv_id, x.call_id), place(x)) for x in got if x.role == "tool"]
+    assert all(at > calls[c] for c, at in results)
+    children = {}
+    for (conv, c), p in parents.items():
+        children.setdefault((conv, p), []).append((conv, c))
+        assert p is None or calls[conv, c] > calls[conv, p]
+    assert all(calls[child] > at for c, at in results for child in children.get(c, ()))
+    assert all(place(x) == (-1 if x.turn is None else x.turn, 0) for x in got if x.role == "user")
+
+
+def test_chat_call_with_its_parent_on_a_later_turn(spark):
+    rows = [(1, 1, "assistant", None, "c1", "add", "{}", "c2", None), (1, 2, "assistant", None, "c2", "add", "{}", None, None), (1, 3, "tool", "r", "c2", None, None, None, None)]
+    got = sorted(chat.format_chat(message_rows(spark, rows), {"add": {}}).collect(), key=lambda x: (x.order_turn, x.order_step, x.turn))
+    assert [(x.role, x.call_id, x.depth) for x in got] == [("assistant", "c2", 0), ("tool", "c2", None), ("assistant", "c1", 1)]
+
+
+def test_schemas_are_checked_in_full_or_refused():
+    bad = lambda value, schema: chat.violations(value, schema)
+    assert bad(None, {"type": ["string", "null"]}) == [] and bad(3, {"type": ["string", "null"]}) == ["arguments: not string or null"]
+    assert bad(True, {"type": ["integer", "string"]}) == ["arguments: not integer or string"] and bad(True, {"type": ["integer", "boolean"]}) == []
+    assert bad("abcd", {"maxLength": 3}) == ["arguments: too long"] and bad([1], {"minItems": 2}) == ["arguments: too short"]
+    assert bad("ab1", {"pattern": "^[a-z]+$"}) == ["arguments: other pattern"] and bad(2, {"const": 1}) == ["arguments: not allowed"]
+    chat.check_schema({"type": "object", "title": "t", "properties": {"a": {"type": ["array", "null"], "items": {"maxLength": 3}}}})
+    for schema, word in (({"properties": {"a": {"oneOf": []}}}, "add.a: unknown schema keywords oneOf"), ({"type": "text"}, "text"), ({"pattern": "("}, "pattern"), (True, "object")):
+        with pytest.raises(ValueError, match=word):
+            chat.check_schema(schema, "add")
+
+
 # --- decontamination
 
 def test_overlaps(spark, odd, empty):
