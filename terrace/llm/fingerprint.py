@@ -1,4 +1,4 @@
-"""Document fingerprints: invertible Bloom lookup sketches of paragraph digests, in DataFrame functions only.
+"""Document fingerprints: invertible Bloom lookup sketches of paragraph digests, in numpy within Arrow batches.
 
 A paragraph is a line with a character other than white space; a document is the set of its paragraphs' digests. Lines
 may be cut further, at sentence ends or into words (:func:`sentences`, what the registered query does), so
@@ -7,13 +7,22 @@ sketch has :data:`TABLES` x :data:`CELLS` cells; each digest is added to one cel
 takes it in by exclusive or. Subtracting the sketches of two versions leaves the digests in only one of them; cells with
 a single one of those show it (its low bits check its high bits), and taking it out of its other cells may show more.
 If this peeling gets stuck, the difference is too large for the sketch, and the pair is sketched again four times as
-large: its digests are dealt by hash to four times as many blocks of the same size, until every block peels. How many
-digests both versions have says which retry comes first.
+large, until it peels. The counts left in the cells tell about how large the difference is, and so which retry comes first.
+
+Every document meets the next one in a range partitioning by id: a task reads its rows in order and holds one document
+besides the batch it reads. Only the documents at the ends of partitions meet in a join, one row a partition.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terrace.llm.common import stage, texts_of
@@ -23,199 +32,226 @@ CELLS = 16
 #: Characters of a piece between sentence ends from which on its words are paragraphs.
 LONG_PIECE = 200
 #: Rounds of peeling within one sketch (each takes out all digests that show), and retries, each four times as large.
-ROUNDS = 24
+ROUNDS = 64
 RETRIES = 10
-#: Digests of both versions together in a block of the first retry, of what its cells can tell apart.
+#: Digests of the expected difference for each block of cells of the first retry.
 LOAD = 24
-_CHECK_BITS = 24
-_CHECK = (1 << _CHECK_BITS) - 1
-_CELL = "struct<n:int,x:bigint>"
+_CHECK_BITS = np.uint64(24)
+_CHECK = np.uint64((1 << 24) - 1)
+_END = re.compile(r"[.!?;:。！？][ \t]|[。！？]")
+_WORD = re.compile(r"(?<=[ \t])")
 
 
-def lines(text: Column) -> Column:
-    return F.split(text, "\n")
+def lines(text: str) -> list[str]:
+    return text.split("\n")
 
 
-def sentences(text: Column) -> Column:
+def sentences(text: str) -> list[str]:
     """The lines, cut further behind a sentence end and the blank after it, and into words where that leaves a long piece."""
-    pieces = F.split(F.regexp_replace(text, r"[.!?;:。！？][ \t]|[。！？]", "$0\n"), "\n")
-    return F.flatten(F.transform(pieces, lambda p: F.when(F.char_length(p) > LONG_PIECE, F.split(p, r"(?<=[ \t])")).otherwise(F.array(p))))
+    out = []
+    for piece in _END.sub("\\g<0>\n", text).split("\n"):
+        if len(piece) > LONG_PIECE:
+            out += _WORD.split(piece)
+        else:
+            out.append(piece)
+    return out
 
 
-def digests(text: Column, parts=lines) -> Column:
-    """The distinct digests of a text's paragraphs: 40 bits of hash above 24 bits that check them."""
-    lines = F.filter(parts(text), lambda p: F.trim(F.translate(p, "\t\r\x0b\x0c", "    ")) != "")
-    return F.array_distinct(F.transform(lines, lambda p: _with_check(F.shiftrightunsigned(F.xxhash64(p), _CHECK_BITS))))
+def _mixed(v: np.ndarray, salt: int) -> np.ndarray:
+    """Well mixed 64 bits of each value: two multiplications with shifts between."""
+    v = (v ^ np.uint64(salt * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) * np.uint64(0xFF51AFD7ED558CCD)
+    v = (v ^ (v >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return v ^ (v >> np.uint64(29))
 
 
-def _with_check(high: Column) -> Column:
-    return F.shiftleft(high, _CHECK_BITS).bitwiseOR(F.xxhash64(high).bitwiseAND(F.lit(_CHECK)))
+def _with_check(high: np.ndarray) -> np.ndarray:
+    return high << _CHECK_BITS | _mixed(high, 1) & _CHECK
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` evaluated once."""
-    return F.transform(F.array(value), body)[0]
+def digests(text: str, parts=lines) -> np.ndarray:
+    """The distinct digests of a text's paragraphs, in order: 40 bits of hash above 24 bits that check them."""
+    hashes = {xxhash.xxh64_intdigest(p) for p in parts(text) if p.strip(" \t\r\x0b\x0c")}
+    return np.unique(_with_check(np.fromiter(hashes, np.uint64, len(hashes)) >> _CHECK_BITS))
 
 
-def sketch(found: Column, level: int = 0) -> Column:
-    """The cells, table after table, of an array of digests."""
-    return _cells(F.transform(found, lambda x: F.struct(F.lit(1).alias("n"), x.alias("x"))), level)
+class Sketch(NamedTuple):
+    """The counts and contents of the cells, block after block, in each block table after table."""
 
+    n: np.ndarray
+    x: np.ndarray
 
-def _cells(found: Column, level: int) -> Column:
-    """The cells of an array of ``(n, x)``: in each table sorted by cell, among one empty entry a cell, and added up in one pass."""
-    empty = F.transform(F.sequence(F.lit(0), F.lit(CELLS - 1)), lambda c: F.struct(c.alias("c"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("x")))
-    cell = lambda s: F.array(F.struct(s["n"].alias("n"), s["x"].alias("x")))
-    start = F.struct(F.array().cast(f"array<{_CELL}>").alias("done"), F.lit(0).alias("c"), F.lit(0).alias("n"), F.lit(0).cast("long").alias("x"))
 
-    def add(s, e):
-        same = F.struct(s["done"].alias("done"), s["c"].alias("c"), (s["n"] + e["n"]).alias("n"), s["x"].bitwiseXOR(e["x"]).alias("x"))
-        next_ = F.struct(F.concat(s["done"], cell(s)).alias("done"), e["c"].alias("c"), e["n"].alias("n"), e["x"].alias("x"))
-        return F.when(s["c"] == e["c"], same).otherwise(next_)
+def _places(found: np.ndarray, level: int) -> np.ndarray:
+    """The cell of each digest in every table, a row a table; every level deals anew."""
+    h = _mixed(found, level + 2)
+    block = (h >> np.uint64(32)) & np.uint64(4**level - 1)
+    cell = [h >> np.uint64(8 * t) & np.uint64(CELLS - 1) for t in range(TABLES)]
+    return np.stack([(block * np.uint64(TABLES) + np.uint64(t)) * np.uint64(CELLS) + c for t, c in enumerate(cell)]).astype(np.int64)
 
-    def table(dealt, t):  # every table looks at bits of its own
-        of_table = F.transform(dealt, lambda e: F.struct(F.shiftrightunsigned(e["h"], 20 + 8 * t).bitwiseAND(F.lit(CELLS - 1).cast("long")).cast("int").alias("c"), e["n"].alias("n"), e["x"].alias("x")))
-        return F.aggregate(F.sort_array(F.concat(of_table, empty)), start, add, lambda s: F.concat(s["done"], cell(s)))
 
-    # every level deals anew
-    hashed = F.transform(found, lambda e: F.struct(F.xxhash64(e["x"], F.lit(level)).alias("h"), e["n"].alias("n"), e["x"].alias("x")))
-    return _let(hashed, lambda dealt: F.concat(*[table(dealt, t) for t in range(TABLES)]))
+def sketch(found: np.ndarray, level: int = 0) -> Sketch:
+    size, at = 4**level * TABLES * CELLS, _places(found, level)
+    x = np.zeros(size, np.uint64)
+    for table in at:
+        np.bitwise_xor.at(x, table, found)
+    return Sketch(np.bincount(at.ravel(), minlength=size), x)
 
 
-def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda p, q: F.struct((p["n"] - q["n"]).alias("n"), p["x"].bitwiseXOR(q["x"]).alias("x")))
+def subtract(a: Sketch, b: Sketch) -> Sketch:
+    return Sketch(a.n - b.n, a.x ^ b.x)
 
 
-def peel(cells: Column, level: int = 0) -> Column:
-    """``struct(cells, only)`` after peeling: ``only`` are the digests found in one version, ``n`` 1 for the first and -1 for the second."""
-    single = lambda q: (F.abs(q["n"]) == 1) & (_with_check(F.shiftrightunsigned(q["x"], _CHECK_BITS)) == q["x"])
-    start = F.struct(cells.alias("cells"), F.array().cast(f"array<{_CELL}>").alias("only"), F.lit(False).alias("still"))
+def peel(cells: Sketch, level: int = 0) -> int | None:
+    """How many digests only one version has, by taking them out of the cells one round after the other; None if it gets stuck."""
+    n, x, only = cells.n.copy(), cells.x.copy(), 0
+    for _ in range(ROUNDS):
+        single = np.flatnonzero(np.abs(n) == 1)
+        single = single[_with_check(x[single] >> _CHECK_BITS) == x[single]]
+        if not len(single):
+            break
+        shown, first = np.unique(x[single], return_index=True)
+        sign = n[single[first]]
+        for table in _places(shown, level):
+            np.subtract.at(n, table, sign)
+            np.bitwise_xor.at(x, table, shown)
+        only += len(shown)
+    return None if n.any() or x.any() else only
 
-    def round_(state, _):
-        def out(shown):
-            rest = F.struct(subtract(state["cells"], _cells(shown, level)).alias("cells"), F.concat(state["only"], shown).alias("only"), F.lit(False).alias("still"))
-            none = F.struct(state["cells"].alias("cells"), state["only"].alias("only"), F.lit(True).alias("still"))
-            return F.when(F.size(shown) == 0, none).otherwise(rest)
 
-        return F.when(state["still"], state).otherwise(_let(F.array_distinct(F.filter(state["cells"], single)), out))
+def _expected(cells: Sketch, apart: int) -> float:
+    """About how many digests a difference has that got stuck: of random signs, the squares of a table's counts sum up to it."""
+    squares = float((cells.n.astype(np.float64) ** 2).sum()) / TABLES
+    return max(squares - apart * apart / CELLS, abs(apart), 1.0)
 
-    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_)
 
+def only_in_one(a: np.ndarray, b: np.ndarray, sa: Sketch, sb: Sketch) -> int:
+    """How many digests only one of two versions has.
 
-def text_of(cells: Column, count: Column) -> Column:
+    Their sketches are subtracted and peeled; where that gets stuck they are sketched again, first for the difference that
+    the counts tell, then four times as large each time. A pair stuck after the last retry is compared digest by digest.
+    """
+    rest = subtract(sa, sb)
+    only = peel(rest)
+    if only is None:
+        level = 1
+        while level < RETRIES and 4**level * LOAD < _expected(rest, len(a) - len(b)):
+            level += 1
+        while only is None and level <= RETRIES:
+            only = peel(subtract(sketch(a, level), sketch(b, level)), level)
+            level += 1
+    return len(np.setxor1d(a, b)) if only is None else only
+
+
+def text_of(cells: Sketch, count: int) -> str:
     """A fingerprint as text: the number of digests, a colon, and the counts and the contents of the cells, comma-joined."""
-    numbers = lambda c: F.array_join(F.transform(cells, lambda q: q[c].cast("string")), ",")
-    return F.concat_ws(":", count.cast("string"), numbers("n"), numbers("x"))
+    return f"{count}:{','.join(map(str, cells.n.tolist()))}:{','.join(map(str, cells.x.tolist()))}"
 
 
-def likeness(first: Column, second: Column, only: Column) -> Column:
+def likeness(first: int, second: int, only: int) -> float:
     """Jaccard similarity from both numbers of digests and the number found in one only; two empty sets are alike."""
-    return F.when(first + second == 0, F.lit(1.0)).otherwise((first + second - only) / (first + second + only))
+    return 1.0 if first + second == 0 else (first + second - only) / (first + second + only)
+
+
+class _Document:
+    """A text with its digests and their sketch."""
+
+    def __init__(self, text: str, parts):
+        self.text = text
+        self.digests = digests(text, parts)
+        self.sketch = sketch(self.digests)
+
+    def like(self, other: _Document) -> float:
+        return likeness(len(self.digests), len(other.digests), only_in_one(self.digests, other.digests, self.sketch, other.sketch))
+
+    def fingerprint(self) -> str:
+        return text_of(self.sketch, len(self.digests))
+
+
+_RESULT = "doc_id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+_RESULT_ARROW = [
+    ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited", pa.string()), ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
+    ("near_edited", pa.float64()), ("near_next", pa.float64()),
+]
+_NAMES = [n for n, _ in _RESULT_ARROW]
+# Besides results: the first (end 0) and the last (end 1) document of a partition, the latter with the number of its rows.
+_ROWS = _RESULT + ", part int, end int, end_text string, copies long"
+_ROWS_ARROW = pa.schema([*_RESULT_ARROW, ("part", pa.int32()), ("end", pa.int32()), ("end_text", pa.string()), ("copies", pa.int64())])
+#: Characters of results that a task gathers before it hands them on.
+_BATCH_CHARS = 4_000_000
+
+
+def _result(doc_id: int | None, doc: _Document, after: _Document, keep, parts) -> tuple:
+    need = len(doc.text) // 3
+    edited = _Document(doc.text[: len(doc.text) - need] + after.text[:need], parts)
+    return doc_id, len(doc.text), keep(edited.text), doc.fingerprint(), edited.fingerprint(), doc.like(edited), doc.like(after)
+
+
+def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    held, chars = [], 0
+    for row in rows:
+        held.append(row)
+        chars += sum(len(v) for v in row if isinstance(v, str))
+        if chars >= _BATCH_CHARS:
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+            held, chars = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
+
+
+def _along(rows: Iterator[tuple], keep, parts) -> Iterator[tuple]:
+    """Results of ``(doc_id, text, part)`` in order, each against the next that differs; the first and the last document besides."""
+    now = doc = None
+    copies = part = 0
+    none = (None,) * (len(_NAMES) - 1)
+    for doc_id, text, part in rows:
+        if now is not None and (doc_id, text) == (now[0], doc.text):
+            copies += 1
+            continue
+        after = _Document(text, parts)
+        if now is None:
+            yield (doc_id, *none, part, 0, text, None)
+        else:
+            result = (*_result(now[0], doc, after, keep, parts), part, None, None, None)
+            for _ in range(copies):
+                yield result
+        now, doc, copies = (doc_id,), after, 1
+    if now is not None:
+        yield (now[0], *none, part, 1, doc.text, copies)
+
+
+def fingerprints(docs: DataFrame, keep: Callable[[str], str] = str, parts=lines) -> DataFrame:
+    """``(doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next)``, one row per input row.
 
+    The edited text has its last third replaced by as much of the next document's start, descending ``doc_id`` (after the
+    last: the first); ``keep`` says what of it is returned (all of it, or a function of it), ``parts`` how texts are cut
+    into paragraphs. A null text counts as empty; null ids come last, rows of equal id
+    stand in the order of a hash of their texts, and rows equal in both share one place but each give a row; a single
+    document is its own next. Other columns are ignored. An empty table gives no rows.
+    """
 
-def _peeled(a: Column, b: Column, level: int) -> Column:
-    """``struct(ok, only)``: whether everything was peeled, and how many digests are in one version only."""
-    done = lambda s: F.struct(F.forall(s["cells"], lambda q: (q["n"] == 0) & (q["x"] == 0)).alias("ok"), F.size(s["only"]).alias("only"))
-    return _let(peel(subtract(a, b), level), done)
+    def along(batches):
+        rows = (r for b in batches for r in zip(*(c.to_pylist() for c in b.columns)))
+        return _batches(_along(rows, keep, parts), _ROWS_ARROW)
 
+    def meet(batches):
+        def rows():
+            for b in batches:
+                for doc_id, text, copies, after in zip(*(c.to_pylist() for c in b.columns)):
+                    result = _result(doc_id, _Document(text, parts), _Document(after, parts), keep, parts)
+                    for _ in range(copies):
+                        yield result
 
-def differences(pairs: DataFrame) -> DataFrame:
-    """``(pair, only)`` for ``pairs(pair, first, second)`` of digest arrays that one sketch could not tell apart.
+        return _batches(rows(), pa.schema(_RESULT_ARROW))
 
-    Every retry deals the digests of a pair to four times as many blocks, so that the blocks of a very long document
-    are spread over tasks and peeled one by one. The first retry is the one whose blocks hold at most :data:`LOAD` digests
-    on average, so few need another. A pair that is stuck after the last retry is compared digest by digest.
-    """
-    fits = F.ceil(F.log(4.0, (F.size("first") + F.size("second") + 1) / F.lit(float(LOAD))))
-    start, results = F.least(F.greatest(fits.cast("int"), F.lit(1)), F.lit(RETRIES)), None
-    stuck = pairs.filter("false")
-    for level in range(1, RETRIES + 1):
-        left = stuck.union(pairs.filter(start == level))
-        if left.isEmpty():
-            continue
-        block = F.pmod(F.xxhash64("d", F.lit(-level)), F.lit(4**level)).alias("block")
-        first = left.select("pair", F.explode("first").alias("d"), F.lit(0).alias("side"))
-        second = left.select("pair", F.explode("second").alias("d"), F.lit(1).alias("side"))
-        sides = first.union(second).groupBy("pair", block).agg(
-            *[F.collect_list(F.when(F.col("side") == s, F.col("d"))).alias(f"s{s}") for s in (0, 1)]
-        )
-        peeled = sides.withColumn("p", _peeled(sketch(F.col("s0"), level), sketch(F.col("s1"), level), level))
-        whole = stage(peeled.groupBy("pair").agg(F.every("p.ok").alias("ok"), F.sum("p.only").alias("only")), "iblt-level")
-        found = whole.filter("ok").select("pair", "only")
-        results = found if results is None else results.union(found)
-        stuck = stage(left.join(whole.filter("not ok").select("pair"), "pair", "left_semi"), "iblt-left")
-    exact = stuck.select("pair", (F.size(F.array_except("first", "second")) + F.size(F.array_except("second", "first"))).cast("long").alias("only"))
-    return exact if results is None else results.union(exact)
-
-
-def _order(texts: DataFrame) -> DataFrame:
-    """``(k, h, doc_id, need, nk, nh)``: every distinct document with the key of the next one, descending ``doc_id``.
-
-    Places come from a range partitioning and the row numbers within its partitions: no task sees all ids.
-    """
-    keys = texts.select("k", "h", "doc_id", F.floor(F.char_length("text") / 3).cast("int").alias("need")).distinct()
+    texts = texts_of(docs)
     n = max(1, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    by = [F.desc_nulls_last("doc_id"), F.asc("h")]
-    sorted_ = stage(keys.repartitionByRange(n, *by).sortWithinPartitions(*by).withColumn("at", F.monotonically_increasing_id()), "fp-order")
-    part, row = F.shiftright("at", 33).alias("part"), F.col("at").bitwiseAND(F.lit((1 << 33) - 1)).alias("row")
-    sizes = sorted_.groupBy(part).agg(F.count("*").alias("n"))
-    before = stage(sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy()).alias("total")), "fp-parts")
-    placed = sorted_.select("*", part, row).join(before, "part").withColumn("place", F.col("before") + F.col("row"))
-    placed = stage(placed.select("k", "h", "doc_id", "need", "place", "total"), "fp-places")
-    after = placed.select(F.col("k").alias("nk"), F.col("h").alias("nh"), F.col("place").alias("next"))
-    return placed.withColumn("next", (F.col("place") + 1) % F.col("total")).join(after, "next").select("k", "h", "doc_id", "need", "nk", "nh")
-
-
-def with_next(docs: DataFrame, parts=lines) -> DataFrame:
-    """``(k, h, doc_id, text, head, next_digests)``: every row with the start of the next document and its digests."""
-    texts = texts_of(docs).select(
-        F.coalesce("doc_id", F.lit(0).cast("long")).alias("k"), F.xxhash64(F.col("doc_id").isNull(), "text").alias("h"), "doc_id", "text"
-    )
-    order = stage(_order(texts), "fp-next")
-    rows = texts.select("k", "h", "text")
-    ahead = rows.withColumnsRenamed({"k": "nk", "h": "nh"}).join(order.select("k", "h", "need", "nk", "nh"), ["nk", "nh"])
-    ahead = ahead.select("k", "h", F.expr("substring(text, 1, need)").alias("head"), digests(F.col("text"), parts).alias("next_digests"))
-    if rows.count() > order.count():  # repeated rows: the next document comes once
-        ahead = ahead.dropDuplicates(["k", "h"])
-    return rows.join(order.select("k", "h", "doc_id", "need"), ["k", "h"]).join(ahead, ["k", "h"])
-
-
-def fingerprints(docs: DataFrame, keep=lambda edited: edited, parts=lines) -> DataFrame:
-    """``(doc_id, n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next)``, one row per input row.
-
-    The edited text has its last third replaced by as much of the next document's start; ``keep`` says what of it is
-    returned (all of it, or a column function of it), ``parts`` how texts are cut into paragraphs. A null text counts as empty; null ids come last, rows of equal id
-    stand in the order of a hash of their texts, and rows equal in both share one place but each give a row; a single
-    document is its own next. An empty table gives no rows.
-    """
-    rows = with_next(docs, parts)
-    n = F.char_length("text")
-    rows = rows.withColumn("edited", F.concat(F.expr("substring(text, 1, char_length(text) - need)"), "head")).select(
-        "k", "h", "doc_id", n.cast("long").alias("n_chars"), keep(F.col("edited")).alias("edited"), digests(F.col("text"), parts).alias("a"),
-        digests(F.col("edited"), parts).alias("e"), F.col("next_digests").alias("b"),
-    )
-    prints = [text_of(F.col(f"s{c}"), F.size(c)).alias(name) for c, name in (("a", "fingerprint"), ("e", "edited_fingerprint"))]
-    rows = rows.select("*", *[sketch(F.col(c)).alias(f"s{c}") for c in "aeb"])
-    rows = rows.select("*", _peeled(F.col("sa"), F.col("se"), 0).alias("pe"), _peeled(F.col("sa"), F.col("sb"), 0).alias("pb"))
-    stuck = ~F.col("pe.ok") | ~F.col("pb.ok")
-    rows = stage(rows.select(
-        "k", "h", "doc_id", "n_chars", "edited", *[F.when(~stuck, p).alias(p_name) for p, p_name in zip(prints, ("fingerprint", "edited_fingerprint"))],
-        *[F.size(c).cast("long").alias(f"n{c}") for c in "aeb"], *[F.when(F.col(f"p{c}.ok"), F.col(f"p{c}.only")).cast("long").alias(f"only_{c}") for c in "eb"],
-        *[F.when(stuck, F.col(c)).alias(c) for c in "aeb"],
-    ), "fp-rows")
-    open_ = rows.filter("a is not null")
-    pairs = [
-        open_.filter(f"only_{c} is null").select(F.struct("k", "h", F.lit(c).alias("c")).alias("pair"), F.col("a").alias("first"), F.col(c).alias("second"))
-        for c in "eb"
-    ]
-    found = differences(stage(pairs[0].union(pairs[1]).dropDuplicates(["pair"]), "fp-stuck"))
-    found = found.groupBy(F.col("pair.k").alias("k"), F.col("pair.h").alias("h")).agg(*[F.max(F.when(F.col("pair.c") == c, F.col("only"))).alias(f"retried_{c}") for c in "eb"])
-    # Their digests are much shorter than their fingerprints, so those are only made behind the join.
-    open_ = open_.drop("fingerprint", "edited_fingerprint").join(stage(found, "fp-found"), ["k", "h"])
-    for c in "eb":
-        open_ = open_.withColumn(f"only_{c}", F.coalesce(f"only_{c}", f"retried_{c}"))
-    open_ = open_.select("*", sketch(F.col("a")).alias("sa"), sketch(F.col("e")).alias("se")).select("*", *prints)
-    columns = ["doc_id", "n_chars", "edited", "fingerprint", "edited_fingerprint", "na", "ne", "nb", "only_e", "only_b"]
-    return rows.filter("a is null").select(columns).union(open_.select(columns)).select(
-        *columns[:5], likeness(F.col("na"), F.col("ne"), F.col("only_e")).alias("near_edited"), likeness(F.col("na"), F.col("nb"), F.col("only_b")).alias("near_next")
-    )
+    by = [F.desc_nulls_last("doc_id"), F.asc(F.xxhash64("text")), F.asc("text")]
+    ordered = texts.repartitionByRange(n, *by).sortWithinPartitions(*by)
+    rows = stage(ordered.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(along, _ROWS), "fp-rows")
+    # One row a partition: each that has documents, and the next such partition (after the last: the first).
+    first, last = rows.filter("end = 0"), rows.filter("end = 1").select("doc_id", "end_text", "copies", "part")
+    one = Window.orderBy("part")
+    follow = first.select("part", F.coalesce(F.lead("part").over(one), F.first("part").over(one)).alias("next"))
+    heads = first.select(F.col("part").alias("next"), F.col("end_text").alias("after"))
+    ends = last.join(follow, "part").join(heads, "next").select("doc_id", "end_text", "copies", "after")
+    return rows.filter("end is null").select(*_NAMES).union(ends.mapInArrow(meet, _RESULT))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,7 +28,7 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = fingerprint.fingerprints(table(spark, sf_dir, "documents"), keep=lambda edited: F.sha2(edited, 256), parts=fingerprint.sentences)
+    found = fingerprint.fingerprints(table(spark, sf_dir, "documents"), keep=lambda edited: hashlib.sha256(edited.encode()).hexdigest(), parts=fingerprint.sentences)
     return found.withColumnRenamed("edited", "edited_sha256")
 
 
