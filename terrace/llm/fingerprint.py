@@ -245,8 +245,8 @@ def fingerprints(docs: DataFrame, keep: Callable[[str], str] = str, parts=lines)
 
     texts = texts_of(docs)
     n = max(1, int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    by = [F.desc_nulls_last("doc_id"), F.asc(F.xxhash64("text")), F.asc("text")]
-    ordered = texts.repartitionByRange(n, *by).sortWithinPartitions(*by)
+    by = [F.desc_nulls_last("doc_id"), F.asc(F.xxhash64("text"))]  # no text: the driver samples these for the ranges
+    ordered = texts.repartitionByRange(n, *by).sortWithinPartitions(*by, F.asc("text"))
     rows = stage(ordered.select("doc_id", "text", F.spark_partition_id().alias("part")).mapInArrow(along, _ROWS), "fp-rows")
     # One row a partition: each that has documents, and the next such partition (after the last: the first).
     first, last = rows.filter("end = 0"), rows.filter("end = 1").select("doc_id", "end_text", "copies", "part")
