@@ -1,5 +1,6 @@
 """The training-data operators against brute force, and their defined results for odd input."""
 
+import functools
 import hashlib
 import itertools
 import json
@@ -149,6 +150,32 @@ def test_packing_plan_holds_every_piece_and_is_near_the_bound():
         assert held == h and sum(k for _, k in plan) <= sum(x * c for x, c in h.items()) / 64 * 1.01 + 1
 
 
+def fewest_sequences(lengths, capacity):
+    """By trying every way: the longest open piece with each subset of the others that fits, least number over all."""
+
+    @functools.cache
+    def least(left):
+        if not left:
+            return 0
+        best = len(left)
+        for k in range(2 ** (len(left) - 1)):
+            inside = [x for j, x in enumerate(left[1:]) if k >> j & 1]
+            if left[0] + sum(inside) <= capacity:
+                best = min(best, 1 + least(tuple(x for j, x in enumerate(left[1:]) if not k >> j & 1)))
+        return best
+
+    return least(tuple(sorted(lengths, reverse=True)))
+
+
+def test_packing_of_few_pieces_against_every_way():
+    """At most one sequence more than the least number there is: rounding and filling are not exhaustive."""
+    rng = random.Random(5)
+    for _ in range(60):
+        lengths = [rng.randint(1, 12) for _ in range(rng.randint(1, 8))]
+        got, best = sum(n for _, n in packing.solve(dict(Counter(lengths)), 12)), fewest_sequences(lengths, 12)
+        assert best <= got <= best + 1
+
+
 def test_packing_refuses_impossible_lengths(spark):
     with pytest.raises(ValueError):
         packing.pack(spark.createDataFrame([(1, 2049)], "doc_id long, length long"))
@@ -216,6 +243,41 @@ def test_fingerprints_of_odd_rows(odd, empty):
     assert fingerprint.fingerprints(empty).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_fingerprints_across_partitions(spark, partitions):
+    """Repeated rows share a place, ends of partitions meet, the last document is followed by the first; one document follows itself."""
+    rng = random.Random(partitions)
+    rows = [(k, "\n".join(f"line {rng.randrange(9)}" for _ in range(k % 6))) for k in range(40)]
+    rows += [rows[7]] * 30 + [(None, "no id"), (None, None)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = fingerprint.fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+        alone = fingerprint.fingerprints(spark.createDataFrame([(1, "a\nb\nc")], "doc_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, _ in rows)
+    want = brute_fingerprints([*dict.fromkeys(r for r in rows if r[0] is not None)] + [(-1, "stands for the rows without an id")])
+    for r in got:
+        if r.doc_id:  # the one before the null ids is told apart below
+            assert (r.n_chars, hashlib.sha256(r.edited.encode()).hexdigest(), round(r.near_edited, 9), round(r.near_next, 9)) == want[r.doc_id]
+    (zero,) = [r for r in got if r.doc_id == 0]
+    nulls = sorted((r.n_chars, r.edited) for r in got if r.doc_id is None)
+    assert zero.edited == "" and [n for n, _ in nulls] == [0, 5] and nulls[0][1] == "" and nulls[1][1] in ("no i", "no il")
+    assert [(r.edited, r.near_edited, r.near_next) for r in alone] == [("a\nb\na", 2 / 3, 1.0)]
+
+
+@pytest.mark.parametrize("retries", [0, 1, fingerprint.RETRIES])
+def test_peeling_tells_every_difference(monkeypatch, retries):
+    """Against the sets themselves, from no difference to thousands; without retries the pairs that get stuck are compared."""
+    monkeypatch.setattr(fingerprint, "RETRIES", retries)
+    rng = random.Random(retries)
+    for _ in range(200):
+        both, a, b = ([f"p{rng.random()}" for _ in range(int(2 ** rng.uniform(0, 11)) - 1)] for _ in range(3))
+        a, b = (fingerprint.digests("\n".join(both + x)) for x in (a, b))
+        assert fingerprint.only_in_one(a, b, fingerprint.sketch(a), fingerprint.sketch(b)) == len({*a.tolist()} ^ {*b.tolist()})
+
+
 # --- classifiers
 
 def test_quality_held_out_accuracy(spark, docs):
