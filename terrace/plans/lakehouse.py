@@ -165,6 +165,21 @@ def ingest_landing(
 
 
 # ----------------------------------------------------------------------------- silver
+def older_versions(target: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """The rows of ``target`` whose key is also incoming.
+
+    Only keys between the least and the greatest incoming one are looked at, a filter that reaches the scan: files and
+    row groups whose own range of keys lies outside are not read. Keys that rise with time thus leave out all months but
+    those near the delivery's; for keys in no order every month is read, as its range holds them. A NULL key has no
+    older version.
+    """
+    least, greatest = incoming.agg(F.min(key), F.max(key)).first()
+    if least is None:
+        return target.filter(F.lit(False))
+    within = F.col(key).between(F.lit(least), F.lit(greatest))
+    return target.filter(within).join(incoming.select(key), key, "left_semi")
+
+
 def upsert_change(spark: SparkSession, path: str, incoming: DataFrame, key: str, table: str) -> Change:
     """Upsert into a partitioned table by rewriting only the partitions it touches.
 
@@ -181,7 +196,7 @@ def upsert_change(spark: SparkSession, path: str, incoming: DataFrame, key: str,
         first = stage(spark, incoming, f"{table}-first")
         return Change(without_layout(first), lambda: publish.overwrite(first, path, parts))
     target = spark.read.parquet(path)
-    holding = target.select(key, *parts).join(incoming.select(key), key, "left_semi").select(*parts)
+    holding = older_versions(target, incoming, key).select(*parts)
     touched = [r[0] for r in incoming.select(*parts).union(holding).distinct().collect()]
     col = parts[0]
     among = F.col(col).isin([v for v in touched if v is not None])

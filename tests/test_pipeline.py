@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from lake_testing import SF_SMALL
+from lake_testing import SF_SMALL, plan_text
 from terrace.operators.scd2 import apply_scd2, first_load
 from terrace.plans import lakehouse as L
 from terrace.plans import silver as S
@@ -108,6 +108,24 @@ def test_partition_scoped_upsert_moves_keys_between_partitions(spark):
     assert got == [("k1", "a2"), ("k2", "b")]
 
 
+def test_older_versions_are_looked_for_within_the_incoming_keys(spark):
+    schema = "order_id string, order_date date, v string"
+    path = fresh_path(spark, "sales-ranges")
+    rows = [(f"k{m:02d}{d:02d}", dt.date(2024, m, d), "a") for m in range(1, 7) for d in range(1, 28)] + [(None, dt.date(2024, 2, 1), "no key")]
+    L.upsert_partitions(spark, path, spark.createDataFrame(rows, schema), "order_id", "sales")
+    target = spark.read.parquet(path)
+    late = spark.createDataFrame([("k0527", dt.date(2024, 6, 2), "b"), ("k0603", dt.date(2024, 6, 3), "b"), (None, dt.date(2024, 6, 3), "b")], schema)
+    found = L.older_versions(target, late, "order_id")
+    plan = plan_text(found)
+    assert "GreaterThanOrEqual(order_id,k0527)" in plan and "LessThanOrEqual(order_id,k0603)" in plan
+    assert sorted(r.order_id for r in found.collect()) == ["k0527", "k0603"]
+    for none in (late.filter("order_id is null"), late.filter("false")):
+        assert L.older_versions(target, none, "order_id").count() == 0
+    L.upsert_partitions(spark, path, late.filter("order_id is not null"), "order_id", "sales")
+    got = {(r.order_id, r.order_date, r.v) for r in spark.read.parquet(path).collect()}
+    assert got == {r for r in rows if r[0] not in ("k0527", "k0603")} | {tuple(r) for r in late.collect() if r.order_id}
+
+
 def test_scd2_history_rewrites_only_current_versions(spark):
     lake = L.Lakehouse(fresh_path(spark, "test-lake-scd2"))
     path = lake.path("silver", "customers")
