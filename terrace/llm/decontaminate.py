@@ -119,7 +119,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of ``docs``, unchanged, that overlap no item."""
+    """The rows of ``docs``, unchanged, that overlap no item.
+
+    A null or empty text overlaps nothing and stays, null ids and repeated rows too; columns may have any names; without
+    items every row stays; an empty table gives no rows.
+    """
     found = stage(overlaps(docs, benchmark).select("doc_key").distinct(), "decon-found")
     name = unused_name(docs)
     return docs.withColumn(name, doc_key(docs)).join(found.select(F.col("doc_key").alias(name)), name, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -422,6 +422,29 @@ def _prose(rng, n):
     return out[:n]
 
 
+def test_cut_out_of_odd_rows(spark, odd, empty):
+    """Rows, columns and null texts stay; only words of removed paragraphs go, equally in repeated rows."""
+    shared = " ".join(f"shared{k}" for k in range(60))
+    more = spark.createDataFrame([(8, shared, None, None, None, 1, "f", "k"), (9, f"own words {shared}", None, None, None, 1, "f", "k"), (9, f"own words {shared}", None, None, None, 1, "f", "k")], SCHEMA)
+    both = odd.union(more)
+    found = substring_dedup.repeats(both)
+    got = substring_dedup.cut_out(both, found)
+    assert got.columns == both.columns and got.count() == both.count()
+    removed = {r.doc_id for r in found.filter("removed").select("doc_id").distinct().collect()}
+    before, after = {}, {}
+    for df, held in ((both, before), (got, after)):
+        for r in df.collect():
+            held.setdefault(r.doc_id, []).append(r.text)
+    for i in before:
+        b, a = (sorted(x, key=str) for x in (before[i], after[i]))
+        if i not in removed:
+            assert a == b
+        assert sum(t is None for t in a) == sum(t is None for t in b)
+    assert 9 in removed and len(set(after[9])) == 1 and "shared30" not in after[9][0] and before[8] == after[8]
+    assert substring_dedup.cut_out(empty, substring_dedup.repeats(empty)).count() == 0
+    assert substring_dedup.cut_out(odd, found.filter("false")).count() == odd.count()
+
+
 def test_shared_runs_of_50_words_have_an_equal_paragraph():
     rng = random.Random(4)
     for k in range(400):
