@@ -33,7 +33,9 @@ from terrace.llm.tokens import CACHE_CHARS, CACHE_PARTS, WordEncoder, _byte_char
 FREQUENT_PAIRS = 1 << 18
 #: Products expanded at a time.
 BLOCK_PRODUCTS = 1 << 22
-_SPACED = re.compile(r" +[^ ]*").findall
+#: Runs of spaces with their words. One space at the end stays with the word before it: alone it would be an empty text,
+#: which gets no space put before it.
+_SPACED = re.compile(r" +[^ ]+ \Z| +[^ ]*").findall
 
 
 class Csr(NamedTuple):

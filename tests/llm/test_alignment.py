@@ -82,6 +82,13 @@ def test_odd_rows(spark):
     assert alignment.align(spark.createDataFrame([(1, None)], "doc_id long, text string"), A, B).collect()[0][:6] == (1, 0, 0, 0, 0, "")
 
 
+def test_texts_with_one_space_at_the_end(spark):
+    texts = ["a ", "two words ", "two  words ", " a ", "a  ", "a \n", "a\n ", "日 ", "two", "two words \n "]
+    got = alignment.align(spark.createDataFrame([*enumerate(texts)], "doc_id long, text string"), A, B).collect()
+    assert sorted(map(tuple, got)) == [(i, *r) for i, r in enumerate(brute(texts))]
+    assert min(r.n_a for r in got) > 0
+
+
 def test_products_equal_dense_ones_in_blocks_of_any_size():
     rng = np.random.default_rng(5)
     for n, k, m in ((1, 1, 1), (7, 5, 9), (30, 40, 20), (5, 1, 5)):
