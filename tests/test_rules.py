@@ -1,3 +1,4 @@
+import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -79,3 +80,21 @@ def test_valid_invalid_split_adds_no_exchange(spark):
     classified = R.classify(df, S.order_rules())
     for side in (R.valid_rows(classified), R.invalid_rows(classified)):
         assert "Exchange" not in side._jdf.queryExecution().sparkPlan().toString()  # noqa: SLF001
+
+
+def test_checks_carry_neither_lineage_nor_source_copy_of_sales(spark):
+    order = dict(order_id="O1", customer_id="C1", product_id="P1", ordered_at="2024-01-01 10:00:00", quantity="2", unit_price="3.50",
+                 discount_pct="0.1", channel="WEB", status="DONE", currency="USD")
+    lineage = dict(_source_file="f", _batch_id="b", _ingested_at=dt.datetime(2024, 1, 1), _record_hash="h", _bronze_record_id="r")
+    rows = [order | lineage, order | lineage | dict(order_id="O2", customer_id=None, _bronze_record_id="s"), order | lineage | dict(order_id=None, product_id=None, _bronze_record_id="t"),
+            order | lineage | dict(order_id=None, product_id=None, _bronze_record_id="u")]
+    bronze = spark.createDataFrame(rows, ", ".join(f"{c} {'timestamp_ntz' if c == '_ingested_at' else 'string'}" for c in rows[0]))
+    customers = spark.createDataFrame([("C1", True), (None, True), ("C2", False)], "customer_id string, is_current boolean")
+    products = spark.createDataFrame([("P1",), (None,)], "product_id string")
+    checked = S.orders_checked(bronze, customers, products)
+    got = sorted(((r.order_id, r._customer_exists, r._product_exists, r._raw) for r in checked.collect()), key=str)
+    raw = [(r[0], r[1], r[2], "customer_id" in r[3], "product_id" in r[3]) for r in got]
+    assert raw == [("O1", True, True, True, True), ("O2", None, True, False, True), (None, True, None, True, False), (None, True, None, True, False)]
+    assert checked.columns[-2:] == ["_customer_exists", "_product_exists"]
+    plan = S.sales_rows(S.orders_classified(checked))._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+    assert "to_json" not in plan and "_source_file" not in plan.split("LogicalRDD")[0]
