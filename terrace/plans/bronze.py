@@ -16,6 +16,9 @@ from terrace.sources import landing
 from terrace.sources.contracts import PARTITION_COLUMN, SOURCE_SYSTEMS
 
 ENTITIES = ("customers", "products", "orders")
+SOURCE_FILE, RECORD_ID = "_source_file", "_bronze_record_id"
+#: Hashes in hex are most of a Bronze row; of this codec they take half the bytes.
+COMPRESSION = "zstd"
 
 
 def stamped_delivery(
@@ -39,7 +42,25 @@ def delivery_dates(spark: SparkSession, landing_root: str, entity: str, since: s
     return sorted(d for d in dates if since is None or d >= str(since))
 
 
-def new_records(target: DataFrame, delivery: DataFrame, dates: Sequence[str] | None = None) -> DataFrame:
+def file_contents(rows: DataFrame) -> DataFrame:
+    """Per delivery date and source file: number of rows and a 128-bit sum of hashes of their record ids, in any order.
+
+    The hashes are added up in halves, which no file is long enough to overflow. Files with a row of no id are left out.
+    """
+    hashes = [F.xxhash64(RECORD_ID), F.xxhash64(F.lit(1), RECORD_ID)]
+    halves = [half for h in hashes for half in (F.shiftrightunsigned(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
+    sums = [F.sum(half).alias(f"_sum{i}") for i, half in enumerate(halves)]
+    found = rows.groupBy(PARTITION_COLUMN, SOURCE_FILE).agg(F.count(F.lit(1)).alias("_rows"), F.count(RECORD_ID).alias("_ids"), *sums)
+    return found.filter("_rows = _ids").drop("_ids")
+
+
+def replayed_files(target: DataFrame, delivery: DataFrame) -> DataFrame:
+    """``(batch_date, _source_file)`` of the files whose rows, all of them and no others, Bronze holds already."""
+    held, sent = file_contents(target), file_contents(delivery)
+    return sent.join(held, sent.columns, "left_semi").select(PARTITION_COLUMN, SOURCE_FILE)
+
+
+def new_records(target: DataFrame, delivery: DataFrame, dates: Sequence[str] | None = None, counted: DataFrame | None = None) -> DataFrame:
     """Delivery rows whose record identity is not in Bronze yet.
 
     Bronze is partitioned by the delivery ``batch_date``, which the record id
@@ -49,13 +70,22 @@ def new_records(target: DataFrame, delivery: DataFrame, dates: Sequence[str] | N
     so the merge reads only those Bronze partitions instead of every record id ever
     ingested (Spark's dynamic partition pruning does not prune the build side of an
     anti join).
+
+    A record id is made from the file and the row, so rows of a file can only meet rows of that file. Files sent again
+    as they were are found from a number of rows and a sum a file (:func:`replayed_files`), and left out on both
+    sides before the records of all others are shuffled and compared by id. ``counted`` is the delivery without what
+    must not run twice (an observation). The list of such files is broadcast: a row a file, as in the file
+    listing that the driver holds anyway.
     """
     if PARTITION_COLUMN in delivery.columns and PARTITION_COLUMN in target.columns:
         if dates is None:
             dates = [r[0] for r in delivery.select(PARTITION_COLUMN).distinct().collect()]
         pruned = target.filter(F.col(PARTITION_COLUMN).isin([F.lit(d).cast("date") for d in dates]))
-        return insert_only(pruned, delivery, "_bronze_record_id", scope=[PARTITION_COLUMN])
-    return insert_only(target, delivery, "_bronze_record_id")
+        if SOURCE_FILE in delivery.columns and SOURCE_FILE in target.columns:
+            known = F.broadcast(replayed_files(pruned, delivery if counted is None else counted))
+            pruned, delivery = (df.join(known, [PARTITION_COLUMN, SOURCE_FILE], "left_anti") for df in (pruned, delivery))
+        return insert_only(pruned, delivery, RECORD_ID, scope=[PARTITION_COLUMN])
+    return insert_only(target, delivery, RECORD_ID)
 
 
 def ingest_counts(entity: str, delivery: DataFrame, inserted: DataFrame) -> DataFrame:

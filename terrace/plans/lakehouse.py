@@ -104,9 +104,9 @@ def _observed_rows(obs: Observation, otherwise: Callable[[], int]) -> int:
         return otherwise()
 
 
-def _append_observed(df: DataFrame, name: str, path: str, partition_by: Sequence[str] = ()) -> int:
+def _append_observed(df: DataFrame, name: str, path: str, partition_by: Sequence[str] = (), **how) -> int:
     obs = Observation(name)
-    publish.append(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by)
+    publish.append(df.observe(obs, F.count(F.lit(1)).alias("rows")), path, partition_by, **how)
     return _observed_rows(obs, lambda: 0)  # what is written is observed at its very top: no node, no row
 
 
@@ -124,11 +124,14 @@ def run_bronze(
     deliveries: Mapping[str, DataFrame],
     partition_by: Mapping[str, Sequence[str]] | None = None,
     dates: Mapping[str, Sequence[str]] | None = None,
+    by_file: bool = False,
 ) -> list[dict]:
     """Insert-only merge of stamped deliveries into Bronze; returns seen/inserted per entity.
 
     Bronze is partitioned by ``batch_date`` where the delivery has it, unless ``partition_by`` says otherwise;
-    ``dates`` are the delivery dates of an entity, where the caller knows them.
+    ``dates`` are the delivery dates of an entity, where the caller knows them. ``by_file`` says that rows are read from
+    files of one ``batch_date`` each: a first load is then written as it is read, with no more files than were delivered
+    or tasks read them, and its rows are not shuffled.
     """
     out = []
     for entity, stamped in deliveries.items():
@@ -137,10 +140,11 @@ def run_bronze(
         seen_obs = Observation(f"seen_{entity}")
         seen = stamped.observe(seen_obs, F.count(F.lit(1)).alias("rows"))
         if publish.exists(spark, path):
-            new = B.new_records(spark.read.parquet(path), seen, (dates or {}).get(entity))
+            new, first = B.new_records(spark.read.parquet(path), seen, (dates or {}).get(entity), counted=stamped), False
         else:
-            new = seen
-        inserted = _append_observed(new, f"inserted_{entity}", path, parts)
+            new, first = seen, True
+        as_read = first and by_file and list(parts) == [PARTITION_COLUMN]
+        inserted = _append_observed(new, f"inserted_{entity}", path, parts, compression=B.COMPRESSION, rebalance=not as_read)
         out.append({"entity": entity, "rows_seen": _observed_rows(seen_obs, stamped.count), "rows_inserted": inserted})
     return out
 
@@ -161,7 +165,7 @@ def ingest_landing(
     """
     batch_id = batch_id or default_batch_id()
     stamped = {e: B.stamped_delivery(spark, landing_root, e, batch_id, as_of, since) for e in entities}
-    return run_bronze(spark, lake, stamped, dates={e: B.delivery_dates(spark, landing_root, e, since) for e in entities})
+    return run_bronze(spark, lake, stamped, dates={e: B.delivery_dates(spark, landing_root, e, since) for e in entities}, by_file=True)
 
 
 # ----------------------------------------------------------------------------- silver

@@ -24,7 +24,7 @@ def _fs(spark: SparkSession, path: str):
     return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath  # noqa: SLF001
 
 
-def _writer(df: DataFrame, mode: str, partition_by: Sequence[str]):
+def _writer(df: DataFrame, mode: str, partition_by: Sequence[str], rebalance: bool = True):
     """Partitioned writes go through a ``rebalance`` on the partition columns.
 
     Without it every task writes one file per partition value it holds
@@ -33,12 +33,14 @@ def _writer(df: DataFrame, mode: str, partition_by: Sequence[str]):
     third of the rows is written by several tasks, not one).
     """
     if partition_by:
-        return df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
+        return (df.hint("rebalance", *partition_by) if rebalance else df).write.mode(mode).partitionBy(*partition_by)
     return df.write.mode(mode)
 
 
-def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    _writer(df, "append", partition_by).parquet(path)
+def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), compression: str | None = None, rebalance: bool = True) -> None:
+    """Append rows; without ``rebalance`` every task writes what it holds, for rows that are read by partition already."""
+    writer = _writer(df, "append", partition_by, rebalance)
+    (writer.option("compression", compression) if compression else writer).parquet(path)
 
 
 def overwrite(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:

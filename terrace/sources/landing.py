@@ -61,15 +61,19 @@ def scan(
     return df
 
 
-def write_delivery(df: DataFrame, landing_root: str, entity: str, mode: str = "append") -> None:
+def write_delivery(
+    df: DataFrame, landing_root: str, entity: str, mode: str = "append", compression: str | None = None, rows_per_file: int = 0
+) -> None:
     """Write a delivery in the entity's landing format, one folder per ``batch_date``.
 
     Used to stage deliveries (tests, replays). Whitespace is written as is so a
-    round trip through the landing format is lossless.
+    round trip through the landing format is lossless. Files may be compressed; a compressed file
+    is read by one task, so ``rows_per_file`` (0: no bound) keeps each of them small.
     """
     columns = [f.name for f in CONTRACTS[entity].fields] + [PARTITION_COLUMN]
     # rows of a day lie together without one task having to write a whole large day
     writer = df.select(*columns).hint("rebalance", PARTITION_COLUMN).write.mode(mode).partitionBy(PARTITION_COLUMN)
+    writer = writer.option("maxRecordsPerFile", rows_per_file).option("compression", compression or "none")
     path = entity_path(landing_root, entity)
     if FORMATS[entity] == "csv":
         (
