@@ -1,9 +1,10 @@
-"""What goes through a shuffle: the bytes of a record hash."""
+"""What goes through a shuffle: the bytes of a record hash, and one copy of the fact."""
 
 import datetime as dt
 import hashlib
 import re
 
+from lake_testing import SF_SMALL
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -22,3 +23,17 @@ def test_latest_per_key_orders_hashes_as_their_text_and_shuffles_their_bytes(spa
     plan = got._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
     windows = [line for line in plan.splitlines() if re.search(r"\bWindow ", line)]
     assert windows and not any("_record_hash" in line for line in windows)
+
+
+def test_the_fact_below_a_rank_is_computed_once_without_broadcasts_too(spark):
+    from terrace.registry import QUERIES
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        df = QUERIES["bq_best_products"](spark, SF_SMALL)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]  # noqa: SLF001
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"HashAggregate\(keys=\[product_key#\d+L?\], functions=\[partial_", final)) == 1
