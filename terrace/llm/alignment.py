@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from itertools import chain, islice
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -33,9 +34,8 @@ from terrace.llm.tokens import CACHE_CHARS, CACHE_PARTS, WordEncoder, _byte_char
 FREQUENT_PAIRS = 1 << 18
 #: Products expanded at a time.
 BLOCK_PRODUCTS = 1 << 22
-#: Runs of spaces with their words. One space at the end stays with the word before it: alone it would be an empty text,
-#: which gets no space put before it.
-_SPACED = re.compile(r" +[^ ]+ \Z| +[^ ]*").findall
+#: Runs of spaces with their words.
+_SPACED = re.compile(r" +[^ ]*").findall
 
 
 class Csr(NamedTuple):
@@ -94,6 +94,8 @@ def incidence(lengths: np.ndarray) -> Csr:
 
 def transposed(m: Csr, n_columns: int) -> Csr:
     rows = np.repeat(np.arange(len(m.indptr) - 1), np.diff(m.indptr))
+    if len(rows) == n_columns and np.all(m.indices[1:] > m.indices[:-1]):  # one entry in each column, in order
+        return Csr(np.arange(n_columns + 1), rows, m.values)
     return accumulated(m.indices, rows, m.values, n_columns, len(m.indptr) - 1)
 
 
@@ -174,32 +176,49 @@ class Pair:
         )
         # No piece goes on behind a letter with a space: then merges never cross from a word into the spaces after it.
         self.by_word = not any(re.search("[^\u2581]\u2581", self.b.id_to_piece(i)) for i in range(len(self.bytes_b)))
-        self.words: dict[str, list[int]] = {}
+        self.words: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The ids of both for each text; none of either where a text is empty or its bytes do not come back."""
-        out, none = [], (np.zeros(0, np.int64),) * 2
         spaced = [" " + t for t in texts]
-        for text, a in zip(spaced, self.a.encode(spaced)):
-            a = np.frombuffer(a, "<u4").astype(np.int64)
-            b = np.array(self.encode_b(text) if len(text) > 1 else [], np.int64)
-            data = np.frombuffer(text.encode(), np.uint8)
-            same = len(b) and np.array_equal(_joined(self.flat_a, a), data) and np.array_equal(_joined(self.flat_b, b), data)
-            out.append((a, b) if same else none)
-        return out
-
-    def encode_b(self, spaced: str) -> list[int]:
-        """The ids of B for a text that has got its space: of each run of spaces with its word, as far as these are apart."""
+        found = [
+            tuple(np.frombuffer(ids, "<u4").astype(np.int64) if ids else np.zeros(0, np.int64) for ids in (a, self.encode_b(text) if len(text) > 1 else b""))
+            for text, a in zip(spaced, self.a.encode(spaced))
+        ]
+        return self._true(found, [t.encode() for t in spaced])
+
+    def _true(self, found: list[tuple[np.ndarray, np.ndarray]], data: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """``found``, but no tokens where those of one side are not the bytes of the text: half of the texts, and again
+        half of those, are looked at where the bytes or lengths of all together are not the same."""
+        if not found:
+            return []
+        sizes, true = np.array([*map(len, data)], np.int64), all(len(b) for _, b in found)
+        for k, flat in enumerate((self.flat_a, self.flat_b)):
+            if true:
+                ids, n = np.concatenate([t[k] for t in found]), [len(t[k]) for t in found]
+                ends = np.r_[0, np.cumsum(flat[2][ids])][np.cumsum(n)]
+                true = np.array_equal(ends, np.cumsum(sizes)) and np.array_equal(_joined(flat, ids), np.frombuffer(b"".join(data), np.uint8))
+        if true or len(found) == 1:
+            return found if true else [(np.zeros(0, np.int64),) * 2]
+        half = len(found) // 2
+        return self._true(found[:half], data[:half]) + self._true(found[half:], data[half:])
+
+    def encode_b(self, spaced: str) -> bytes:
+        """The ids of B, as A's encoder gives them, for a text that has got its space: of each run of spaces with its word, as
+        far as these are apart. One space at the end stays with the word before it: alone it would be an empty text, which
+        gets no space put before it."""
         if not self.by_word or "\u2581" in spaced:
-            return self.b.encode(spaced[1:])
+            return array("I", self.b.encode(spaced[1:])).tobytes()
         parts = _SPACED(spaced)
+        if parts[-1] == " " and len(parts) > 1:
+            parts[-2:] = [parts[-2] + " "]
         ids = list(map(self.words.get, parts))
         if None in ids:
             ids = [self._word(p) if i is None else i for p, i in zip(parts, ids)]
-        return list(chain.from_iterable(ids))
+        return b"".join(ids)
 
-    def _word(self, part: str) -> list[int]:
-        ids = self.b.encode(part[1:])
+    def _word(self, part: str) -> bytes:
+        ids = array("I", self.b.encode(part[1:])).tobytes()
         if len(part) <= CACHE_CHARS:
             if len(self.words) >= CACHE_PARTS:  # the older half of the cache goes
                 self.words = dict(islice(self.words.items(), CACHE_PARTS // 2, None))
