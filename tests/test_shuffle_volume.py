@@ -37,3 +37,46 @@ def test_the_fact_below_a_rank_is_computed_once_without_broadcasts_too(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(re.findall(r"HashAggregate\(keys=\[product_key#\d+L?\], functions=\[partial_", final)) == 1
+
+
+def _checked(spark):
+    """Checked orders of every kind: valid, and breaking one rule each or several."""
+    from terrace.plans import silver as S
+
+    at = dt.datetime(2024, 1, 1)
+    row = {"customer_id": "C1", "product_id": "P1", "ordered_at": "2024-01-01 00:00:00", "quantity": "2", "unit_price": "3.10", "discount_pct": "0.05",
+           "channel": "WEB", "status": "N", "currency": "USD"}
+    odd = [{}, {"discount_pct": None}, {"status": None}, {"quantity": "0"}, {"quantity": "two"}, {"quantity": None}, {"unit_price": "-1"}, {"unit_price": None},
+           {"unit_price": "1.0000001"}, {"unit_price": "9" * 15, "quantity": "9" * 9}, {"discount_pct": "x"}, {"customer_id": "C9"}, {"customer_id": None}, {"product_id": "P9"},
+           {"product_id": None, "customer_id": "C9", "quantity": "-1"}, {"ordered_at": "never"}]
+    rows = [{"order_id": f"O{i}", **row, **o} for i, o in enumerate(odd)] + [{"order_id": k, **row} for k in (None, None, "", " ", "O0")]
+    rows = [{**r, "_source_file": "f", "_batch_id": "b", "_ingested_at": at, "_record_hash": f"{i:064x}", "_bronze_record_id": f"{i:064x}"} for i, r in enumerate(rows)]
+    text = ", ".join(f"{c} {'timestamp_ntz' if c == '_ingested_at' else 'string'}" for c in rows[0])
+    bronze = spark.createDataFrame([tuple(r.values()) for r in rows], text)
+    customers = spark.createDataFrame([("C1", True), ("C9", False)], "customer_id string, is_current boolean")
+    return S.orders_checked(bronze, customers, spark.createDataFrame([("P1",)], "product_id string"))
+
+
+def test_sales_by_a_filter_a_rule_are_the_rows_without_a_reason(spark):
+    from terrace.plans import silver as S
+
+    checked = _checked(spark)
+    want, got = S.sales_rows(S.orders_classified(checked)), S.sales_of_checked(checked)
+    assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    kept = [r.order_id for r in want.collect()]
+    assert {"O0", "O1", "O2"} <= set(kept) and not {"O3", "O4", "O11", "O12", "O14", "", None} & set(kept)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_a_mart_that_counts_orders_sends_neither_their_ids_nor_invalid_rows_to_its_joins(spark):
+    from terrace.registry import QUERIES
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = QUERIES["daily_sales"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    above = plan[: plan.index("Window [row_number() windowspecdefinition(order_id")]
+    assert not re.search(r"Project \[[^\n]*order_id#", above) and "LeftOuter" not in above
+    assert "Filter" in above.splitlines()[-2] and "quantity" in above.splitlines()[-2]
