@@ -80,3 +80,31 @@ def test_a_mart_that_counts_orders_sends_neither_their_ids_nor_invalid_rows_to_i
     above = plan[: plan.index("Window [row_number() windowspecdefinition(order_id")]
     assert not re.search(r"Project \[[^\n]*order_id#", above) and "LeftOuter" not in above
     assert "Filter" in above.splitlines()[-2] and "quantity" in above.splitlines()[-2]
+
+
+def test_the_fact_joins_each_dimension_once_with_the_rows_of_two_joins(spark):
+    from terrace.plans import gold as G
+    from terrace.plans import silver as S
+    from terrace.registry import World
+
+    w = World(spark, SF_SMALL)
+    twice = G.fact_sales(S.sales_of_checked(w.orders_checked()), w.dim_customer(), w.dim_product())
+    assert [(f.name, f.dataType) for f in w.fact().schema] == [(f.name, f.dataType) for f in twice.schema]
+    assert sorted(map(str, w.fact().collect())) == sorted(map(str, twice.collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = World(spark, SF_SMALL).daily()._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    above = plan[: plan.index("Window [row_number() windowspecdefinition(order_id")]
+    assert len(re.findall(r"\bJoin ", above)) == 2
+
+
+def test_reference_flags_show_columns_of_the_matched_rows(spark):
+    from terrace.operators import rules as R
+
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("a", 4)], "k string, v int")
+    keys = spark.createDataFrame([("a", 10), ("a", 10), (None, 11), ("c", 12)], "k string, n int")
+    rows = R.reference_flags(df, {"_known": (keys, "k")}, shown={"_known": ["n"]}).orderBy("v").collect()
+    assert [tuple(r) for r in rows] == [("a", 1, True, 10), ("b", 2, None, None), (None, 3, None, None), ("a", 4, True, 10)]
