@@ -32,6 +32,8 @@ from terrace.llm.tokens import CACHE_CHARS, CACHE_PARTS, WordEncoder, _byte_char
 
 #: Most pairs in the broadcast table (24 bytes each); what it holds changes no result.
 FREQUENT_PAIRS = 1 << 18
+#: Code points aligned at a time: the arrays of so many fit a core's cache.
+ALIGN_CHARS = 1 << 16
 #: Products expanded at a time.
 BLOCK_PRODUCTS = 1 << 22
 #: Runs of spaces with their words.
@@ -50,7 +52,7 @@ def accumulated(rows: np.ndarray, columns: np.ndarray, values: np.ndarray, n_row
     """The matrix of these entries; entries of one place are added up."""
     key = rows * n_columns + columns
     if np.any(key[1:] < key[:-1]):
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)  # entries of one place are added up, in whatever order
         key, rows, columns, values = key[order], rows[order], columns[order], values[order]
     new = np.r_[True, key[1:] != key[:-1]][: len(key)]
     if not new.all():
@@ -72,11 +74,13 @@ def product(a: Csr, b: Csr, n_columns: int, most: int = BLOCK_PRODUCTS) -> Itera
         end = max(at + 1, int(np.searchsorted(upto, upto[at] + most, "right")) - 1)
         lo, hi = a.indptr[at], a.indptr[end]
         w = width[lo:hi]
-        entry = np.repeat(np.arange(lo, hi), w)
-        inside = np.arange(len(entry)) - np.repeat(np.cumsum(w) - w, w)
-        met = b.indptr[a.indices[entry]] + inside
-        rows = np.repeat(np.arange(end - at), np.diff(a.indptr[at : end + 1]))[entry - lo]
-        c = accumulated(rows, b.indices[met], a.values[entry] * b.values[met], end - at, n_columns)
+        rows = np.repeat(np.arange(end - at), np.diff(a.indptr[at : end + 1]))
+        if np.all(w == 1):  # each entry takes part in one single product
+            met, values = b.indptr[a.indices[lo:hi]], a.values[lo:hi]
+        else:
+            rows, values = np.repeat(rows, w), np.repeat(a.values[lo:hi], w)
+            met = np.repeat(b.indptr[a.indices[lo:hi]] - np.cumsum(w) + w, w) + np.arange(len(rows))
+        c = accumulated(rows, b.indices[met], values * b.values[met], end - at, n_columns)
         yield np.repeat(np.arange(at, end), np.diff(c.indptr)), c.indices, c.values
         at = end
 
@@ -269,7 +273,7 @@ def linked(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
         two = pair_of(path_a, path_b)
         for batch in batches:
             ids, at = batch.column(0), 0
-            for block in blocks(batch.column(1).to_pylist()):
+            for block in blocks(batch.column(1).to_pylist(), ALIGN_CHARS):
                 counted, (of, a, b, links) = two.align(two.encode(block))
                 n = np.bincount(of, links, len(block)).astype(np.int64)
                 ends = pa.array(np.r_[0, np.cumsum(np.bincount(of, minlength=len(block)))], pa.int32())

@@ -111,3 +111,17 @@ def test_overlaps_are_the_common_bytes():
         owner = [np.repeat(np.arange(len(x)), x).tolist() for x in lengths]
         assert Counter(zip(*owner)) == {(i, j): s for i, j, s in zip(*(x.tolist() for x in found.overlaps))}
         assert int(found.group_a[-1]) + 1 == len({*cuts[0]} & {*cuts[1]})
+
+
+def test_products_of_entries_that_meet_one_row_or_many_are_those_of_dense_matrices():
+    rng = np.random.default_rng(3)
+    for wide in (False, True):
+        for most in (1, 7, 1 << 20):
+            x = rng.integers(0, 3, (9, 6)) * rng.integers(1, 5, (9, 6))
+            y = rng.integers(0, 3, (6, 8)) if wide else np.eye(6, 8, dtype=int)[rng.permutation(6)] * 4
+            sparse = [alignment.accumulated(*np.nonzero(m), m[np.nonzero(m)], *m.shape) for m in (x, y)]
+            got = np.zeros((9, 8), int)
+            for rows, columns, values in alignment.product(*sparse, 8, most):
+                assert not got[rows, columns].any()
+                got[rows, columns] = values
+            assert (got == x @ y).all()
