@@ -108,3 +108,17 @@ def test_reference_flags_show_columns_of_the_matched_rows(spark):
     keys = spark.createDataFrame([("a", 10), ("a", 10), (None, 11), ("c", 12)], "k string, n int")
     rows = R.reference_flags(df, {"_known": (keys, "k")}, shown={"_known": ["n"]}).orderBy("v").collect()
     assert [tuple(r) for r in rows] == [("a", 1, True, 10), ("b", 2, None, None), (None, 3, None, None), ("a", 4, True, 10)]
+
+
+def test_the_fact_is_named_by_the_ids_it_was_joined_by(spark):
+    from terrace.registry import QUERIES, World
+
+    w = World(spark, SF_SMALL)
+    looked_up = w.fact().join(w.dim_customer().select("customer_key", "customer_id"), "customer_key").join(w.dim_product().select("product_key", "product_id"), "product_key")
+    want = looked_up.drop("sales_key", "customer_key", "product_key")
+    got = QUERIES["fact_sales"](spark, SF_SMALL)
+    assert got.columns == want.columns and got.count() > 1000
+    assert sorted(map(str, got.select("order_id", "customer_id", "product_id").collect())) == sorted(map(str, want.select("order_id", "customer_id", "product_id").collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()  # noqa: SLF001
+    above = plan[: plan.index("Window [row_number() windowspecdefinition(order_id")]
+    assert len(re.findall(r"\bJoin ", above)) == 2
