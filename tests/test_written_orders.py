@@ -77,3 +77,16 @@ def test_the_upsert_of_sales_reads_written_sales(spark):
     got = Q.QUERIES["merge_upsert_sales"](spark, SF_SMALL)
     assert got.columns == want.columns and _texts(got) == _texts(want)
     assert len(re.findall(r"\bJoin ", _plan(got))) == 1 and "Window" not in _plan(got)
+
+
+def test_the_quarantine_of_two_runs_reads_written_rows(spark):
+    from terrace import registry as Q
+
+    w = Q.World(spark, SF_SMALL)
+    o_all = w.bronze_orders()
+    o1, _ = Q.X.split_at_cutoff(o_all)
+    stored, again = Q.S.orders_quarantine(w.orders_classified(o1), Q.AS_OF_DATE), Q.S.orders_quarantine(w.orders_classified(o_all), Q.X.DAY2.date())
+    want = Q.insert_only_merged(stored, again, "_quarantine_id")
+    got = Q.QUERIES["quarantine_idempotent"](spark, SF_SMALL)
+    assert got.columns == want.columns and _texts(got) == _texts(want)
+    assert len(re.findall(r"\bJoin ", _plan(got))) == 1 and "Window" not in _plan(got)
