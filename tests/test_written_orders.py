@@ -90,3 +90,13 @@ def test_the_quarantine_of_two_runs_reads_written_rows(spark):
     got = Q.QUERIES["quarantine_idempotent"](spark, SF_SMALL)
     assert got.columns == want.columns and _texts(got) == _texts(want)
     assert len(re.findall(r"\bJoin ", _plan(got))) == 1 and "Window" not in _plan(got)
+
+
+def test_the_marts_of_the_summary_are_made_of_written_orders_without_joins(spark):
+    from terrace.registry import World
+
+    w, plain = World(spark, SF_SMALL), World(spark, SF_SMALL)
+    w.stage_orders()
+    for got, want in ((w.fact(), plain.fact()), (w.sales(), plain.sales()), (w.quarantine_all(), plain.quarantine_all())):
+        assert got.columns == want.columns and _texts(got) == _texts(want)
+    assert not re.search(r"\bJoin |\bWindow ", _plan(w.fact()))
