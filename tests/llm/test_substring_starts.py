@@ -1,5 +1,6 @@
 """Every sentence that has enough words from it on starts a paragraph."""
 
+import os
 import random
 
 from terrace.llm import substring_dedup
@@ -44,3 +45,13 @@ def test_a_passage_of_one_paragraph_is_found(spark):
             rows.append((2 * k + side, " ".join(around[0] + passage + around[1])))
     found = substring_dedup.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {x.doc_id for x in found} == set(range(2 * pairs)) and sum(x.removed for x in found) >= pairs
+
+
+def test_a_dropped_frame_leaves_no_files(spark):
+    from terrace.llm.common import dropped, stage
+
+    held = stage(spark.range(5), "held").union(stage(spark.range(5), "held"))
+    files = held.inputFiles()
+    assert held.count() == 10
+    dropped(held)
+    assert files and not any(os.path.exists(os.path.dirname(f.removeprefix("file://"))) for f in files)
